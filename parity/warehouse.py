@@ -47,10 +47,12 @@ _ITEM_ID = """[[HEX15(concat_ws('|', cast(l_orderkey as string), cast(l_linenumb
 TABLES: dict[str, str] = {
     "dim_geo": """
 select cast(n_nationkey as bigint) as geo_id, n_name as country, r_name as region, n_name || '-CITY' as city,
-  case r_regionkey when 0 then 'USD' when 1 then 'EUR' when 2 then 'INR' when 3 then 'GBP' else 'JPY' end as currency
+  case r_regionkey when 0 then 'USD' when 1 then 'EUR' when 2 then 'INR' when 3 then 'GBP' else 'JPY' end as currency,
+  timestamp '1995-01-01 00:00:00' as created_at, timestamp '1995-01-01 00:00:00' as updated_at
 from {nation} n join {region} r on n_regionkey = r_regionkey""",
     "dim_fc": """
-select s_suppkey as fc_id, s_name as fc_name, cast(s_nationkey as bigint) as geo_id, 'UTC' as timezone
+select s_suppkey as fc_id, s_name as fc_name, cast(s_nationkey as bigint) as geo_id, 'UTC' as timezone,
+  timestamp '1995-01-01 00:00:00' as created_at, timestamp '1995-01-01 00:00:00' as updated_at
 from {supplier}""",
     "dim_customer": """
 select c_custkey as customer_id, cast(date '1995-01-01' + cast(c_custkey % 365 as int) as timestamp) as customer_created_ts,
