@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,20 +78,35 @@ def merge_into(spark: SparkSession, path: str, delta: DataFrame, rule: increment
     return counts
 
 
+# Merge order. Tables in one group do not refer to each other and are merged at the same time.
+MERGE_GROUPS = (
+    ("dim_customer", "dim_product"),
+    ("fact_orders",),
+    ("fact_order_items", "fact_payments", "fact_shipments", "fact_funnel_events"),
+    ("fact_returns",),
+)
+
+
 def incremental_refresh(
     spark: SparkSession, root: str, deltas: Mapping[str, DataFrame], source: str, run_ts: str, run_id: str
 ) -> dict[str, DataFrame]:
-    """Dimensions first, then facts in reference order, events appended, watermark last.
+    """Dimensions first, then facts after the tables they refer to, watermark last.
 
     The watermark moves only after every merge has committed, so a failed run
     is picked up again from the same point.
     """
-    counts = {}
-    for name, rule in incremental.RULES.items():
-        if name in deltas:
-            counts[name] = merge_into(spark, f"{root}/{name}", deltas[name], rule, f"{root}/_audit", run_id)
-    if "fact_funnel_events" in deltas:
-        counts["fact_funnel_events"] = append_events(spark, f"{root}/fact_funnel_events", deltas["fact_funnel_events"], run_id)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+    def one(name: str) -> tuple[str, DataFrame]:
+        if name == "fact_funnel_events":
+            return name, append_events(spark, f"{root}/{name}", deltas[name], run_id)
+        return name, merge_into(spark, f"{root}/{name}", deltas[name], incremental.RULES[name], f"{root}/_audit", run_id)
+
+    counts: dict[str, DataFrame] = {}
+    for group in MERGE_GROUPS:
+        due = [name for name in group if name in deltas]
+        with ThreadPoolExecutor(max_workers=len(group)) as pool:
+            counts.update(pool.map(one, due))
     marks = f"{root}/_control"
     mark = spark.range(1).select(F.lit(source).alias("source_name"), F.to_timestamp(F.lit(run_ts)).alias("last_processed_ts"))
     if versions(spark, marks, "watermarks"):

@@ -221,6 +221,11 @@ from (select order_id, order_ts as received_at, case when order_id % 23 = 0 then
       case when order_status = 'CANCELLED' and order_id % 2 = 0 then ',"error_description":"Card declined by the issuing bank after three attempts; please ask the customer to use another card"' else '' end ||
       '}}}}}}}}' end as body
   from {fact_orders}) w""",
+    # Events as a browser sends them: loose spelling, missing fields, and a stage nobody knows.
+    "raw_event_requests": """
+select event_id, event_ts, session_id, case when stage = 'CHECKOUT_STARTED' then 'checkout-begun' else ' ' || lower(stage) || ' ' end as stage,
+  lower(channel) as channel, device, customer_id, product_id, order_id, case when failure_reason is null then '' else ' ' || failure_reason || ' ' end as failure_reason
+from {fact_funnel_events}""",
     # A delta: every order again, a third stale, a third unchanged in version, a third newer; plus new orders.
     "stg_fact_orders": """
 select order_id, customer_id, geo_id, order_ts, case when order_status = 'DELIVERED' then 'COMPLETED' else order_status end as order_status,
@@ -302,6 +307,14 @@ class Warehouse(Mapping):
         sql = TABLES[name]
         return self._spark.sql(_macros(sql, "spark"), **{d: self[d] for d in _deps(sql)})
 
+    def stream(self, name: str) -> DataFrame:
+        """A table as a stream: its raw sources are read as they arrive, the mapping is the same."""
+        if name in RAW:
+            schema = self[name].schema
+            return self._spark.readStream.schema(schema).option("maxFilesPerTrigger", 16).parquet(f"{self._dir}/{name}.par*")
+        sql = TABLES[name]
+        return self._spark.sql(_macros(sql, "spark"), **{d: self.stream(d) for d in _deps(sql)})
+
     def __iter__(self):
         return iter([*TABLES, "dim_date"])
 
