@@ -31,8 +31,12 @@ def divide(num, den) -> Column:
 
 
 def rounded(x, scale: int) -> Column:
-    """Half-up decimal rounding of a double."""
-    return F.round(_col(x).cast(WIDE), scale)
+    """Half-up decimal rounding of a double.
+
+    Six digits beyond the wanted scale are kept first: enough to tell values
+    apart, few enough to absorb the binary error that would turn a tie down.
+    """
+    return F.round(_col(x).cast(f"decimal(38,{scale + 6})"), scale)
 
 
 def ratio(num, den, scale: int, factor: float = 1.0) -> Column:

@@ -159,7 +159,7 @@ case("fn_failed_orders", lambda w: funnel.failed_orders(w["fact_funnel_events"])
      "select distinct order_id from fact_funnel_events where stage = 'PAYMENT_FAILED' and order_id is not null")
 case("fn_revenue_leakage", funnel.revenue_leakage, _LEAK, _leak())
 FRAGMENTS["product_leak"] = """select v.*, coalesce(f.failed_orders, 0) as failed_orders, coalesce(f.money, 0) as revenue_lost_payment_failures,
-    round(cast(cast(abandoned_adds * list_price as double) * ratio as decimal(38,12)), 2) as revenue_lost_cart_abandonment
+    round(cast(cast(abandoned_adds * list_price as double) * ratio as decimal(38,8)), 2) as revenue_lost_cart_abandonment
   from (select product_id, any_value(product_name) as product_name, any_value(list_price) as list_price, count(distinct case when stage = 'VIEW_PRODUCT' then session_id end) as product_views,
       count(distinct case when stage = 'ADD_TO_CART' then session_id end) as add_to_cart,
       count(distinct case when stage = 'ADD_TO_CART' and not s.ordered then session_id end) as abandoned_adds
@@ -197,7 +197,7 @@ _SUMMED = f"""select sum(product_views) as product_views, sum(add_to_cart) as ad
 case("fn_stage_totals", lambda w: funnel.stage_totals(marts.funnel_conversion(w), EVENT_DAY), "stage:s sessions:i",
      f"select stage, sessions from ({_SUMMED}) s, lateral (values {_STAGES}) v(stage, sessions)")
 case("fn_stage_pct", lambda w: funnel.stage_pct(marts.funnel_conversion(w), EVENT_DAY), "stage:s sessions:i pct_of_base:m",
-     f"""select stage, sessions, round(cast(greatest(0, least(100, cast(100 * sessions as double) / product_views)) as decimal(38,12)), 4) as pct_of_base
+     f"""select stage, sessions, round(cast(greatest(0, least(100, cast(100 * sessions as double) / product_views)) as decimal(38,10)), 4) as pct_of_base
          from ({_SUMMED}) s, lateral (values {_STAGES}) v(stage, sessions)""")
 
 # ---------------------------------------------------------------- finance
@@ -230,7 +230,7 @@ def _item_sql(dedup: bool) -> str:
           from done_orders o left join fact_shipments s using (order_id) left join fact_payments p using (order_id) left join fact_returns r using (order_id) group by 1"""
         back = "fact_returns"
     return f"""select *, ex_tax as line_revenue_ex_tax, ex_tax - line_cogs as line_gross_profit_ex_tax,
-      round(cast(a_ship as decimal(38,12)), 2) as alloc_shipping_cost, round(cast(a_fee as decimal(38,12)), 2) as alloc_gateway_fee,
+      round(cast(a_ship as decimal(38,8)), 2) as alloc_shipping_cost, round(cast(a_fee as decimal(38,8)), 2) as alloc_gateway_fee,
       cast(cast(ex_tax - line_cogs as double) - a_ship - a_fee - cast(line_refund_amount as double) as decimal(38,12)) as line_net_profit_ex_tax,
       line_refund_amount > 0 as return_leakage_flag,
       ex_tax > 0 and coalesce(cast(line_discount as double) / nullif(cast(ex_tax + line_discount as double), 0), 0) > 0.30 as discount_heavy_flag
