@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.expr import divide, zero
 from ledgerloom.functions.ranking import running
+from ledgerloom.session import cut
 
 Marts = Mapping[str, DataFrame]
 
@@ -164,7 +165,8 @@ def pareto(marts: Marts) -> DataFrame:
     Ranks and running totals are taken over distinct revenue values, then
     given to every product with that value.
     """
-    per = marts["mart_product_performance"].groupBy("product_id").agg(F.sum("revenue_ex_tax").alias("revenue"))
+    # Three uses below, so the per-product totals are written down once.
+    per = cut(marts["mart_product_performance"].groupBy("product_id").agg(F.sum("revenue_ex_tax").alias("revenue")))
     values = per.groupBy("revenue").agg(F.sum("revenue").alias("tied"))
     ranked = running(values, [("revenue", True)], sums=["tied"]).select("revenue", F.col("row_no").alias("revenue_rank"), F.col("run_tied").alias("cumulative"))
     whole = per.agg(F.sum("revenue").alias("_all"))

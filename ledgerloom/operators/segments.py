@@ -9,6 +9,7 @@ from ledgerloom.functions.expr import divide, rows, since, zero
 from ledgerloom.functions.ranking import bin_by_edges, quantiles, rank_bin, running
 from ledgerloom.operators import kpis
 from ledgerloom.operators.views import Tables, orders_completed
+from ledgerloom.session import cut
 
 FIFTHS = (0.2, 0.4, 0.6, 0.8)
 
@@ -25,6 +26,7 @@ def rfm_base(t: Tables) -> DataFrame:
 
 
 def _scored(base: DataFrame, duplicates: str) -> DataFrame:
+    base = cut(base)  # used for two sets of edges and the ranking
     rec = quantiles(base, "recency_days", "customer_id", FIFTHS, prefix="r")
     mon = quantiles(base, "monetary", "customer_id", FIFTHS, prefix="m")
     edges = rec.join(mon)
@@ -127,14 +129,14 @@ def iqr_bounds(df: DataFrame, value: str, key: str, k: float = 1.5, approximate:
 
 
 def outlier_bounds(t: Tables, k: float = 1.5) -> DataFrame:
-    cust = customer_discount(t)
+    cust = cut(customer_discount(t))
     parts = [iqr_bounds(cust, c, "customer_id", k).select(F.lit(c).alias("measure"), "lo", "hi") for c in ("avg_discount_pct", "refund_amount")]
     return parts[0].unionByName(parts[1])
 
 
 def outlier_flags(t: Tables, k: float = 1.5) -> DataFrame:
     """Customers above the upper bound for mean discount or for refunds, worst first."""
-    cust = customer_discount(t)
+    cust = cut(customer_discount(t))
     disc = iqr_bounds(cust, "avg_discount_pct", "customer_id", k).select(F.col("hi").alias("hi_discount"))
     ref = iqr_bounds(cust, "refund_amount", "customer_id", k).select(F.col("hi").alias("hi_refund"))
     by_disc = F.col("avg_discount_pct") > F.col("hi_discount")

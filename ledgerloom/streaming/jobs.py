@@ -1,8 +1,8 @@
 """Structured Streaming jobs over the same operators as the batch side.
 
 Sinks are folders with one sub-folder per micro-batch that a replayed batch
-replaces, so every job is exactly-once given a replayable source. Nothing but
-duplicate ids and open day windows is kept as state.
+replaces, so every job is exactly-once given a replayable source. Micro-batches
+leave results that combine on read; only the inventory job keeps state.
 """
 
 from __future__ import annotations
@@ -69,23 +69,52 @@ def ingest_events(requests: DataFrame, accepted_path: str, quarantine_path: str,
     run_available(normalise(requests), checkpoint, split)
 
 
-def dedupe_events(events: DataFrame, path: str, checkpoint: str, delay: str = "1 day") -> None:
-    """Each event id once; ids are remembered for the delay, which bounds the state."""
-    once = events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
-    run_available(once, checkpoint, to_folder(path))
+def drop_repeats(events: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Streaming de-duplication in state: ids are remembered for the delay.
 
+    Events later than the delay are lost, so this suits sources with a known
+    bound on lateness; :func:`dedupe_events` has no such limit.
+    """
+    return events.withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+
+
+def dedupe_events(events: DataFrame, path: str, checkpoint: str) -> None:
+    """Each event id once, however late a repeat comes.
+
+    A repeat carries the same time as the first delivery, so a micro-batch is
+    compared only with the stored events of its own days. Nothing is kept in
+    state and nothing is dropped for being late.
+    """
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        fresh = df.dropDuplicates(["event_id"]).withColumn("event_dt", F.to_date("event_ts"))
+        if batch_id:
+            days = [r[0] for r in fresh.select("event_dt").distinct().collect()]  # as short as the calendar
+            old = read_folder(spark, path).where((F.col("batch") != batch_id) & F.col("event_dt").isin(days))
+            fresh = fresh.join(old.select("event_id"), "event_id", "left_anti")
+        fresh.write.mode("overwrite").partitionBy("event_dt").parquet(f"{path}/batch={batch_id}")
 
-def daily_flags(events: DataFrame, path: str, checkpoint: str, delay: str = "2 days") -> None:
-    """Stage flags per day window and session, kept as state until the day is past the delay."""
-    day = F.window("event_ts", "1 day")
-    flags = funnel.session_flags(events.withWatermark("event_ts", delay), day, "session_id")
-    run_available(flags.select(F.to_date("window.start").alias("event_dt"), "session_id", *funnel.STAGE_FLAGS), checkpoint, to_folder(path), "update")
+    run_available(events, checkpoint, each)
+
+
+def daily_flags(events: DataFrame, path: str, checkpoint: str) -> None:
+    """Per micro-batch stage flags by day and session.
+
+    Flags only ever turn on, so batches combine by OR on read: no window has
+    to stay open and a late event still counts.
+    """
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        flags = funnel.session_flags(df, F.to_date("event_ts").alias("event_dt"), "session_id")
+        to_folder(path)(flags, batch_id)
+
+    run_available(events, checkpoint, each)
 
 
 def read_daily_flags(spark: SparkSession, path: str) -> DataFrame:
-    """The last emitted flags per day and session; flags only ever turn on, so OR gives the same."""
-    emitted = read_folder(spark, path)
-    return emitted.groupBy("event_dt", "session_id").agg(*[F.bool_or(f).alias(f) for f in funnel.STAGE_FLAGS])
+    parts = read_folder(spark, path)
+    return parts.groupBy("event_dt", "session_id").agg(*[F.bool_or(f).alias(f) for f in funnel.STAGE_FLAGS])
 
 
 def journey_parts(events: DataFrame, path: str, checkpoint: str) -> None:

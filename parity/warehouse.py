@@ -299,7 +299,7 @@ class Warehouse(Mapping):
 
     def _build(self, name: str) -> DataFrame:
         if name in RAW:
-            return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+            return self._spread(name, self._spark.read.parquet(f"{self._dir}/{name}.parquet"))
         if name == "dim_date":
             return date_dimension(self._spark, CALENDAR_START, CALENDAR_END)
         if name not in TABLES:
@@ -307,6 +307,14 @@ class Warehouse(Mapping):
         sql = TABLES[name]
         return self._spark.sql(_macros(sql, "spark"), **{d: self[d] for d in _deps(sql)})
 
+    def _spread(self, name: str, df: DataFrame) -> DataFrame:
+        """Lines that come as fewer files than there are cores would be read by a few tasks only;
+        such a small table is spread by order. A table of many files is left as it is."""
+        cores = self._spark.sparkContext.defaultParallelism
+        if name != "lineitem" or len(df.inputFiles()) >= cores:
+            return df
+        return df.repartition(cores, "l_orderkey")
+
     def stream(self, name: str) -> DataFrame:
         """A table as a stream: its raw sources are read as they arrive, the mapping is the same."""
         if name in RAW:
