@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,6 +79,18 @@ def since(ts, as_of: str, days: int = 0, hours: int = 0) -> Column:
     return _col(ts) >= start
 
 
+def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add a one-row result's columns to every row, as a single scalar subquery (no join)."""
+    packed = one_row.select(F.struct(*one_row.columns).alias("_one")).scalar()
+    return df.withColumn("_one", packed).select(*df.columns, *[F.col(f"_one.{c}").alias(c) for c in one_row.columns])
+
+
+def side_by_side(*parts: DataFrame) -> DataFrame:
+    """One row from several one-row results, by union and a final maximum (no join)."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def page(df: DataFrame, order: Iterable[Column], limit: int | None, offset: int = 0) -> DataFrame:
     """Ordered paging; with a limit Spark keeps only limit+offset rows per task."""
     out = df.orderBy(*order)

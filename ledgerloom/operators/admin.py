@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import check_bounds, page, rounded, rows, since, total
+from ledgerloom.functions.expr import attach, check_bounds, page, rounded, rows, since, total
 from ledgerloom.operators.views import Tables
 
 
@@ -106,7 +106,7 @@ def category_share(product_mart: DataFrame, as_of: str, window_days: int = 30, l
     shown = top.agg(F.sum("revenue_ex_tax").cast("double").alias("_total"))
     whole = F.when(F.col("_total") > 0, F.col("_total")).otherwise(F.raise_error(F.lit("no revenue in the window")).cast("double"))
     share = rounded(F.col("revenue_ex_tax").cast("double") / whole * 100.0, 4)
-    return top.join(F.broadcast(shown)).select("category", "revenue_ex_tax", share.alias("share_pct"))  # one row
+    return attach(top, shown).select("category", "revenue_ex_tax", share.alias("share_pct"))
 
 
 def refund_leakage(finance_mart: DataFrame, as_of: str, window_days: int = 90) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import divide, pct, rows, share_if, total, zero
+from ledgerloom.functions.expr import attach, divide, pct, rows, share_if, total, zero
 from ledgerloom.operators import finance, kpis, measures
 from ledgerloom.operators.measures import Marts
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
@@ -94,7 +94,7 @@ def rule_segments(marts: Marts, as_of: str) -> DataFrame:
         "High-value": (q == 1) & (rev.cast("double") > F.col("_mean")),
     }
     labels = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]), lambda x: x.isNotNull())
-    return seg.join(F.broadcast(mean)).select("customer_id", labels.alias("labels")).select(  # one row
+    return attach(seg, mean).select("customer_id", labels.alias("labels")).select(
         "customer_id", F.array_join("labels", ",").alias("labels"), F.get("labels", F.lit(0)).alias("first_label")
     )
 

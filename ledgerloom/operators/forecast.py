@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import spine
-from ledgerloom.functions.expr import zero
+from ledgerloom.functions.expr import attach, zero
 from ledgerloom.operators.views import Tables, orders_completed
 
 
@@ -21,7 +21,7 @@ def daily_series(t: Tables, by: list[str] | None = None) -> DataFrame:
     days = spine(spans, "first_dt", "last_dt", by).withColumnRenamed("date_value", "dt")
     starts = spans.select(*by, F.col("first_dt"))
     filled = days.join(daily, [*by, "dt"], "left")
-    filled = filled.join(starts, by) if by else filled.join(F.broadcast(starts))
+    filled = filled.join(starts, by) if by else attach(filled, starts)
     return filled.select(*by, "dt", F.date_diff("dt", "first_dt").alias("day_no"), zero("net_revenue").alias("net_revenue"))
 
 

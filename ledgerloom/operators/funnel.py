@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import check_bounds, divide, page, ratio0, rounded, rows, since, total, zero
+from ledgerloom.functions.expr import attach, check_bounds, divide, page, ratio0, rounded, rows, side_by_side, since, total, zero
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
 
 # Event stages, as flag column -> stage, and the default price ratio.
@@ -103,7 +103,7 @@ def leakage(t: Tables, events: DataFrame, orders: DataFrame, returns: DataFrame)
         total(F.col("adds") * F.col("list_price")).alias("listed")
     )
     lost = rounded(F.col("listed").cast("double") * F.col("sell_ratio"), 6)
-    one_row = realised.join(refunds).join(failures).join(listed).join(sell_ratio(t))
+    one_row = side_by_side(realised, refunds, failures, listed, sell_ratio(t))
     out = one_row.select(
         "net_revenue_ex_tax", lost.alias("revenue_lost_cart_abandonment"), "revenue_lost_payment_failures", "refunds_leakage"
     )
@@ -138,16 +138,12 @@ def product_leakage(t: Tables) -> DataFrame:
         .agg(rows().alias("failed_orders"), F.sum("revenue").alias("failed_revenue"))
     )
     lost = rounded((F.col("abandoned_adds") * F.col("list_price")).cast("double") * F.col("sell_ratio"), 2)
-    return (
-        per_product.join(t["dim_product"].select("product_id", "product_name", "list_price"), "product_id")
-        .join(lost_items, "product_id", "left")
-        .join(sell_ratio(t))
-        .select(
-            "product_id", "product_name", "product_views", "add_to_cart", "abandoned_adds",
-            lost.alias("revenue_lost_cart_abandonment"),
-            zero("failed_orders").alias("failed_orders"),
-            zero("failed_revenue").alias("revenue_lost_payment_failures"),
-        )
+    joined = per_product.join(t["dim_product"].select("product_id", "product_name", "list_price"), "product_id").join(lost_items, "product_id", "left")
+    return attach(joined, sell_ratio(t)).select(
+        "product_id", "product_name", "product_views", "add_to_cart", "abandoned_adds",
+        lost.alias("revenue_lost_cart_abandonment"),
+        zero("failed_orders").alias("failed_orders"),
+        zero("failed_revenue").alias("revenue_lost_payment_failures"),
     )
 
 
@@ -181,7 +177,7 @@ def summary_window(t: Tables, as_of: str, window_days: int = 30) -> DataFrame:
     orders = orders_completed(t).where(since("order_ts", as_of, window_days))
     returns = t["fact_returns"].where(since("return_ts", as_of, window_days))
     counted = session_flags(events, "session_id").agg(*stage_counts(), F.count_if("pay_failed").alias("payment_failed"))
-    return counted.select(*STAGE_COUNTS, *rates()).join(leakage(t, events, orders, returns))
+    return side_by_side(counted.select(*STAGE_COUNTS, *rates()), leakage(t, events, orders, returns))
 
 
 def daily_window(t: Tables, as_of: str, window_days: int = 30) -> DataFrame:

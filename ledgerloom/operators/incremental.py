@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import rounded, rows
+from ledgerloom.functions.expr import attach, rounded, rows
 from ledgerloom.functions.ranking import running
 from ledgerloom.operators.views import Tables
 
@@ -259,9 +259,7 @@ def change_prices(products: DataFrame, change: Column, now: Column) -> DataFrame
 def assign_ids(df: DataFrame, order: str, offset: DataFrame, name: str = "new_id") -> DataFrame:
     """Number rows offset+1, offset+2, ... in ``order``; ``offset`` is a one-row DataFrame with ``max_id``."""
     numbered = running(df, [(order, False)])
-    return numbered.join(F.broadcast(offset.select("max_id"))).select(  # one row
-        *df.columns, (F.col("row_no") + F.col("max_id")).alias(name)
-    )
+    return attach(numbered, offset.select("max_id")).select(*df.columns, (F.col("row_no") + F.col("max_id")).alias(name))
 
 
 def staged(t: Mapping[str, DataFrame]) -> list[str]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import month_of
-from ledgerloom.functions.expr import pct, rows, share_if, since, zero
+from ledgerloom.functions.expr import pct, rows, share_if, side_by_side, since, zero
 from ledgerloom.operators.views import Tables, is_failed, orders_completed, with_product
 
 
@@ -174,5 +174,4 @@ def leakage_breakdown(t: Tables) -> DataFrame:
     ship = t["fact_shipments"].agg(F.sum("shipping_cost").alias("shipping_cost"))
     back = t["fact_returns"].agg(F.sum("refund_amount").alias("refunds"))
     leak = F.col("discounts") + F.col("shipping_cost") + F.col("refunds")
-    # Three one-row aggregates side by side.
-    return orders.join(ship).join(back).select("*", leak.alias("leakage_total"))
+    return side_by_side(orders, ship, back).select("*", leak.alias("leakage_total"))

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import pct0, ratio0, rounded, rows, surrogate_key, total, zero
+from ledgerloom.functions.expr import attach, pct0, ratio0, rounded, rows, surrogate_key, total, zero
 from ledgerloom.functions.ranking import running, tile_of
 from ledgerloom.operators import finance, funnel
 from ledgerloom.operators.views import Tables, orders_completed
@@ -53,11 +53,8 @@ def exec_daily(t: Tables, pnl: DataFrame | None = None) -> DataFrame:
     )
     fun = funnel.daily_metrics(t).withColumnRenamed("event_dt", "d")
     bounds = activity_bounds(t)
-    days = (
-        t["dim_date"].select("date_id", F.col("date_value").alias("d"))
-        .join(F.broadcast(bounds), F.col("d").between(F.col("first_dt"), F.col("last_dt")))  # one row
-        .select("date_id", "d")
-    )
+    days = attach(t["dim_date"].select("date_id", F.col("date_value").alias("d")), bounds)
+    days = days.where(F.col("d").between(F.col("first_dt"), F.col("last_dt"))).select("date_id", "d")
     joined = reduce(lambda left, right: left.join(right, "d", "left"), (sales, back, ship, fun), days)
     rev = zero("revenue_ex_tax")
     return joined.select(
@@ -152,7 +149,7 @@ def product_performance(t: Tables) -> DataFrame:
     dd = t["dim_date"].select("date_id", F.col("date_value").alias("dt"))
     prod = t["dim_product"].select("product_id", "category_l1", "category_l2", "brand", "list_price")
     lost = rounded((F.col("abandoned_add_sessions") * F.col("list_price")).cast("double") * F.col("sell_ratio"), 6)
-    return summed.join(dd, "dt").join(prod, "product_id").join(funnel.sell_ratio(t)).select(
+    return attach(summed.join(dd, "dt").join(prod, "product_id"), funnel.sell_ratio(t)).select(
         surrogate_key("date_id", "product_id").alias("product_perf_sk"), "date_id", "dt", "product_id", "category_l1", "category_l2", "brand",
         *PRODUCT_MEASURES, lost.alias("revenue_lost_cart_abandonment"),
     )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import divide, zero
+from ledgerloom.functions.expr import attach, divide, side_by_side, zero
 from ledgerloom.functions.ranking import running
 from ledgerloom.session import cut
 
@@ -97,10 +98,7 @@ def measure(marts: Marts, names: Sequence[str], by: Sequence[str] = (), where: C
             df = _with_dimensions(marts[mart], by, marts, mart)
             df = df if where is None else df.where(where)
             sides.append(df.groupBy(*by).agg(*[F.expr(defs[b]).cast("double").alias(b) for b in mine]))
-    joined = sides[0]
-    for other in sides[1:]:
-        # No slice: each side is one row.
-        joined = joined.join(other, by, "full_outer") if by else joined.join(other)
+    joined = reduce(lambda a, b: a.join(b, by, "full_outer"), sides) if by else side_by_side(*sides)
     for name, (_, text) in DERIVED.items():
         if name in needed:
             joined = joined.withColumn(name, F.expr(text))
@@ -142,7 +140,7 @@ def anomalies(marts: Marts, threshold: float = 2.0) -> DataFrame:
     x = F.col("net_revenue").cast("double")
     stats = d.agg(F.avg(x).alias("_mu"), F.stddev_pop(x).alias("_sd"))
     z = divide(x - F.col("_mu"), "_sd")
-    return d.join(F.broadcast(stats)).select("dt", "net_revenue", z.alias("z"), zero((F.abs(z) >= threshold).cast("int")).alias("flag"))  # one row
+    return attach(d, stats).select("dt", "net_revenue", z.alias("z"), zero((F.abs(z) >= threshold).cast("int")).alias("flag"))
 
 
 # ------------------------------------------------------------------ customers and products
@@ -171,7 +169,7 @@ def pareto(marts: Marts) -> DataFrame:
     ranked = running(values, [("revenue", True)], sums=["tied"]).select("revenue", F.col("row_no").alias("revenue_rank"), F.col("run_tied").alias("cumulative"))
     whole = per.agg(F.sum("revenue").alias("_all"))
     share = divide("cumulative", "_all")
-    return per.join(ranked, "revenue").join(F.broadcast(whole)).select(  # one row
+    return attach(per.join(ranked, "revenue"), whole).select(
         "product_id", "revenue", "revenue_rank", "cumulative", share.alias("cumulative_pct"),
         F.when(share <= 0.8, "A").when(share <= 0.95, "B").otherwise("C").alias("abc_class"),
     )

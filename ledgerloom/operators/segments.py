@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import divide, rows, since, zero
+from ledgerloom.functions.expr import attach, divide, rows, side_by_side, since, zero
 from ledgerloom.functions.ranking import bin_by_edges, quantiles, rank_bin, running
 from ledgerloom.operators import kpis
 from ledgerloom.operators.views import Tables, orders_completed
@@ -20,7 +20,7 @@ def rfm_base(t: Tables) -> DataFrame:
     clock = orders.agg((F.max("order_ts") + F.expr("interval 1 day")).alias("as_of"))
     per = orders.groupBy("customer_id").agg(F.max("order_ts").alias("last_ts"), rows().alias("frequency"), F.sum("net_amount").alias("monetary"))
     seconds = F.unix_timestamp("as_of") - F.unix_timestamp("last_ts")
-    return per.join(F.broadcast(clock)).select(  # one row
+    return attach(per, clock).select(
         "customer_id", F.floor(seconds / 86400).cast("int").alias("recency_days"), "frequency", "monetary"
     )
 
@@ -29,7 +29,7 @@ def _scored(base: DataFrame, duplicates: str) -> DataFrame:
     base = cut(base)  # used for two sets of edges and the ranking
     rec = quantiles(base, "recency_days", "customer_id", FIFTHS, prefix="r")
     mon = quantiles(base, "monetary", "customer_id", FIFTHS, prefix="m")
-    edges = rec.join(mon)
+    edges = side_by_side(rec, mon)
     distinct_edges = [F.size(F.array_distinct(F.array(*[F.col(f"{p}{i}") for i in range(4)]))) == 4 for p in "rm"]
     guard = F.when(distinct_edges[0] & distinct_edges[1], F.lit(True)).otherwise(F.raise_error(F.lit("quantile edges are not distinct")).cast("boolean"))
     if duplicates == "raise":
@@ -37,7 +37,7 @@ def _scored(base: DataFrame, duplicates: str) -> DataFrame:
     elif duplicates != "keep":
         raise ValueError("duplicates must be 'raise' or 'keep'")
     ranked = running(base, [("frequency", False), ("customer_id", False)])
-    return ranked.join(F.broadcast(edges)).select(  # one row of eight numbers
+    return attach(ranked, edges).select(
         "customer_id", "recency_days", "frequency", "monetary",
         (6 - bin_by_edges(F.col("recency_days").cast("double"), [F.col(f"r{i}") for i in range(4)])).alias("r_score"),
         rank_bin(F.col("row_no"), F.col("group_n"), 5).alias("f_score"),
@@ -141,7 +141,7 @@ def outlier_flags(t: Tables, k: float = 1.5) -> DataFrame:
     ref = iqr_bounds(cust, "refund_amount", "customer_id", k).select(F.col("hi").alias("hi_refund"))
     by_disc = F.col("avg_discount_pct") > F.col("hi_discount")
     by_ref = F.col("refund_amount").cast("double") > F.col("hi_refund")
-    out = cust.join(F.broadcast(disc.join(ref))).select(  # one row
+    out = attach(cust, side_by_side(disc, ref)).select(
         *cust.columns, by_disc.alias("flag_discount_abuse"), by_ref.alias("flag_refund_abuse"), (by_disc | by_ref).alias("flag_any")
     )
     return out.orderBy(F.col("flag_any").desc(), F.col("refund_amount").desc(), "customer_id")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import check_bounds, page, rounded, rows, zero
+from ledgerloom.functions.expr import attach, check_bounds, page, rounded, rows, zero
 from ledgerloom.functions.ranking import running
 from ledgerloom.operators.incremental import dedupe_latest
 from ledgerloom.operators.views import Tables, orders_completed, projection, with_product
@@ -337,7 +337,7 @@ def customer_bucket(t: Tables, emails: DataFrame) -> DataFrame:
 
     two64 = F.lit(str(2**64)).cast("decimal(20,0)")
     bucket = mod((mod(half(1)) * mod(two64)).cast("decimal(38,0)") + mod(half(17)).cast("decimal(38,0)"))
-    keyed = clean.join(F.broadcast(n)).withColumn("row_no", bucket.cast("bigint") + 1)  # one row
+    keyed = attach(clean, n).withColumn("row_no", bucket.cast("bigint") + 1)
     return keyed.join(ranked, "row_no").select("email", "customer_id", "geo_id")
 
 

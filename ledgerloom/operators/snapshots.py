@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import pct, ratio, rows, total, zero
+from ledgerloom.functions.expr import attach, pct, ratio, rows, side_by_side, total, zero
 from ledgerloom.operators import finance, funnel
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
 
@@ -25,7 +25,7 @@ def _funnel_metrics(t: Tables) -> DataFrame:
         return t["fact_orders"].agg(*[F.count(F.lit(None)).alias(n) for n in names])
     counted = funnel.session_flags(t["fact_funnel_events"], "session_id").agg(*funnel.stage_counts(), F.count_if("pay_failed").alias("failed"))
     leak = funnel.revenue_leakage(t)
-    return counted.join(leak).select(  # two one-row results
+    return side_by_side(counted, leak).select(
         zero(ratio("orders_placed", "product_views", 4)).alias(names[0]),
         zero(ratio(F.col("add_to_cart") - F.col("checkout_started"), "add_to_cart", 4)).alias(names[1]),
         zero(ratio("failed", "payment_attempts", 4)).alias(names[2]),
@@ -48,9 +48,7 @@ def snapshot(t: Tables, label: str, snapshot_ts: str) -> DataFrame:
     cogs = cost.join(ids, "order_id", "left_semi").agg(total("c").alias("cogs_total"))
     fees = t["fact_payments"].where(~is_failed()).join(ids, "order_id", "left_semi").agg(total("gateway_fee_amount").alias("gateway_fee_total"))
     losses = finance.order_pnl(t).agg(F.count_if("loss_order_flag").alias("loss_orders_total"))
-    one = top
-    for part in (back, ship, cogs, fees, losses, _funnel_metrics(t)):
-        one = one.join(part)  # each side is a single row
+    one = side_by_side(top, back, ship, cogs, fees, losses, _funnel_metrics(t))
     gross = F.col("net_revenue_total") - F.col("cogs_total")
     net = F.col("gross_profit_total") - F.col("shipping_cost_total") - F.col("gateway_fee_total") - F.col("refund_amount_total")
     one = one.withColumn("gross_profit_total", gross).withColumn("net_profit_total", net)
@@ -66,7 +64,7 @@ def latest(snapshots: DataFrame, label: str | None = None) -> DataFrame:
     """The rows of the newest snapshot, optionally of one label."""
     mine = snapshots if label is None else snapshots.where(F.col("label") == label)
     newest = mine.agg(F.max("snapshot_ts").alias("_ts"))
-    return mine.join(F.broadcast(newest), F.col("snapshot_ts") == F.col("_ts")).drop("_ts")  # one row
+    return attach(mine, newest).where(F.col("snapshot_ts") == F.col("_ts")).drop("_ts")
 
 
 def before_after(snapshots: DataFrame) -> DataFrame:
@@ -83,7 +81,7 @@ def before_after(snapshots: DataFrame) -> DataFrame:
         )
         for side in ("before", "after")
     ]
-    both = sides[0].join(sides[1])  # at most one row each
+    both = side_by_side(*sides).where("before_snapshot_ts is not null and after_snapshot_ts is not null")
     return both.select("*", *[(F.col(f"after_{s}_total") - F.col(f"before_{s}_total")).alias(f"delta_{s}") for s in short.values()])
 
 

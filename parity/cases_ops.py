@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.calendar import describe_days, spine
-from ledgerloom.functions.expr import rows
+from ledgerloom.functions.expr import rows, side_by_side
 from ledgerloom.operators import admin, incremental, marts, quality, reports, snapshots, views
 from ledgerloom.plans import batch
 from ledgerloom.session import checkpoint_root
@@ -347,7 +347,7 @@ def _refresh_job(w) -> DataFrame:
     deltas = {n: w[f"stg_{n}"] for n in incremental.RULES} | {"fact_funnel_events": w["stg_funnel_events"]}
     counts = batch.incremental_refresh(spark, root, deltas, "demo_source", RUN_TS, "0001")
     after = {n: spark.read.parquet(f"{root}/{n}") for n in counts}
-    parts = [c.join(after[n].agg(rows().alias("rows_after"))).select(F.lit(n).alias("table_name"), "*") for n, c in counts.items()]
+    parts = [side_by_side(c, after[n].agg(rows().alias("rows_after"))).select(F.lit(n).alias("table_name"), "*") for n, c in counts.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
