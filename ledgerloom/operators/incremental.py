@@ -74,7 +74,7 @@ def dedupe_latest(delta: DataFrame, key: Sequence[str], version: str = "updated_
     key = list(key)
     rest = [c for c in delta.columns if c not in key]
     ordering = [c for c in (version, "_seq") if c in rest]
-    newest = F.max_by(F.struct(*rest), F.struct(*ordering, *[c for c in rest if c not in ordering]))
+    newest = F.max(F.struct(*ordering, *[c for c in rest if c not in ordering]))
     kept = [c for c in delta.columns if c != "_seq"]
     return delta.groupBy(*key).agg(newest.alias("_r")).select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in kept])
 

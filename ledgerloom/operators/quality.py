@@ -104,7 +104,7 @@ def drop_merged(products: DataFrame, mapping: DataFrame) -> DataFrame:
 def _newest(df: DataFrame, key: list[str], version: str) -> DataFrame:
     """One row per key, the newest; a partial aggregate, so many copies of a key shrink before the shuffle."""
     rest = [c for c in df.columns if c not in key]
-    newest = F.max_by(F.struct(*rest), F.struct(version, *[c for c in rest if c != version]))
+    newest = F.max(F.struct(version, *[c for c in rest if c != version]))
     return df.groupBy(*key).agg(newest.alias("_r")).select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 

@@ -79,7 +79,8 @@ def dedupe(events: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """The first delivery per (provider, event id), leaving out those already seen."""
     key = ["provider", "event_id"]
     rest = [c for c in events.columns if c not in key]
-    first = F.min_by(F.struct(*rest), F.struct("received_at", "body"))
+    order = ["received_at", "body"]
+    first = F.min(F.struct(*order, *[c for c in rest if c not in order]))
     out = events.groupBy(*key).agg(first.alias("_f")).select(*[F.col(c) if c in key else F.col(f"_f.{c}").alias(c) for c in events.columns])
     return out if seen is None else out.join(seen.select(*key), key, "left_anti")
 

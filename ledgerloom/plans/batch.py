@@ -54,28 +54,49 @@ def init_table(df: DataFrame, path: str, rule: incremental.MergeRule) -> None:
     _write_months(df, path, rule.partition_source)
 
 
+def init_tables(tables: Tables, root: str) -> None:
+    """First load of every merged table and of the events; they do not depend on each other."""
+
+    def one(name: str) -> None:
+        init_table(tables[name], f"{root}/{name}", incremental.RULES[name])
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        list(pool.map(one, incremental.RULES))
+    events = tables["fact_funnel_events"].withColumn("run", F.lit("0000"))
+    events.write.mode("overwrite").partitionBy("run").parquet(f"{root}/fact_funnel_events")
+
+
+def _near(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """Target rows whose key lies between the delta's smallest and largest: two values that reach the scan."""
+    low, high = delta.agg(F.min(key), F.max(key)).first()
+    return target.where(F.col(key).between(low, high))
+
+
 def merge_into(spark: SparkSession, path: str, delta: DataFrame, rule: incremental.MergeRule, audit_path: str, run_id: str) -> DataFrame:
     """Merge a delta into a monthly table, rewriting only the months it touches.
 
     Touched months are those of the delta's rows plus those where its keys
-    already live; their list is as short as the calendar. Audit rows go to a
-    folder per run that a rerun replaces, and versions are compared, so a run
-    that died half-way can simply be repeated.
+    already live; their list is as short as the calendar. The search for keys
+    reads one column, and only row groups within the delta's key range. Audit
+    rows are complete before the table changes, and versions are compared, so
+    a run that died half-way can simply be repeated.
     """
     configure(spark)
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     target = spark.read.parquet(path)
     clean = incremental.dedupe_latest(delta, [rule.key], rule.version)
-    homes = target.join(clean.select(rule.key), rule.key, "left_semi").select("month")
+    homes = _near(target, clean, rule.key).join(clean.select(rule.key), rule.key, "left_semi").select("month")
     fresh = _months(clean, rule.partition_source).select("month")
     touched = [r[0] for r in homes.union(fresh).distinct().collect()]
     part = target.where(F.col("month").isin(touched)).drop("month")
     result = incremental.merge(part, clean, rule, settle=cut)
-    counts = publish(result.counts, f"{audit_path}/counts", rule.table, run_id)
-    if rule.audit:
+    # A run id stands for one delta. What its first attempt recorded, before the table changed, is kept by a rerun.
+    if run_id not in versions(spark, f"{audit_path}/counts", rule.table):
+        publish(result.counts, f"{audit_path}/counts", rule.table, run_id)
+    if rule.audit and f"run={run_id}" not in versions(spark, audit_path, rule.table):
         result.audit.write.mode("overwrite").parquet(f"{audit_path}/{rule.table}/run={run_id}")
     _write_months(result.merged, path, rule.partition_source)
-    return counts
+    return spark.read.parquet(f"{audit_path}/counts/{rule.table}/{run_id}")
 
 
 # Merge order. Tables in one group do not refer to each other and are merged at the same time.
@@ -118,7 +139,7 @@ def incremental_refresh(
 def append_events(spark: SparkSession, path: str, events: DataFrame, run_id: str) -> DataFrame:
     """Append events with unseen ids; the run's own folder is replaced on a rerun."""
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    seen = spark.read.parquet(path).where(F.col("run") != run_id)
+    seen = _near(spark.read.parquet(path).where(F.col("run") != run_id), events, "event_id")
     fresh = events.dropDuplicates(["event_id"]).join(seen.select("event_id"), "event_id", "left_anti").withColumn("run", F.lit(run_id))
     fresh.write.mode("overwrite").partitionBy("run").parquet(path)
     added = spark.read.parquet(path).where(F.col("run") == run_id)

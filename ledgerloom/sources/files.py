@@ -11,14 +11,16 @@ from pyspark.sql.types import StructType
 from ledgerloom.sources import schemas
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def load_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
     """Read a CSV with a header in any column order into a declared schema.
 
     Columns are matched by header name and cast strictly: a value that does not
     fit its type fails the job. Unknown or missing columns and a file without a
     header are errors; columns the schema allows to be NULL may be absent.
+    Files are read in splits; one with line breaks inside quotes needs
+    ``multi_line`` (and is then read by one task), or its load fails.
     """
-    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, nullValue="", mode="FAILFAST")
+    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line, nullValue="", mode="FAILFAST")
     if not raw.columns:
         raise ValueError(f"empty file: {path}")
     unknown = [c for c in raw.columns if c not in schema.names]

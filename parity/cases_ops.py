@@ -341,9 +341,7 @@ case("inc_before_after", lambda w: snapshots.before_after(_snap_table(w)),
 def _refresh_job(w) -> DataFrame:
     """Load the merge-maintained tables, run one refresh, and report its counts."""
     root, spark = _scratch(w), _session(w)
-    for name, rule in incremental.RULES.items():
-        batch.init_table(w[name], f"{root}/{name}", rule)
-    w["fact_funnel_events"].withColumn("run", F.lit("0000")).write.partitionBy("run").parquet(f"{root}/fact_funnel_events")
+    batch.init_tables(w, root)
     deltas = {n: w[f"stg_{n}"] for n in incremental.RULES} | {"fact_funnel_events": w["stg_funnel_events"]}
     counts = batch.incremental_refresh(spark, root, deltas, "demo_source", RUN_TS, "0001")
     after = {n: spark.read.parquet(f"{root}/{n}") for n in counts}

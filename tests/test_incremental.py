@@ -83,6 +83,9 @@ def test_monthly_merge_rewrites_touched_months_only_and_survives_a_rerun(spark,
     assert [r[0] for r in rows(spark.read.parquet(path))] == [1, 2, 3, 4, 9]
     assert tuple(batch.merge_into(spark, path, new, RULE, audit, "0002").first()) == (0, 0)
     assert spark.read.parquet(f"{audit}/t").where("run = 1").count() == 1
+    assert tuple(batch.merge_into(spark, path, new, RULE, audit, "0001").first()) == (1, 1)  # the first run again
+    assert spark.read.parquet(f"{audit}/t").where("run = 1").count() == 1
+    assert [r[0] for r in rows(spark.read.parquet(path))] == [1, 2, 3, 4, 9]
 
 
 def test_update_whose_creation_date_moved_stays_one_row(spark, frame, tmp_path):
