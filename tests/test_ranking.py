@@ -12,6 +12,19 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.ranking import quantiles, rank_bin, running, tile_of
 
 
+@pytest.fixture(autouse=True)
+def several_ranges(spark):
+    """Keep small ranges apart, so that totals really cross range borders."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_rows_do_span_ranges(spark):
+    ranged = spark.createDataFrame(skewed()).repartitionByRange("g", "v", "id").withColumn("p", F.spark_partition_id())
+    assert ranged.where("g = 7").select("p").distinct().count() > 1
+
+
 def skewed(n=3000):
     rng = np.random.default_rng(3)
     group = np.where(rng.random(n) < 0.4, 7, rng.integers(0, 40, n))
