@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import langid, mixture, quality, token_files, toxicity
+from ledgerloom.llm import langid, line_dedup, minhash_dedup, mixture, quality, token_files, toxicity
 from ledgerloom.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -22,6 +22,14 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -46,5 +54,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_mix, op4_quality, op5_language, op9_token_files, op10_toxicity)
+    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op9_token_files, op10_toxicity)
 }

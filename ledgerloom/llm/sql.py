@@ -38,4 +38,42 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM placed
 """
 
-SQL: dict[str, str] = {"op3_mix": _OP3}
+_OP1 = """
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+split AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM docs),
+keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM split
+),
+shared AS (SELECT key, min(doc_id) AS stays FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE doc_id > stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE stays IS NULL OR doc_id <= stays), '')) AS kept_sha256
+FROM keyed LEFT JOIN shared USING (key)
+GROUP BY doc_id
+"""
+
+_OP2 = rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS words FROM documents
+),
+sets AS (
+    SELECT doc_id, list_distinct(CASE
+        WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingles
+    FROM docs
+),
+posts AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+pairs AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM posts a JOIN posts b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+edges AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach(doc_id, other) AS (SELECT a, b FROM edges UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON r.other = e.a),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, least(s.doc_id, coalesce(other, s.doc_id)) AS component_id,
+       least(s.doc_id, coalesce(other, s.doc_id)) = s.doc_id AS kept
+FROM sets s LEFT JOIN least USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_line_dedup": _OP1, "op2_near_dedup": _OP2, "op3_mix": _OP3}
