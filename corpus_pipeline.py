@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixture, token_files, toxicity
+from ledgerloom.llm import decontaminate, minhash_dedup, mixture, token_files, toxicity
 from ledgerloom.llm.queries import table, tokenizer_file
 from ledgerloom.llm.shared import kept
 
@@ -20,6 +20,16 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.remove(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the smallest doc_id."""
+    return minhash_dedup.dedup(docs)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no passage with a benchmark item."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each use of a document in the mix."""
     return mixture.materialise(docs, mixture.mix(docs))
@@ -32,6 +42,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", toxic),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", benchmark),
     ("source_weights", weights),
     ("token_files", token_ids),
 ]

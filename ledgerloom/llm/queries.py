@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import langid, line_dedup, minhash_dedup, mixture, quality, token_files, toxicity
+from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, quality, suffix_dedup, token_files, toxicity
 from ledgerloom.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -44,6 +44,18 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.learn(docs))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_bytes")
+
+
+def op7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.encode_table(table(spark, sf_dir, "documents"), tokenizer_file(), end_id=2)
 
@@ -54,5 +66,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op9_token_files, op10_toxicity)
+    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity)
 }

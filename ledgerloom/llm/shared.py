@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -72,3 +73,9 @@ def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, t
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array) else out[f.name].cast(f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, target)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are over; it does so once the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()

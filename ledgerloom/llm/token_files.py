@@ -30,41 +30,58 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import drop, folder, kept, passes
 
-#: Encodings of distinct pieces that a task keeps at most; beyond that it starts anew.
+#: Encodings of distinct pieces that a worker keeps at most, twice.
 CACHE_PIECES = 400_000
-#: Blanks of the tokenizer's pattern: all that Python calls blank but the four separators 0x1C-0x1F.
-_PIECE = r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+"
+#: A word of Latin letters before a mark, or a run of non-blanks, each with the blanks before it. Blanks are those of
+#: the tokenizer's pattern: all that Python calls blank but the separators 0x1C-0x1F.
+_PIECE = r"[^\S\x1c-\x1f]*(?:[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[.,;:!?*&%$#|])|[\S\x1c-\x1f]+)|[^\S\x1c-\x1f]+"
 _SHARDS = "shard string, first_id long, first_hash long, n_docs long, n_tokens long, n_rows long"
 
 
+class _Memo(dict):
+    """Ids of pieces as bytes, encoded when first asked for; two generations of at most CACHE_PIECES each."""
+
+    def __init__(self, encode_piece):
+        self.encode_piece, self.old = encode_piece, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.encode_piece(piece)
+        if len(self) >= CACHE_PIECES:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
 def encoder(tokenizer_file: str):
-    """A function from texts to their ids (arrays of the smallest type that holds the vocabulary).
+    """A function from a text to its ids, as an array of the smallest type that holds the vocabulary.
 
     A byte-level BPE never merges across the place where a blank follows a
-    non-blank, so a text's ids are those of its pieces between such places. Each
-    distinct piece is encoded once and remembered.
+    non-blank, nor where a mark follows a letter, so a text's ids are those of its
+    pieces between such places. Each distinct piece is encoded once and remembered
+    for the life of the worker process.
     """
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(tokenizer_file)
-    kind = json.loads(tok.to_str())["pre_tokenizer"] or {}
-    by_piece = kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
+    import tokenizers
+
+    known = tokenizers.__dict__.setdefault("_remembered", {})
+    if tokenizer_file in known:
+        return known[tokenizer_file]
+    tok = tokenizers.Tokenizer.from_file(tokenizer_file)
+    kind = json.loads(tok.pre_tokenizer.__getstate__()) if tok.pre_tokenizer is not None else {}
+    by_piece = tok.normalizer is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
     dtype = np.dtype("<u2" if tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-    find = re.compile(_PIECE if by_piece else r"(?s).+").findall
-    cache: dict[str, bytes] = {}
-
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        pieces = [find(t) for t in texts]
-        new = set(chain.from_iterable(pieces)) - cache.keys()
-        if len(cache) + len(new) > CACHE_PIECES:
-            cache.clear()
-            new = set(chain.from_iterable(pieces))
-        order = list(new)
-        for piece, e in zip(order, tok.encode_batch_fast(order, add_special_tokens=False), strict=True):
-            cache[piece] = np.array(e.ids, dtype).tobytes()
-        get = cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, p)), dtype) for p in pieces]
 
+    def encode_piece(piece: str) -> bytes:
+        return np.array(tok.encode(piece, add_special_tokens=False).ids, dtype).tobytes()
+
+    find, get = re.compile(_PIECE).findall, _Memo(encode_piece).__getitem__
+
+    def encode(text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(get, find(text))) if by_piece else encode_piece(text), dtype)
+
+    known[tokenizer_file] = encode, dtype
     return encode, dtype
 
 
@@ -136,7 +153,7 @@ def write(docs: DataFrame, tokenizer_file: str, end_id: int, length: int = 2048,
                 sink = fs.open_output_stream(f"{base}/{name}.docs.arrow")
                 index, first, n_docs, end = pa.ipc.new_file(sink, schema), None, 0, np.array([end_id], dtype)
             starts, sizes = [], []
-            for ids in encode(["" if t is None else t for t in batch.column(1).to_pylist()]):
+            for ids in map(encode, ("" if t is None else t for t in batch.column(1).to_pylist())):
                 starts.append(out.total)
                 sizes.append(len(ids) + 1)
                 out.add(ids)
