@@ -37,21 +37,21 @@ from ledgerloom.llm.words import shingles, windows, words
 _U = np.uint64
 WIDTH = 5
 #: Window sizes; a shingle run of the largest must stay under 256 for the sums of simhashes().
-LADDER = (1, 2, 3, 4, 5, 8, 14)
+LADDER = (1, 2, 3, 4, 5, 8, 13)
 BLOCKS, BLOCK_BITS = 4, 16
 
 
 def clean_run(n: int, percent: int) -> int:
     """Words of an item of ``n`` words that lie together untouched in any passage of the wanted similarity.
 
-    With m shingles at most l = m (1 - s) / (1 + s) are lost; an edit inside costs at
-    least width - 1 of them, so the others lie in l // (width - 1) + 1 runs.
+    With m shingles, e edits inside cost width - 1 shingles each at least and bring
+    as many new ones, so at least s (m + (width - 1) e) shingles are left, in e + 1 runs.
     """
-    m = n - WIDTH + 1
+    m, each = n - WIDTH + 1, WIDTH - 1
     if m <= 1:
         return n
-    lost = m * (100 - percent) // (100 + percent)
-    return -(-(m - lost) // (lost // (WIDTH - 1) + 1)) + WIDTH - 1
+    most = m * (100 - percent) // (each * (100 + percent))
+    return min(-(-percent * (m + each * e) // (100 * (e + 1))) for e in range(most + 1)) + WIDTH - 1
 
 
 class Index(NamedTuple):
