@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.linking import components, link
-from ledgerloom.llm.shared import drop, kept, mapped, text_bytes
+from ledgerloom.llm.shared import drop, kept, mapped, text_bytes, unused
 from ledgerloom.llm.words import mix, shingles, words
 
 _U = np.uint64
@@ -169,6 +169,6 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 40, width: int
 
 def dedup(docs: DataFrame, **options) -> DataFrame:
     """One document of each component, with all columns: rows whose doc_id is the component's."""
-    columns = docs.columns
-    gone = near_duplicates(docs.select("doc_id", "text"), **options).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti").select(*columns)
+    name = unused(docs, "gone")
+    gone = near_duplicates(docs.select("doc_id", "text"), **options).filter("not kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import kept
+from ledgerloom.llm.shared import kept, unused
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -100,14 +100,15 @@ def materialise(docs: DataFrame, mixed: DataFrame, seed: int = 17) -> DataFrame:
     Rows of one doc_id and text count as one document that is used more often. A
     cut text keeps its blanks between words.
     """
-    columns = docs.columns
+    columns, x = docs.columns, unused(docs, "mix")
     uses = mixed.groupBy("key1", "key2").agg(F.sum("taken").alias("taken"), F.max("size").alias("size")).filter("taken > 0")
-    uses = uses.select(*[F.col(c).alias(f"_mix_{c}") for c in uses.columns])
-    one = Window.partitionBy("_mix_key1", "_mix_key2").orderBy(F.lit(0))
-    keyed = docs.select("*", *[k.alias(f"_mix_{n}") for k, n in zip(_keys(seed), ("key1", "key2"), strict=True)])
-    joined = keyed.withColumn("_mix_n", F.row_number().over(one)).filter("_mix_n = 1").join(uses, ["_mix_key1", "_mix_key2"])
-    copies = joined.withColumn("_mix_copy", F.explode(F.sequence(F.lit(0), F.ceil(F.col("_mix_taken") / F.col("_mix_size")).cast("int") - 1)))
-    left = F.col("_mix_taken") - F.col("_mix_copy") * F.col("_mix_size")
+    uses = uses.select(*[F.col(c).alias(f"{x}_{c}") for c in uses.columns])
+    keys = [f"{x}_key1", f"{x}_key2"]
+    size, taken, copy = F.col(f"{x}_size"), F.col(f"{x}_taken"), F.col(f"{x}_copy")
+    keyed = docs.select("*", *[k.alias(n) for k, n in zip(_keys(seed), keys, strict=True)])
+    one = keyed.withColumn(f"{x}_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))).filter(F.col(f"{x}_n") == 1)
+    copies = one.join(uses, keys).withColumn(f"{x}_copy", F.explode(F.sequence(F.lit(0), F.ceil(taken / size).cast("int") - 1)))
+    left = taken - copy * size
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
-    cut = F.when(left >= F.col("_mix_size"), F.col("text")).otherwise(F.array_join(F.slice(pieces, 1, left.cast("int")), ""))
+    cut = F.when(left >= size, F.col("text")).otherwise(F.array_join(F.slice(pieces, 1, left.cast("int")), ""))
     return copies.select(*[cut.alias(c) if c == "text" else c for c in columns])

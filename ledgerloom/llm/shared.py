@@ -36,6 +36,13 @@ def drop(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as make it no prefix of any column of ``df``."""
+    while any(c.lower().startswith(name) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts together and the offset of each; null is empty."""
     arr = texts.fill_null("").cast(pa.large_string())
