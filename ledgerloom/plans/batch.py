@@ -7,10 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.operators import finance, forecast, incremental, kpis, marts, segments
 from ledgerloom.operators.views import Tables
-from ledgerloom.plans.publish import current, publish, versions
+from ledgerloom.plans import monthly
+from ledgerloom.plans.publish import current, is_published, newest, publish
 from ledgerloom.session import configure, cut
 
 # Marts that start from the order P&L.
@@ -40,18 +42,9 @@ def analytics_outputs(t: Tables, as_of: str, cohort_months: list[int]) -> dict[s
 
 
 # ------------------------------------------------------------------ incremental refresh
-def _months(df: DataFrame, source: str) -> DataFrame:
-    return df.withColumn("month", F.date_format(source, "yyyy-MM"))
-
-
-def _write_months(df: DataFrame, path: str, source: str) -> None:
-    """One folder per month; rebalancing gives each month as many files as its size needs, and no more."""
-    _months(df, source).hint("rebalance", "month").write.mode("overwrite").partitionBy("month").parquet(path)
-
-
 def init_table(df: DataFrame, path: str, rule: incremental.MergeRule) -> None:
-    """First load of a table that merges maintain: Parquet in one folder per month."""
-    _write_months(df, path, rule.partition_source)
+    """First load of a table that merges maintain; a repeated one replaces all of it."""
+    monthly.create(df, path, rule.partition_source)
 
 
 def init_tables(tables: Tables, root: str) -> None:
@@ -63,7 +56,7 @@ def init_tables(tables: Tables, root: str) -> None:
     with ThreadPoolExecutor(max_workers=4) as pool:
         list(pool.map(one, incremental.RULES))
     events = tables["fact_funnel_events"].withColumn("run", F.lit("0000"))
-    events.write.mode("overwrite").partitionBy("run").parquet(f"{root}/fact_funnel_events")
+    events.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run").parquet(f"{root}/fact_funnel_events")
 
 
 def _near(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -78,24 +71,25 @@ def merge_into(spark: SparkSession, path: str, delta: DataFrame, rule: increment
     Touched months are those of the delta's rows plus those where its keys
     already live; their list is as short as the calendar. The search for keys
     reads one column, and only row groups within the delta's key range. Audit
-    rows are complete before the table changes, and versions are compared, so
-    a run that died half-way can simply be repeated.
+    rows are complete before the table changes, the changed months become
+    visible together, and versions are compared, so a run that died anywhere
+    can simply be repeated.
     """
     configure(spark)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    target = spark.read.parquet(path)
-    clean = incremental.dedupe_latest(delta, [rule.key], rule.version)
-    homes = _near(target, clean, rule.key).join(clean.select(rule.key), rule.key, "left_semi").select("month")
-    fresh = _months(clean, rule.partition_source).select("month")
+    # Written down once: it is read for its bounds, its months, the search and the merge.
+    clean = cut(incremental.dedupe_latest(delta, [rule.key], rule.version))
+    homes = _near(monthly.read(spark, path), clean, rule.key).join(clean.select(rule.key), rule.key, "left_semi").select("month")
+    fresh = clean.select(monthly.month_of(rule.partition_source).alias("month"))
     touched = [r[0] for r in homes.union(fresh).distinct().collect()]
-    part = target.where(F.col("month").isin(touched)).drop("month")
+    part = monthly.read(spark, path, touched).drop("month")
     result = incremental.merge(part, clean, rule, settle=cut)
     # A run id stands for one delta. What its first attempt recorded, before the table changed, is kept by a rerun.
-    if run_id not in versions(spark, f"{audit_path}/counts", rule.table):
+    if not is_published(spark, f"{audit_path}/counts", rule.table, run_id):
         publish(result.counts, f"{audit_path}/counts", rule.table, run_id)
-    if rule.audit and f"run={run_id}" not in versions(spark, audit_path, rule.table):
-        result.audit.write.mode("overwrite").parquet(f"{audit_path}/{rule.table}/run={run_id}")
-    _write_months(result.merged, path, rule.partition_source)
+    if rule.audit and not is_published(spark, audit_path, rule.table, f"run={run_id}"):
+        publish(result.audit, audit_path, rule.table, f"run={run_id}")
+    if touched:
+        monthly.replace(result.merged, path, rule.partition_source, touched)
     return spark.read.parquet(f"{audit_path}/counts/{rule.table}/{run_id}")
 
 
@@ -116,7 +110,6 @@ def incremental_refresh(
     The watermark moves only after every merge has committed, so a failed run
     is picked up again from the same point.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
     def one(name: str) -> tuple[str, DataFrame]:
         if name == "fact_funnel_events":
@@ -130,7 +123,7 @@ def incremental_refresh(
             counts.update(pool.map(one, due))
     marks = f"{root}/_control"
     mark = spark.range(1).select(F.lit(source).alias("source_name"), F.to_timestamp(F.lit(run_ts)).alias("last_processed_ts"))
-    if versions(spark, marks, "watermarks"):
+    if newest(spark, marks, "watermarks") is not None:
         mark = incremental.watermark_set(current(spark, marks, "watermarks"), source, F.lit(run_ts))
     publish(mark, marks, "watermarks", run_id)
     return counts
@@ -138,9 +131,10 @@ def incremental_refresh(
 
 def append_events(spark: SparkSession, path: str, events: DataFrame, run_id: str) -> DataFrame:
     """Append events with unseen ids; the run's own folder is replaced on a rerun."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    seen = _near(spark.read.parquet(path).where(F.col("run") != run_id), events, "event_id")
+    schema = StructType([*events.schema.fields, StructField("run", StringType())])
+    stored = spark.read.schema(schema).parquet(path)
+    seen = _near(stored.where(F.col("run") != run_id), events, "event_id")
     fresh = events.dropDuplicates(["event_id"]).join(seen.select("event_id"), "event_id", "left_anti").withColumn("run", F.lit(run_id))
-    fresh.write.mode("overwrite").partitionBy("run").parquet(path)
-    added = spark.read.parquet(path).where(F.col("run") == run_id)
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+    added = spark.read.schema(schema).parquet(path).where(F.col("run") == run_id)
     return added.agg(F.count(F.lit(1)).alias("inserted_count"), F.lit(0).cast("long").alias("updated_count"))

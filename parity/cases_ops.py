@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import describe_days, spine
 from ledgerloom.functions.expr import rows, side_by_side
 from ledgerloom.operators import admin, incremental, marts, quality, reports, snapshots, views
-from ledgerloom.plans import batch
+from ledgerloom.plans import batch, monthly
 from ledgerloom.session import checkpoint_root
 from ledgerloom.sources import files, schemas
 from parity.cases_core import BAD_PAY, COHORT_MONTHS, exact
@@ -338,13 +338,17 @@ case("inc_before_after", lambda w: snapshots.before_after(_snap_table(w)),
            (select count(*) from orders_after where order_status in {_DONE4}) as after_orders_total from snap_wide)""")
 
 
-def _refresh_job(w) -> DataFrame:
-    """Load the merge-maintained tables, run one refresh, and report its counts."""
+def _refreshed(w) -> tuple[dict, dict]:
+    """Load the merge-maintained tables, run one refresh: its counts, and the tables after it."""
     root, spark = _scratch(w), _session(w)
     batch.init_tables(w, root)
     deltas = {n: w[f"stg_{n}"] for n in incremental.RULES} | {"fact_funnel_events": w["stg_funnel_events"]}
     counts = batch.incremental_refresh(spark, root, deltas, "demo_source", RUN_TS, "0001")
-    after = {n: spark.read.parquet(f"{root}/{n}") for n in counts}
+    return counts, {n: monthly.read(spark, f"{root}/{n}") if n in incremental.RULES else spark.read.parquet(f"{root}/{n}") for n in counts}
+
+
+def _refresh_job(w) -> DataFrame:
+    counts, after = _refreshed(w)
     parts = [side_by_side(c, after[n].agg(rows().alias("rows_after"))).select(F.lit(n).alias("table_name"), "*") for n, c in counts.items()]
     return reduce(DataFrame.unionByName, parts)
 
@@ -353,6 +357,9 @@ case("inc_refresh_job", _refresh_job, "table_name:s inserted_count:i updated_cou
      "select *, inserted_count + case table_name " + " ".join(f"when '{t}' then (select count(*) from {t})" for t in (*incremental.RULES, "fact_funnel_events")) +
      f" end as rows_after from ({CASES['inc_merge_counts'].sql})")
 
+for _t, _c in (("fact_orders", "inc_merge_orders"), ("fact_returns", "inc_merge_returns"), ("fact_funnel_events", "inc_append_events")):
+    case(f"inc_refresh_job_{_t}", lambda w, t=_t: _refreshed(w)[1][t], CASES[_c].columns, CASES[_c].sql)
+
 # ---------------------------------------------------------------- operations queries
 case("adm_audit_log", lambda w: admin.audit_log(w, 500, 20), _LOG,
      """from (from status_log union all select created_at, order_id, 'CANCELLED', reason, 'customer' from order_cancellations)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import funnel, incremental, webhooks
-from ledgerloom.plans import batch
+from ledgerloom.plans import batch, monthly
 from ledgerloom.session import checkpoint_root
 from ledgerloom.streaming import jobs
 from parity.registry import CASES, FRAGMENTS, case
@@ -68,7 +68,7 @@ def _merge_orders(w: Warehouse) -> DataFrame:
     rule = incremental.RULES["fact_orders"]
     batch.init_table(w["fact_orders"], f"{d}/table", rule)
     jobs.merge_stream(w.stream("stg_fact_orders"), f"{d}/table", rule, f"{d}/audit", f"{d}/cp")
-    return spark.read.parquet(f"{d}/table").drop("month")
+    return monthly.read(spark, f"{d}/table").drop("month")
 
 
 case("st_merge_facts", _merge_orders, CASES["inc_merge_orders"].columns, CASES["inc_merge_orders"].sql)
@@ -82,7 +82,7 @@ def _late_returns(w: Warehouse) -> DataFrame:
     w["stg_fact_returns"].write.parquet(f"{d}/in")
     stream = spark.readStream.schema(w["stg_fact_returns"].schema).option("maxFilesPerTrigger", 4).parquet(f"{d}/in")
     jobs.merge_stream(stream, f"{d}/table", rule, f"{d}/audit", f"{d}/cp")
-    return spark.read.parquet(f"{d}/table").drop("month")
+    return monthly.read(spark, f"{d}/table").drop("month")
 
 
 case("st_late_data", _late_returns, "return_id:i order_id:i return_reason:s refund_amount:m return_status:s updated_at:t",

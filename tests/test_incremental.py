@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import incremental as inc
 from ledgerloom.operators import snapshots
-from ledgerloom.plans import batch
+from ledgerloom.plans import batch, monthly
 from ledgerloom.plans.publish import current, publish, versions
 
 RULE = inc.MergeRule("t", "id", ("status",), True)
@@ -77,25 +77,70 @@ def test_monthly_merge_rewrites_touched_months_only_and_survives_a_rerun(spark,
     path, audit = str(tmp_path / "t"), str(tmp_path / "audit")
     far = old.select("*").limit(0).unionByName(old.where("id = 3").withColumn("id", F.lit(9)).withColumn("created_at", F.to_timestamp(F.lit("2020-01-01"))))
     batch.init_table(old.unionByName(far), path, RULE)
-    before = {f for f in spark.read.parquet(path).inputFiles() if "2020-01" in f}
+    before = {f for f in monthly.read(spark, path).inputFiles() if "2020-01" in f}
     assert tuple(batch.merge_into(spark, path, new, RULE, audit, "0001").first()) == (1, 1)
-    assert before == {f for f in spark.read.parquet(path).inputFiles() if "2020-01" in f}
-    assert [r[0] for r in rows(spark.read.parquet(path))] == [1, 2, 3, 4, 9]
+    assert before == {f for f in monthly.read(spark, path).inputFiles() if "2020-01" in f}
+    assert [r[0] for r in rows(monthly.read(spark, path))] == [1, 2, 3, 4, 9]
     assert tuple(batch.merge_into(spark, path, new, RULE, audit, "0002").first()) == (0, 0)
     assert spark.read.parquet(f"{audit}/t").where("run = 1").count() == 1
     assert tuple(batch.merge_into(spark, path, new, RULE, audit, "0001").first()) == (1, 1)  # the first run again
     assert spark.read.parquet(f"{audit}/t").where("run = 1").count() == 1
-    assert [r[0] for r in rows(spark.read.parquet(path))] == [1, 2, 3, 4, 9]
+    assert [r[0] for r in rows(monthly.read(spark, path))] == [1, 2, 3, 4, 9]
+    assert len(monthly.vacuum(spark, path)) == 2 and [r[0] for r in rows(monthly.read(spark, path))] == [1, 2, 3, 4, 9]
 
 
 def test_update_whose_creation_date_moved_stays_one_row(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     batch.init_table(frame([(1, "a", "x", "2024-01-05", "2024-01-05")], DDL), path, RULE)
     batch.merge_into(spark, path, frame([(1, "b", "x", "2024-06-05", "2024-06-05")], DDL), RULE, str(tmp_path / "a"), "1")
-    got = spark.read.parquet(path).collect()
+    got = monthly.read(spark, path).collect()
     assert [(r.id, r.status, r.month) for r in got] == [(1, "b", "2024-01")]
 
 
+def test_rows_without_a_date_survive_a_merge(spark, frame, tmp_path):
+    path, audit = str(tmp_path / "t"), str(tmp_path / "a")
+    batch.init_table(frame([(i, "a", "x", None if i % 2 else "2024-01-05", "2024-01-05") for i in range(20)], DDL), path, RULE)
+    assert tuple(batch.merge_into(spark, path, frame([(1, "b", "x", None, "2024-06-05")], DDL), RULE, audit, "1").first()) == (0, 1)
+    assert rows(monthly.read(spark, path)) == [(i, "b" if i == 1 else "a", "x") for i in range(20)]
+
+
+def test_loading_again_replaces_everything(spark, sides, tmp_path):
+    old, new = sides
+    path = str(tmp_path / "t")
+    batch.init_table(old, path, RULE)
+    batch.merge_into(spark, path, new, RULE, str(tmp_path / "a"), "1")
+    batch.init_table(old.where("id = 3"), path, RULE)
+    assert rows(monthly.read(spark, path)) == [(3, "c", "x")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_merge_into_an_empty_table_and_of_an_empty_delta(spark, sides, tmp_path):
+    old, new = sides
+    path = str(tmp_path / "t")
+    batch.init_table(old.limit(0), path, RULE)
+    assert rows(monthly.read(spark, path)) == []
+    assert tuple(batch.merge_into(spark, path, old, RULE, str(tmp_path / "a"), "1").first()) == (3, 0)
+    assert tuple(batch.merge_into(spark, path, new.limit(0), RULE, str(tmp_path / "a"), "2").first()) == (0, 0)
+    assert rows(monthly.read(spark, path)) == rows(old)
+
+
+def test_a_writer_that_dies_changes_nothing(spark, sides, tmp_path, monkeypatch):
+    old, new = sides
+    path, audit = str(tmp_path / "t"), str(tmp_path / "a")
+    batch.init_table(old, path, RULE)
+
+    def die(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(monthly, "_point", die)
+        with pytest.raises(RuntimeError):
+            batch.merge_into(spark, path, new, RULE, audit, "1")
+    assert rows(monthly.read(spark, path)) == rows(old)
+    assert tuple(batch.merge_into(spark, path, new, RULE, audit, "1").first()) == (1, 1)
+    assert rows(monthly.read(spark, path)) == [(1, "A", "x"), (2, "b", "x"), (3, "c", "x"), (4, "D", "y")]
+
+
 def test_readers_see_only_complete_versions(spark, tmp_path):
     root = str(tmp_path)
     publish(spark.range(3), root, "m", "0001")
