@@ -92,13 +92,30 @@ def side_by_side(*parts: DataFrame) -> DataFrame:
 
 
 def page(df: DataFrame, order: Iterable[Column], limit: int | None, offset: int = 0) -> DataFrame:
-    """Ordered paging; with a limit Spark keeps only limit+offset rows per task."""
+    """Ordered paging; with a limit Spark keeps only limit+offset rows per task.
+
+    Without a limit and offset it is the whole result, in no order: nothing is gained by sorting a whole table.
+    """
+    if limit is None and not offset:
+        return df
     out = df.orderBy(*order)
     if offset:
         out = out.offset(offset)
     return out if limit is None else out.limit(limit)
 
 
+def listed(col: str, values: Iterable) -> Column:
+    """The column, or an error for a value (or NULL) outside the list: nothing is left out in silence."""
+    message = F.concat(F.lit(f"{col}: value outside the given list: "), F.coalesce(F.col(col).cast("string"), F.lit("NULL")))
+    return F.when(F.col(col).isin(list(values)), F.col(col)).otherwise(F.raise_error(message))
+
+
+def check_limit(limit: int | None, high: int) -> None:
+    """A page size between 1 and ``high``; None asks for everything."""
+    if limit is not None:
+        check_bounds("limit", limit, 1, high)
+
+
 def check_bounds(name: str, value: int, low: int, high: int) -> int:
     if not low <= value <= high:
         raise ValueError(f"{name} must be between {low} and {high}, got {value}")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, check_bounds, page, rounded, rows, since, total
+from ledgerloom.functions.expr import attach, check_bounds, check_limit, page, rounded, rows, since, total
 from ledgerloom.operators.views import Tables
 
 
@@ -17,8 +17,7 @@ def _in_window(col: str, as_of: str, days: int) -> Column:
 
 def audit_log(t: Tables, limit: int | None = 200, offset: int = 0) -> DataFrame:
     """Status changes of all orders, newest first; cancellations only if that table exists."""
-    if limit is not None:
-        check_bounds("limit", limit, 1, 500)
+    check_limit(limit, 500)
 
     def event(df: DataFrame, ts: Column, action: str, reason: Column, actor: str) -> DataFrame:
         return df.select(ts.cast("timestamp").alias("event_ts"), "order_id", F.lit(action).alias("action"), reason.alias("reason"), F.lit(actor).alias("actor_type"))
@@ -63,12 +62,13 @@ def journey_sessions(t: Tables, as_of: str, window_hours: int = 72, customer_id:
 
 
 def journey_events(t: Tables, session_id: str | None = None) -> DataFrame:
-    """Events in journey order: of one session, or of all sessions (a distributed sort, no per-session lists)."""
+    """Events of one session in order, or those of all sessions in no order."""
     events = t["fact_funnel_events"]
     if session_id is not None:
         events = events.where(F.col("session_id") == session_id)
     cols = ("event_id", "event_ts", "session_id", "customer_id", "stage", "channel", "device", "product_id", "order_id", "failure_reason")
-    return events.select(*cols).orderBy("session_id", "event_ts", "event_id")
+    out = events.select(*cols)
+    return out if session_id is None else out.orderBy("event_ts", "event_id")
 
 
 def sales_trend(exec_mart: DataFrame, as_of: str, window_days: int = 90) -> DataFrame:
@@ -82,27 +82,27 @@ def orders_vs_revenue(exec_mart: DataFrame, as_of: str, window_days: int = 90) -
     return exec_mart.where(_in_window("kpi_dt", as_of, window_days)).select(F.col("kpi_dt").alias("dt"), "orders", "revenue_ex_tax").orderBy("dt")
 
 
-def top_products(product_mart: DataFrame, products: DataFrame, as_of: str, window_days: int = 30, top_n: int = 10) -> DataFrame:
+def top_products(product_mart: DataFrame, products: DataFrame, as_of: str, window_days: int = 30, top_n: int | None = 10) -> DataFrame:
     check_bounds("window_days", window_days, 7, 3650)
-    check_bounds("top_n", top_n, 5, 50)
+    if top_n is not None:
+        check_bounds("top_n", top_n, 5, 50)
     sums = product_mart.where(_in_window("dt", as_of, window_days)).groupBy("product_id").agg(total("revenue_ex_tax").alias("revenue_ex_tax"))
-    best = sums.orderBy(F.col("revenue_ex_tax").desc(), "product_id").limit(top_n)
+    best = page(sums, [F.col("revenue_ex_tax").desc(), F.col("product_id")], top_n)
     named = best.join(products.select("product_id", "product_name"), "product_id")
     return named.select("product_id", "product_name", "revenue_ex_tax").orderBy(F.col("revenue_ex_tax").desc(), "product_id")
 
 
-def category_share(product_mart: DataFrame, as_of: str, window_days: int = 30, level: str = "category_l1", top_n: int = 10) -> DataFrame:
+def category_share(product_mart: DataFrame, as_of: str, window_days: int = 30, level: str = "category_l1", top_n: int | None = 10) -> DataFrame:
     """Top categories and each one's share of the shown total. A total of 0 or less is an error."""
     check_bounds("window_days", window_days, 7, 3650)
-    check_bounds("top_n", top_n, 3, 50)
+    if top_n is not None:
+        check_bounds("top_n", top_n, 3, 50)
     level = (level or "").strip().lower()
     if level not in ("category_l1", "category_l2"):
         raise ValueError("level must be category_l1 or category_l2")
     recent = product_mart.where(_in_window("dt", as_of, window_days) & F.col(level).isNotNull())
-    top = (
-        recent.groupBy(F.col(level).alias("category")).agg(total("revenue_ex_tax").alias("revenue_ex_tax"))
-        .orderBy(F.col("revenue_ex_tax").desc(), "category").limit(top_n)
-    )
+    sums = recent.groupBy(F.col(level).alias("category")).agg(total("revenue_ex_tax").alias("revenue_ex_tax"))
+    top = page(sums, [F.col("revenue_ex_tax").desc(), F.col("category")], top_n)
     shown = top.agg(F.sum("revenue_ex_tax").cast("double").alias("_total"))
     whole = F.when(F.col("_total") > 0, F.col("_total")).otherwise(F.raise_error(F.lit("no revenue in the window")).cast("double"))
     share = rounded(F.col("revenue_ex_tax").cast("double") / whole * 100.0, 4)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, divide, pct, rows, share_if, total, zero
+from ledgerloom.functions.expr import attach, divide, listed, pct, rows, share_if, total, zero
 from ledgerloom.operators import finance, kpis, measures
 from ledgerloom.operators.measures import Marts
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
@@ -106,9 +106,14 @@ def segment_counts(marts: Marts, by: Sequence[str] = ("lifecycle_segment",)) ->
 
 
 def heatmap(marts: Marts, columns: Sequence[str], value: str = "revenue_ex_tax") -> DataFrame:
-    """Category l1 by l2 matrix for the given l2 values; 0 where a pair has no sales."""
-    per = marts["mart_product_performance"].groupBy("category_l1", "category_l2").agg(F.sum(value).alias("v"))
-    return per.groupBy("category_l1").pivot("category_l2", list(columns)).agg(F.sum("v")).na.fill(0)
+    """Category l1 by l2 matrix for the given l2 values; 0 where a pair has no sales, an error for any other l2 value."""
+    per = heatmap_long(marts, value).withColumn("category_l2", listed("category_l2", columns))
+    return per.groupBy("category_l1").pivot("category_l2", list(columns)).agg(F.sum(value)).na.fill(0)
+
+
+def heatmap_long(marts: Marts, value: str = "revenue_ex_tax") -> DataFrame:
+    """A row for each pair of categories that there is."""
+    return marts["mart_product_performance"].groupBy("category_l1", "category_l2").agg(F.sum(value).alias(value))
 
 
 def dead_stock(marts: Marts, t: Tables, limit: int = 20) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import WIDE, check_bounds, divide, page, pct0, rounded, rows, total, zero
+from ledgerloom.functions.expr import WIDE, check_limit, divide, page, pct0, rounded, rows, total, zero
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
+from ledgerloom.session import cut
 
 # Fixed value: the share of list value above which a discount is heavy.
 HEAVY_DISCOUNT = 0.30
@@ -93,11 +94,13 @@ def item_pnl(t: Tables, dedup: bool = False) -> DataFrame:
     """One row per line of a completed order, with order costs shared out by revenue.
 
     A line returned twice yields two rows, as published; ``dedup=True`` sums
-    its refunds first.
+    its refunds first. The sums per order are written down while the plan is
+    built: read back they are exchanged for the join like the lines, and so an
+    order with very many lines is split at run time.
     """
     lines = t["fact_order_items"]
     totals = lines.groupBy("order_id").agg(F.sum(F.col("qty") * F.col("unit_sell_price")).alias("_order_revenue"))
-    per_order = _order_costs(t, dedup).join(totals, "order_id", "left")
+    per_order = cut(_order_costs(t, dedup).join(totals, "order_id", "left"))
     back = t["fact_returns"].select("order_item_id", "refund_amount")
     if dedup:
         back = back.groupBy("order_item_id").agg(F.sum("refund_amount").alias("refund_amount"))
@@ -171,8 +174,8 @@ def summary(t: Tables) -> DataFrame:
     )
 
 
-def loss_orders(t: Tables, limit: int = 50, offset: int = 0) -> DataFrame:
-    check_bounds("limit", limit, 1, 200)
+def loss_orders(t: Tables, limit: int | None = 50, offset: int = 0) -> DataFrame:
+    check_limit(limit, 200)
     bad = order_pnl(t).where("loss_order_flag").select(
         "order_id", "customer_id", "order_ts", "order_status", *SUMS, "discount_amount",
         "loss_order_flag", "discount_heavy_flag", "has_return_flag", "sla_breached_flag",
@@ -180,8 +183,8 @@ def loss_orders(t: Tables, limit: int = 50, offset: int = 0) -> DataFrame:
     return page(bad, [F.col("net_profit_ex_tax"), F.col("order_id")], limit, offset)
 
 
-def top_products(t: Tables, limit: int = 50, offset: int = 0) -> DataFrame:
-    check_bounds("limit", limit, 1, 200)
+def top_products(t: Tables, limit: int | None = 50, offset: int = 0) -> DataFrame:
+    check_limit(limit, 200)
     best = page(product_pnl(t), [F.col("net_profit_ex_tax").desc(), F.col("product_id")], limit, offset)
     named = best.join(t["dim_product"].select("product_id", "product_name"), "product_id")
     return named.select(
@@ -189,7 +192,7 @@ def top_products(t: Tables, limit: int = 50, offset: int = 0) -> DataFrame:
     ).orderBy(F.col("net_profit_ex_tax").desc(), "product_id")
 
 
-def top_customers(t: Tables, limit: int = 50, offset: int = 0) -> DataFrame:
-    check_bounds("limit", limit, 1, 200)
+def top_customers(t: Tables, limit: int | None = 50, offset: int = 0) -> DataFrame:
+    check_limit(limit, 200)
     cols = ("customer_id", "acquisition_channel", "region", "country", "orders", "revenue_ex_tax", "net_profit_ex_tax", "net_margin_pct", "loss_customer_flag")
     return page(customer_pnl(t).select(*cols), [F.col("net_profit_ex_tax").desc(), F.col("customer_id")], limit, offset)

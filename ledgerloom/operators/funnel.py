@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, check_bounds, divide, page, ratio0, rounded, rows, side_by_side, since, total, zero
+from ledgerloom.functions.expr import attach, check_bounds, check_limit, divide, page, ratio0, rounded, rows, side_by_side, since, total, zero
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
 
 # Event stages, as flag column -> stage, and the default price ratio.
@@ -186,14 +186,14 @@ def daily_window(t: Tables, as_of: str, window_days: int = 30) -> DataFrame:
     return recent.orderBy(F.col("event_dt").desc())
 
 
-def product_leakage_topn(t: Tables, limit: int = 25, offset: int = 0) -> DataFrame:
-    check_bounds("limit", limit, 1, 200)
+def product_leakage_topn(t: Tables, limit: int | None = 25, offset: int = 0) -> DataFrame:
+    check_limit(limit, 200)
     loss = F.col("revenue_lost_cart_abandonment") + F.col("revenue_lost_payment_failures")
     return page(product_leakage(t), [loss.desc(), F.col("product_id")], limit, offset)
 
 
-def payment_failures_topn(t: Tables, as_of: str, window_days: int = 30, limit: int = 50, offset: int = 0) -> DataFrame:
-    check_bounds("limit", limit, 1, 500)
+def payment_failures_topn(t: Tables, as_of: str, window_days: int = 30, limit: int | None = 50, offset: int = 0) -> DataFrame:
+    check_limit(limit, 500)
     recent = payment_failures(t).where(F.col("event_dt") >= F.date_sub(F.to_date(F.lit(as_of)), window_days))
     order = [F.col("failed_payments").desc(), *[F.col(c).asc_nulls_first() for c in ("event_dt", "payment_method", "payment_provider", "failure_reason")]]
     return page(recent, order, limit, offset)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, divide, side_by_side, zero
+from ledgerloom.functions.expr import attach, divide, zero
 from ledgerloom.functions.ranking import running
 from ledgerloom.session import cut
 
@@ -88,7 +88,7 @@ def _with_dimensions(mart: DataFrame, by: Sequence[str], dims: Marts, label: str
 
 
 def measure(marts: Marts, names: Sequence[str], by: Sequence[str] = (), where: Column | str | None = None) -> DataFrame:
-    """Measures by dimensions: one aggregation per mart involved, joined on the slice."""
+    """Measures by dimensions: one aggregation per mart involved, brought together by union, so that a NULL slice stays one row."""
     needed = _closure(names)
     by = list(by)
     sides = []
@@ -98,7 +98,8 @@ def measure(marts: Marts, names: Sequence[str], by: Sequence[str] = (), where: C
             df = _with_dimensions(marts[mart], by, marts, mart)
             df = df if where is None else df.where(where)
             sides.append(df.groupBy(*by).agg(*[F.expr(defs[b]).cast("double").alias(b) for b in mine]))
-    joined = reduce(lambda a, b: a.join(b, by, "full_outer"), sides) if by else side_by_side(*sides)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    joined = stacked.groupBy(*by).agg(*[F.max(c).alias(c) for c in stacked.columns if c not in by])
     for name, (_, text) in DERIVED.items():
         if name in needed:
             joined = joined.withColumn(name, F.expr(text))

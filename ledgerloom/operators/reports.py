@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import ratio, rows
+from ledgerloom.functions.expr import page, ratio, rows
 from ledgerloom.operators import kpis, marts
 from ledgerloom.operators.views import Tables, orders_completed, with_product
 
@@ -40,13 +40,14 @@ def report_tables(t: Tables) -> dict[str, DataFrame]:
     }
 
 
-def mart_export(t: Tables, name: str, limit: int = 50000) -> DataFrame:
-    """At most ``limit`` rows of one of the known marts."""
+def mart_export(t: Tables, name: str, limit: int | None = None) -> DataFrame:
+    """One of the known marts; with a limit its first rows in the order of its columns."""
     key = (name or "").strip().lower()
     if key not in marts.MARTS:
         raise ValueError(f"unknown mart {name!r}; known: {sorted(marts.MARTS)}")
-    if not 1 <= limit <= 200000:
-        raise ValueError("limit must be between 1 and 200000")
-    return marts.MARTS[key](t).limit(limit)
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1")
+    mart = marts.MARTS[key](t)
+    return mart if limit is None else page(mart, [F.col(c) for c in mart.columns], limit)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, divide, rows, side_by_side, since, zero
+from ledgerloom.functions.expr import attach, divide, listed, rows, side_by_side, since, zero
 from ledgerloom.functions.ranking import bin_by_edges, quantiles, rank_bin, running
 from ledgerloom.operators import kpis
 from ledgerloom.operators.views import Tables, orders_completed
@@ -74,9 +74,10 @@ def churn_list(t: Tables, as_of: str, days: int = 90) -> DataFrame:
 def cohort_matrix(t: Tables, months: list[int]) -> DataFrame:
     """Cohorts as rows, months since first purchase as columns; 0 where nobody bought.
 
-    The columns are given, so the plan needs no extra pass to find them.
+    The columns are given, so the plan needs no extra pass to find them; a month
+    outside them is an error. ``kpis.cohort_retention`` is the long form.
     """
-    long = kpis.cohort_retention(t)
+    long = kpis.cohort_retention(t).withColumn("months_since_cohort", listed("months_since_cohort", months))
     wide = long.groupBy("cohort_month").pivot("months_since_cohort", months).agg(F.sum("customers"))
     return wide.na.fill(0).select("cohort_month", *[F.col(str(m)).alias(f"m{m}") for m in months])
 
@@ -135,13 +136,12 @@ def outlier_bounds(t: Tables, k: float = 1.5) -> DataFrame:
 
 
 def outlier_flags(t: Tables, k: float = 1.5) -> DataFrame:
-    """Customers above the upper bound for mean discount or for refunds, worst first."""
+    """Flags for customers above the upper bound for mean discount or for refunds. Runs jobs while the plan is built."""
     cust = cut(customer_discount(t))
     disc = iqr_bounds(cust, "avg_discount_pct", "customer_id", k).select(F.col("hi").alias("hi_discount"))
     ref = iqr_bounds(cust, "refund_amount", "customer_id", k).select(F.col("hi").alias("hi_refund"))
     by_disc = F.col("avg_discount_pct") > F.col("hi_discount")
     by_ref = F.col("refund_amount").cast("double") > F.col("hi_refund")
-    out = attach(cust, side_by_side(disc, ref)).select(
+    return attach(cust, side_by_side(disc, ref)).select(
         *cust.columns, by_disc.alias("flag_discount_abuse"), by_ref.alias("flag_refund_abuse"), (by_disc | by_ref).alias("flag_any")
     )
-    return out.orderBy(F.col("flag_any").desc(), F.col("refund_amount").desc(), "customer_id")

@@ -13,10 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, check_bounds, page, rounded, rows, zero
+from ledgerloom.functions.expr import attach, check_limit, page, rounded, rows, zero
 from ledgerloom.functions.ranking import running
 from ledgerloom.operators.incremental import dedupe_latest
 from ledgerloom.operators.views import Tables, orders_completed, projection, with_product
+from ledgerloom.session import cut
 
 # Discount per product id modulo 7, tax rate, and the largest cart quantity.
 DISCOUNT_STEPS = (5, 8, 10, 12, 15, 18, 20)
@@ -46,7 +47,7 @@ def catalog(t: Tables) -> DataFrame:
     return priced.withColumn("sell_price", _sell_price())
 
 
-def product_page(t: Tables, limit: int = 24, offset: int = 0) -> DataFrame:
+def product_page(t: Tables, limit: int | None = 24, offset: int = 0) -> DataFrame:
     return page(catalog(t), [F.col("product_id")], limit, offset)
 
 
@@ -63,10 +64,10 @@ def units_sold(t: Tables) -> DataFrame:
 
 def product_search(
     t: Tables, q: str | None = None, category_l1: str | None = None, category_l2: str | None = None,
-    min_price: float | None = None, max_price: float | None = None, sort: str = "default", limit: int = 24, offset: int = 0,
+    min_price: float | None = None, max_price: float | None = None, sort: str = "default", limit: int | None = 24, offset: int = 0,
 ) -> DataFrame:
     """Case-insensitive text match on five columns, exact categories, price range, four orders."""
-    check_bounds("limit", limit, 1, 200)
+    check_limit(limit, 200)
     p = projection(t, "vw_customer_products")
     text = (q or "").strip()
     if text:
@@ -196,8 +197,7 @@ def order_pricing(t: Tables, lines: DataFrame, codes: DataFrame, now: str) -> Da
 
 # ------------------------------------------------------------------ wishlist and reviews
 def wishlist_items(t: Tables) -> DataFrame:
-    out = t["customer_wishlist"].join(projection(t, "vw_customer_products"), "product_id")
-    return out.orderBy("customer_id", F.col("created_at").desc(), "product_id")
+    return t["customer_wishlist"].join(projection(t, "vw_customer_products"), "product_id")
 
 
 def wishlist_add(wishlist: DataFrame, adds: DataFrame) -> DataFrame:
@@ -216,11 +216,21 @@ def rating_summary(t: Tables) -> DataFrame:
     )
 
 
-def reviews_latest(t: Tables, limit: int = 20) -> DataFrame:
-    """The newest reviews of every product; rows beyond the limit are dropped before the shuffle too."""
-    check_bounds("limit", limit, 1, 100)
-    w = Window.partitionBy("product_id").orderBy(F.col("created_at").desc(), "review_id")
-    return t["product_reviews"].withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
+def _newest(df: DataFrame, by: str, key: str, limit: int | None, offset: int) -> DataFrame:
+    """Rows offset+1 to offset+limit of every group, newest first; rows beyond are dropped before the shuffle too."""
+    if offset < 0:
+        raise ValueError("offset must not be negative")
+    w = Window.partitionBy(by).orderBy(F.col("created_at").desc(), key)
+    placed = df.withColumn("position", F.row_number().over(w))
+    if limit is not None:
+        placed = placed.where(F.col("position") <= offset + limit)
+    return placed.where(F.col("position") > offset) if offset else placed
+
+
+def reviews_latest(t: Tables, limit: int | None = 20, offset: int = 0) -> DataFrame:
+    """A page of every product's reviews, newest first; all of them without a limit."""
+    check_limit(limit, 100)
+    return _newest(t["product_reviews"], "product_id", "review_id", limit, offset)
 
 
 def review_upsert(reviews: DataFrame, posted: DataFrame) -> DataFrame:
@@ -256,14 +266,25 @@ def review_eligibility(t: Tables, pairs: DataFrame, as_of: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ orders
+def _per_line(head: DataFrame, lines: DataFrame) -> DataFrame:
+    """Orders with their lines; an order without lines has one row.
+
+    The orders are written down while the plan is built: read back they are exchanged
+    for the join like the lines, and so an order with very many lines is split at run
+    time. That works for inner joins, hence the second part.
+    """
+    head = cut(head)
+    bare = head.join(lines.groupBy("order_id").agg(rows().alias("_n")), "order_id", "left_anti")
+    return lines.join(head, "order_id").select(*head.columns, *[c for c in lines.columns if c != "order_id"]).unionByName(bare, allowMissingColumns=True)
+
+
 def order_detail(t: Tables) -> DataFrame:
     """Header, payment and promotion of every order, one row per line."""
     head = t["fact_orders"].select("order_id", "customer_id", "order_ts", "order_status", "gross_amount", "discount_amount", "tax_amount", "net_amount")
     pay = t["fact_payments"].groupBy("order_id").agg(F.max_by("payment_status", "payment_id").alias("payment_status"))
     promo = t["order_promotions"].select("order_id", "promo_code", F.col("discount_amount").alias("promo_discount_amount"))
     lines = with_product(t["fact_order_items"].select("order_id", "order_item_id", "product_id", "qty"), t, "product_name")
-    out = head.join(pay, "order_id", "left").join(promo, "order_id", "left").join(lines, "order_id", "left")
-    return out.orderBy("order_id", "order_item_id")
+    return _per_line(head.join(pay, "order_id", "left").join(promo, "order_id", "left"), lines)
 
 
 def _progress(t: Tables, as_of: str) -> DataFrame:
@@ -310,7 +331,7 @@ def order_history(t: Tables, limit: int = 20, as_of: str | None = None) -> DataF
     newest = t["fact_orders"].select("order_id", "customer_id", "order_ts").withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
     head = head.join(newest.select("order_id", "position"), "order_id")
     lines = with_product(t["fact_order_items"].select("order_id", "product_id", "qty", "order_item_id"), t, "product_name")
-    return head.join(lines, "order_id", "left").orderBy("customer_id", "position", "product_id", "order_item_id")
+    return _per_line(head, lines)
 
 
 def cancellable(t: Tables, as_of: str) -> DataFrame:
@@ -345,13 +366,13 @@ def latest_email(users: DataFrame) -> DataFrame:
     return users.groupBy("customer_id").agg(F.max_by("email", F.struct("updated_at", "email")).alias("email"))
 
 
-def outbox_latest(t: Tables, limit: int = 20) -> DataFrame:
-    w = Window.partitionBy("customer_id").orderBy(F.col("created_at").desc(), "email_id")
-    return t["email_outbox"].withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
+def outbox_latest(t: Tables, limit: int | None = 20, offset: int = 0) -> DataFrame:
+    return _newest(t["email_outbox"], "customer_id", "email_id", limit, offset)
 
 
 def address_order(t: Tables) -> DataFrame:
-    return t["customer_addresses"].orderBy("customer_id", F.col("is_default").desc(), F.col("created_at").desc(), "address_id")
+    """Addresses with each customer's in order, the default first; customers are in no order."""
+    return t["customer_addresses"].repartition("customer_id").sortWithinPartitions("customer_id", F.col("is_default").desc(), F.col("created_at").desc(), "address_id")
 
 
 # ------------------------------------------------------------------ inventory

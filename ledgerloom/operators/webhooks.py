@@ -60,13 +60,16 @@ def parse(raw: DataFrame) -> DataFrame:
         *raw.columns, F.lit(PROVIDER).alias("provider"), _text("_j.id").alias("event_id"), kind.alias("event_type"),
         _text(f"{entity}.order_id").alias("provider_order_id"), _text(f"{entity}.id").alias("provider_payment_id"),
         state(PAYMENT_STATES).alias("new_payment_status"), state(ORDER_STATES).alias("new_order_status"),
-        F.when(kind == FAILED, F.substring(why, 1, REASON_LENGTH)).alias("failure_reason"),
+        F.when(kind == FAILED, F.substring(why, 1, REASON_LENGTH)).alias("failure_reason"), F.when(kind == FAILED, why).alias("failure_text"),
         (_text("_j.id").isNotNull() & kind.isNotNull()).alias("ok"),
     )
 
 
-def quarantine(raw: DataFrame) -> DataFrame:
-    return parse(raw).where(~F.col("ok")).select(*raw.columns)
+def quarantine(raw: DataFrame, secret: str | None = None) -> DataFrame:
+    """Deliveries that :func:`accepted` leaves out: broken ones and, with a secret, those not signed with it."""
+    if secret is None:
+        return parse(raw).where(~F.col("ok")).select(*raw.columns)
+    return parse(verify(raw, secret)).where(~F.col("ok") | ~F.col("verified")).select(*raw.columns)
 
 
 def accepted(raw: DataFrame, secret: str | None = None) -> DataFrame:

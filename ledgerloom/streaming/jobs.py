@@ -19,6 +19,7 @@ from ledgerloom.operators import funnel, incremental, webhooks
 from ledgerloom.operators.marts import DEFAULT_CHANNEL, DEFAULT_DEVICE
 from ledgerloom.plans import batch
 from ledgerloom.sources.schemas import FUNNEL_STAGES
+from ledgerloom.streaming import ids
 
 SESSION_LENGTH = (6, 64)
 REASON_LENGTH = 80
@@ -59,16 +60,19 @@ def normalise(requests: DataFrame) -> DataFrame:
     )
 
 
-def ingest_events(requests: DataFrame, accepted_path: str, quarantine_path: str, checkpoint: str) -> None:
+def ingest_events(requests: DataFrame, path: str, checkpoint: str) -> None:
+    """Accepted and refused requests in one write, side by side in folders by ``valid``."""
+
     def split(df: DataFrame, batch_id: int) -> None:
-        df.persist()
-        to_folder(accepted_path)(df.where("valid").drop("valid"), batch_id)
-        to_folder(quarantine_path)(df.where("not valid").drop("valid"), batch_id)
-        df.unpersist()
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("valid").parquet(f"{path}/batch={batch_id}")
 
     run_available(normalise(requests), checkpoint, split)
 
 
+def read_events(spark: SparkSession, path: str, valid: bool = True) -> DataFrame:
+    return read_folder(spark, path).where(F.col("valid") == valid).drop("valid")
+
+
 def drop_repeats(events: DataFrame, delay: str = "1 day") -> DataFrame:
     """Streaming de-duplication in state: ids are remembered for the delay.
 
@@ -79,21 +83,21 @@ def drop_repeats(events: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def dedupe_events(events: DataFrame, path: str, checkpoint: str) -> None:
-    """Each event id once, however late a repeat comes.
+    """Each event id once, however late a repeat comes and whatever time it carries.
 
-    A repeat carries the same time as the first delivery, so a micro-batch is
-    compared only with the stored events of its own days. Nothing is kept in
-    state and nothing is dropped for being late.
+    Of the deliveries in one micro-batch the earliest stays. Ids are looked up in a
+    store beside the events; nothing is kept in state and nothing is dropped for
+    being late.
     """
 
     def each(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        fresh = df.dropDuplicates(["event_id"]).withColumn("event_dt", F.to_date("event_ts"))
-        if batch_id:
-            days = [r[0] for r in fresh.select("event_dt").distinct().collect()]  # as short as the calendar
-            old = read_folder(spark, path).where((F.col("batch") != batch_id) & F.col("event_dt").isin(days))
-            fresh = fresh.join(old.select("event_id"), "event_id", "left_anti")
-        fresh.write.mode("overwrite").partitionBy("event_dt").parquet(f"{path}/batch={batch_id}")
+        spark, store = df.sparkSession, f"{path}/_ids"
+        rest = ["event_ts", *[c for c in df.columns if c not in ("event_id", "event_ts")]]
+        first = df.groupBy("event_id").agg(F.min(F.struct(*rest)).alias("_f")).select("event_id", "_f.*").select(*df.columns)
+        fresh = ids.unseen(first, ["event_id"], store, batch_id).withColumn("event_dt", F.to_date("event_ts"))
+        out = f"{path}/batch={batch_id}"
+        fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_dt").parquet(out)
+        ids.remember(spark.read.schema(fresh.schema).parquet(out), ["event_id"], store, batch_id)
 
     run_available(events, checkpoint, each)
 
@@ -153,16 +157,19 @@ def merge_stream(deltas: DataFrame, table_path: str, rule: incremental.MergeRule
 
 
 def webhook_stream(raw: DataFrame, secret: str, events_path: str, quarantine_path: str, checkpoint: str) -> None:
-    """Verified, parsed, first-time webhook events, one folder per micro-batch."""
+    """Verified, parsed, first-time webhook events, one folder per micro-batch.
+
+    Broken bodies and wrong signatures go to the quarantine, so every delivery that is
+    no repeat is in one of the two folders.
+    """
+    key = ["provider", "event_id"]
 
     def each(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        done = None
-        if batch_id:
-            done = read_folder(spark, events_path).where(F.col("batch") != batch_id)
-        fresh = webhooks.dedupe(webhooks.accepted(df, secret), done)
+        spark, store = df.sparkSession, f"{events_path}/_ids"
+        fresh = ids.unseen(webhooks.dedupe(webhooks.accepted(df, secret)), key, store, batch_id)
         to_folder(events_path)(fresh, batch_id)
-        to_folder(quarantine_path)(webhooks.quarantine(df), batch_id)
+        ids.remember(spark.read.schema(fresh.schema).parquet(f"{events_path}/batch={batch_id}"), key, store, batch_id)
+        to_folder(quarantine_path)(webhooks.quarantine(df, secret), batch_id)
 
     run_available(raw, checkpoint, each)
 
@@ -200,7 +207,8 @@ def inventory_stream(movements: DataFrame, stock: DataFrame, path: str, checkpoi
     """Stock position per product over single-line movements (product_id, qty, action).
 
     Movements of one product must be taken in turn, so its state is four
-    numbers and its rows pass through in chunks, however many there are.
+    numbers and its rows pass through in chunks, however many there are. Movements
+    of a product without stock are no part of a position: see :func:`unknown_products`.
     """
     known = movements.select("product_id", "qty", "action").join(stock.select("product_id", "on_hand_qty", "reserved_qty"), "product_id")
     booked = known.groupBy("product_id").applyInPandasWithState(
@@ -209,6 +217,12 @@ def inventory_stream(movements: DataFrame, stock: DataFrame, path: str, checkpoi
     run_available(booked, checkpoint, to_folder(path), "update")
 
 
+def unknown_products(movements: DataFrame, stock: DataFrame, quarantine_path: str, checkpoint: str) -> None:
+    """Put movements of products that have no stock row, or no product at all, into the quarantine."""
+    strange = movements.join(stock.select("product_id"), "product_id", "left_anti")
+    run_available(strange, checkpoint, to_folder(quarantine_path))
+
+
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     """The last emitted position per product."""
     emitted = read_folder(spark, path)

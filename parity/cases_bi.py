@@ -140,6 +140,8 @@ for _key, _by in (("dash_segment_counts", "lifecycle_segment value_quartile"), (
 _L2 = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
 case("dash_heatmap", lambda w: dashboards.heatmap(Marts(w), _L2), "category_l1:s " + " ".join(f"{c}:m" for c in _L2),
      "select category_l1, " + ", ".join(f"coalesce(sum(revenue_ex_tax) filter (category_l2 = '{c}'), 0) as {c}" for c in _L2) + " from product_rows group by 1")
+case("dash_heatmap_long", lambda w: dashboards.heatmap_long(Marts(w)), "category_l1:s category_l2:s revenue_ex_tax:m",
+     "select category_l1, category_l2, sum(revenue_ex_tax) as revenue_ex_tax from product_rows group by all")
 case("dash_dead_stock", lambda w: dashboards.dead_stock(Marts(w), w, 25), "product_id:i product_name:s units_sold:i revenue_ex_tax:m",
      """select product_id, any_value(p.product_name) as product_name, coalesce(sum(units_sold), 0) as units_sold, coalesce(sum(revenue_ex_tax), 0) as revenue_ex_tax
         from dim_product p left join product_rows using (product_id) group by 1 order by 3, 1 limit 25""")

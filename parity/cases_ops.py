@@ -98,6 +98,7 @@ case("src_processed_csv", _processed, "name:s n:i",
          union all select 'churned_customers_90d', (select count(*) from last_seen where last_order_ts < date '{ORDER_DAY}' - interval 90 day)
          union all select 'cohort_retention_long', (select count(*) from cohorts) union all select 'cohort_retention_matrix', (select count(distinct cohort_month) from cohorts)
          union all select 'outlier_customers', (select count(*) from cust_disc) union all select 'revenue_forecast', 30""")
+case("src_mart_export_all", lambda w: reports.mart_export(w, "mart_exec_daily_kpis"), CASES["mart_exec_daily"].columns, "from exec_rows")
 case("src_mart_export", lambda w: reports.mart_export(w, " MART_EXEC_DAILY_KPIS ", 200000), CASES["mart_exec_daily"].columns, "from exec_rows limit 200000")
 
 

@@ -21,10 +21,16 @@ def _room(w: Warehouse) -> tuple:
     return spark, f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
 
 
+def _fed(w: Warehouse, d: str, name: str) -> DataFrame:
+    """A table as a stream of three micro-batches: its rows are written as three files first."""
+    w[name].repartition(3).write.parquet(f"{d}/in/{name}")
+    return w["orders"].sparkSession.readStream.schema(w[name].schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/in/{name}")
+
+
 def _ingest(w: Warehouse, part: str) -> DataFrame:
     spark, d = _room(w)
-    jobs.ingest_events(w.stream("raw_event_requests"), f"{d}/accepted", f"{d}/quarantine", f"{d}/cp")
-    return jobs.read_folder(spark, f"{d}/{part}")
+    jobs.ingest_events(_fed(w, d, "raw_event_requests"), f"{d}/events", f"{d}/cp")
+    return jobs.read_events(spark, f"{d}/events", part == "accepted")
 
 
 _REQ = "event_id:i event_ts:t session_id:s customer_id:i product_id:i order_id:i stage:s channel:s device:s failure_reason:s"
@@ -35,7 +41,8 @@ case("st_ingest_quarantine", lambda w: _ingest(w, "quarantine"), _REQ, _CLEAN.fo
 
 def _dedupe(w: Warehouse) -> DataFrame:
     spark, d = _room(w)
-    twice = w.stream("fact_funnel_events").unionByName(w.stream("fact_funnel_events"))
+    once = _fed(w, d, "fact_funnel_events")
+    twice = once.unionByName(once)
     jobs.dedupe_events(twice, f"{d}/out", f"{d}/cp")
     return jobs.read_folder(spark, f"{d}/out")
 
@@ -45,7 +52,7 @@ case("st_dedupe_events", _dedupe, _REQ, "from fact_funnel_events")
 
 def _daily(w: Warehouse) -> DataFrame:
     spark, d = _room(w)
-    jobs.daily_flags(w.stream("fact_funnel_events"), f"{d}/out", f"{d}/cp")
+    jobs.daily_flags(_fed(w, d, "fact_funnel_events"), f"{d}/out", f"{d}/cp")
     return funnel.metrics(jobs.read_daily_flags(spark, f"{d}/out"), "event_dt")
 
 
@@ -54,7 +61,7 @@ case("st_daily_funnel", _daily, CASES["fn_daily_metrics"].columns, "from day_fun
 
 def _journeys(w: Warehouse) -> DataFrame:
     spark, d = _room(w)
-    jobs.journey_parts(w.stream("fact_funnel_events"), f"{d}/out", f"{d}/cp")
+    jobs.journey_parts(_fed(w, d, "fact_funnel_events"), f"{d}/out", f"{d}/cp")
     return jobs.read_journeys(spark, f"{d}/out")
 
 
@@ -67,7 +74,7 @@ def _merge_orders(w: Warehouse) -> DataFrame:
     spark, d = _room(w)
     rule = incremental.RULES["fact_orders"]
     batch.init_table(w["fact_orders"], f"{d}/table", rule)
-    jobs.merge_stream(w.stream("stg_fact_orders"), f"{d}/table", rule, f"{d}/audit", f"{d}/cp")
+    jobs.merge_stream(_fed(w, d, "stg_fact_orders"), f"{d}/table", rule, f"{d}/audit", f"{d}/cp")
     return monthly.read(spark, f"{d}/table").drop("month")
 
 
@@ -109,7 +116,7 @@ case("st_webhooks", _webhooks, "payment_id:i order_id:i payment_status:s payment
 
 def _inventory(w: Warehouse) -> DataFrame:
     spark, d = _room(w)
-    moves = w.stream("lineitem").select(F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("long").alias("qty"), F.lit("RESERVED").alias("action"))
+    moves = _fed(w, d, "lineitem").select(F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("long").alias("qty"), F.lit("RESERVED").alias("action"))
     jobs.inventory_stream(moves, w["product_inventory"], f"{d}/out", f"{d}/cp")
     return jobs.read_inventory(spark, f"{d}/out")
 
