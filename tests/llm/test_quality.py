@@ -36,7 +36,7 @@ def js(p, q):
 
 
 def test_counts_and_divergences_against_brute_force(edge_docs, edge_rows):
-    refs = quality.references(edge_docs, word_share=0.01, lang_share=0.001)
+    refs = quality.references(edge_docs, word_share=0.01, lang_share=1e-6)
     by_lang = {}
     for _, text, lang, *_ in edge_rows:
         if text is not None and lang is not None:
