@@ -15,10 +15,10 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = (
         SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "4")
-        .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.log.level", "ERROR").getOrCreate()
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.log.level", "ERROR").getOrCreate()
     )
     yield configure(s)
     s.stop()
