@@ -196,7 +196,7 @@ def tokens(file, start: int, n: int, rows: int) -> np.ndarray:
     out = []
     while n:
         column = file.get_batch(start // size).column(0)
-        part = column.values.to_numpy(zero_copy_only=not pa.types.is_boolean(column.type.value_type))[start % size : start % size + n]
+        part = column.values.slice(start % size, n).to_numpy(zero_copy_only=not pa.types.is_boolean(column.type.value_type))
         out.append(part)
         start, n = start + len(part), n - len(part)
     return out[0] if len(out) == 1 else np.concatenate(out or [np.zeros(0, np.uint16)])
