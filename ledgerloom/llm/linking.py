@@ -6,7 +6,8 @@ the members that are still in other components; confirmed links join components
 whole groups of copies collapse after a round or two. What then remains (members of
 one key in different components, neither of them a former leader) is compared
 pair by pair, with the largest component of a key on one side only. So every pair of
-one key is either compared or already connected: no link between components is lost.
+one key is either compared, already connected or out of reach by an exact bound: no
+link between components is lost.
 
 Nothing of this is collected; each step writes a table to the shared folder.
 """
@@ -15,13 +16,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.shared import drop, kept
 
 #: Takes pairs (a, b) of ids, a < b, and returns those that are links.
 Confirm = Callable[[DataFrame], DataFrame]
+#: Whether two items, given by their columns, can be a link at all.
+Possible = Callable[[dict[str, Column], dict[str, Column]], Column]
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -40,65 +43,88 @@ def components(edges: DataFrame) -> DataFrame:
         new = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")) if large else moved.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         return new.filter("u > v").distinct()
 
-    def mark(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def are_stars(e: DataFrame) -> bool:
+        """Every id has one smaller neighbour at most, and that one has none."""
+        several = e.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
+        return several.isEmpty() and e.select("v").join(e.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
 
-    before = mark(edges)
-    while before[0]:
+    while not are_stars(edges):
         new, new_path = kept(star(star(edges, True), False), "edges")
         drop(spark, path)
-        edges, path, after = new, new_path, mark(new)
-        if after == before:
-            break
-        before = after
+        edges, path = new, new_path
     pairs = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return pairs.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def link(postings: DataFrame, confirm: Confirm, rounds: int = 4) -> DataFrame:
+def unshared(sets: DataFrame) -> DataFrame:
+    """id, n (elements of its set) and u (those in no other set) of every set (id, shingles). One row an element is shuffled."""
+    each = sets.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("c"), F.min("id").alias("id"))
+    lone = each.filter("c = 1").groupBy("id").agg(F.count("*").alias("u"))
+    return sets.select("id", F.size("shingles").alias("n")).join(lone, "id", "left").select("id", "n", F.coalesce("u", F.lit(0)).alias("u"))
+
+
+def within_reach(percent: int) -> Possible:
+    """Two sets can be that similar only if what either shares with any set at all would be enough."""
+
+    def possible(a: dict[str, Column], b: dict[str, Column]) -> Column:
+        most = F.least(a["n"] - a["u"], b["n"] - b["u"])
+        return 100 * most >= percent * (a["n"] + b["n"] - most)
+
+    return possible
+
+
+def link(postings: DataFrame, confirm: Confirm, possible: Possible | None = None, rounds: int = 4) -> DataFrame:
     """(id, component) of all items that are linked with any other.
 
-    ``postings``: key, id, rank; one row a key and id, written down already.
+    ``postings``: key, id, rank and what ``possible`` looks at (the same for an id
+    everywhere); one row a key and id, written down already. Pairs that are not
+    ``possible`` are no links and are never made.
     """
     spark = postings.sparkSession
+    more = [c for c in postings.columns if c not in ("key", "id", "rank")]
+    fits = possible or (lambda a, b: F.lit(True))
+    side = lambda mark: {c: F.col(f"{c}{mark}") for c in more}
     state, made = postings.withColumn("component", F.col("id")).withColumn("led", F.lit(False)), []
-    total = None
+    columns, total = state.columns, None
     for _ in range(rounds):
         open_keys = state.groupBy("key").agg(
             F.min("component").alias("low"), F.max("component").alias("high"),
-            F.max(F.when(~F.col("led"), F.struct("rank", "id", "component"))).alias("top"),
-        ).filter("low < high and top is not null").select("key", F.col("top.id").alias("leader"), F.col("top.component").alias("leads"))
+            F.max(F.when(~F.col("led"), F.struct("rank", "id", "component", *more))).alias("top"),
+        ).filter("low < high and top is not null").select("key", F.col("top.id").alias("leader"), F.col("top.component").alias("leads"), *[F.col(f"top.{c}").alias(f"{c}_of") for c in more])
         state, path = kept(state.join(open_keys, "key"), "postings")
         made.append(path)
-        pairs = state.filter("component != leads").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+        if state.isEmpty():
+            break
+        pairs = state.filter("component != leads").filter(fits(side(""), side("_of"))).select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
         found, path = kept(confirm(pairs), "links")
         made.append(path)
+        state = state.withColumn("led", F.col("led") | (F.col("id") == F.col("leader"))).select(*columns)
         if found.isEmpty():
             # No member is like its leader: further leaders would do no better than the pairs themselves.
-            state = state.select("key", "id", "rank", "component", (F.col("led") | (F.col("id") == F.col("leader"))).alias("led"))
             break
         total = found if total is None else total.unionByName(found)
         labels, path = kept(components(total), "components")
         made.append(path)
-        state = (
-            state.withColumn("led", F.col("led") | (F.col("id") == F.col("leader"))).drop("component", "leader", "leads")
-            .join(labels, "id", "left").select("key", "id", "rank", F.coalesce("component", "id").alias("component"), "led")
-        )
+        state = state.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")).select(*columns)
     # A former leader has been compared with all members of its key, or shares their component.
     rest = state.filter("not led")
     sizes = rest.groupBy("key", "component").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("k")).filter("k > 1").select("key", F.col("top.component").alias("big"))
-    rest, path = kept(rest.join(largest, "key"), "postings")
+    rest = rest.join(largest, "key")
+    # An id has a bounded number of keys. A pair is made under the first key that both still have, and nowhere else.
+    rest, path = kept(rest.join(rest.groupBy("id").agg(F.collect_set("key").alias("keys")), "id"), "postings")
     made.append(path)
-    few = rest.filter("component != big").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    all_ = rest.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), "big")
-    pairs = few.join(all_, "key").filter("cx != cy and (cy = big or x < y)").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    if rest.isEmpty():
+        out, _ = kept(components(total if total is not None else rest.select(F.col("id").alias("a"), F.col("id").alias("b"))), "linked")
+        drop(spark, *made)
+        return out
+    few = rest.filter("component != big").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("keys").alias("keys_of_x"), *[F.col(c).alias(f"{c}_x") for c in more])
+    all_ = rest.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("keys").alias("keys_of_y"), "big", *[F.col(c).alias(f"{c}_y") for c in more])
+    meet = few.join(all_, "key").filter("cx != cy and (cy = big or x < y)").filter(fits(side("_x"), side("_y")))
+    meet = meet.filter(F.col("key") == F.array_min(F.array_intersect("keys_of_x", "keys_of_y")))
+    pairs = meet.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     found, path = kept(confirm(pairs), "links")
     made.append(path)
-    if total is None:
-        total = found
-    else:
-        total = total.unionByName(found)
-    out, _ = kept(components(total), "linked")
+    out, _ = kept(components(found if total is None else total.unionByName(found)), "linked")
     drop(spark, *made)
     return out

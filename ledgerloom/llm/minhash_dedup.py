@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.linking import components, link
-from ledgerloom.llm.shared import drop, kept, mapped, text_bytes, unused
+from ledgerloom.llm.linking import components, link, unshared, within_reach
+from ledgerloom.llm.shared import drop, kept, mapped, release, text_bytes, unused
 from ledgerloom.llm.words import mix, shingles, words
 
 _U = np.uint64
@@ -139,7 +139,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 40, width: int
     ``percent``: shared part of the union of two shingle sets, from which on two
     documents are linked.
     """
-    need, made = min_matches(k, percent / 100, miss), []
+    spark, need, made = docs.sparkSession, min_matches(k, percent / 100, miss), []
     rows, path = kept(signatures(docs, k, width), "signatures")
     made.append(path)
     filled = rows.filter("n_shingles > 0 and doc_id is not null")
@@ -151,7 +151,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 40, width: int
     wanted = postings.select(F.col("id").alias("doc_id")).distinct()
     sets, path_s = kept(shingle_sets(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"), width), "sets")
     made += [path_s]
-    linked = link(postings, confirm_with(classes, sets, need, percent))
+    # What a set shares with no other one cannot be part of a link: that bound spares most pairs of a group of loose copies.
+    reach = within_reach(percent)
+    bounded, path_b = kept(postings.join(unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "id"), "postings")
+    made += [path_b]
+    release(spark)
+    linked = link(bounded, confirm_with(classes, sets, need, percent), reach)
+    release(spark)
     placed = filled.select("doc_id", *name).join(classes.select("id", *name), name)
     # Rows that share a doc_id may be in several classes.
     several = placed.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b")
@@ -163,7 +169,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 40, width: int
     labels, _ = kept(labels, "labels")
     out = rows.select("doc_id", *name).join(labels, (F.col("d1") == F.col("c_d1")) & (F.col("d2") == F.col("c_d2")) & (F.col("n_shingles") == F.col("c_n_shingles")), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    drop(docs.sparkSession, *made[1:], path, path_t)
+    drop(spark, *made[1:], path, path_t)
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
