@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.linking import link
+from ledgerloom.llm.linking import link, unshared, within_reach
 from ledgerloom.llm.minhash_dedup import coordinate_keys, digests, list_column
 from ledgerloom.llm.shared import drop, kept, mapped, release, text_bytes
 from ledgerloom.llm.words import Words, mix, shingles, windows, words
@@ -39,11 +39,11 @@ WIDTH = 5
 
 class Settings(NamedTuple):
     percent: int = 75  # shared part of the union of two sets
-    rows: int = 2  # MinHash values in a band
+    rows: int = 1  # MinHash values in a band
     recall: float = 0.99  # chance that two paragraphs of that similarity collide
-    reach: int = 8
-    min_words: int = 8
-    min_run: int = 28
+    reach: int = 5
+    min_words: int = 6
+    min_run: int = 24
 
     @property
     def bands(self) -> int:
@@ -175,7 +175,8 @@ def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
     wanted = postings.select("id").distinct().select("id.d1", "id.d2")
     classes = keep(units.join(wanted, ["d1", "d2"]).groupBy(name).agg(*stats), "classes")
     sets = keep(chosen_sets(rows, classes.select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos")), s), "sets")
-    linked = link(postings, confirm_with(sets, s.percent))
+    bounded = keep(postings.join(unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= s.percent * F.col("n")), "id"), "postings")
+    linked = link(bounded, confirm_with(sets, s.percent), within_reach(s.percent))
     exact = units.groupBy(name).agg(*stats).filter("low < high")
     near = classes.join(linked, "id").select("id", "first", "low", "high", "component")
     both = keep(near.unionByName(exact.withColumn("component", F.lit(None).cast("struct<d1:bigint,d2:bigint>"))).groupBy("id").agg(F.max("component").alias("component"), F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high")), "classes")
