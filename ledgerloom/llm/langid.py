@@ -6,9 +6,10 @@ compressed with every dictionary, and the language with the smallest total wins.
 text is accepted only if the runner-up needs clearly more bytes, else it is
 rejected: the winner stays in ``lang_pred`` and ``accepted`` is false.
 
-The dictionaries come from a bounded sample: for each language the lines of
-smallest hash, each cut to ``line_chars`` characters, until ``dict_bytes`` are full;
-languages beyond ``max_langs`` (by documents, then name) are not learned.
+The dictionaries come from a bounded sample (see :func:`learn`): for each language
+lines of documents chosen by hash, each cut to ``line_chars`` characters. Of what
+they hold the first ``dict_bytes`` are used. Languages beyond ``max_langs`` (by
+documents, then name) are not learned.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and
 not accepted; ties go to the first language by name; if nothing can be learned
@@ -34,18 +35,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def learn(docs: DataFrame, dict_bytes: int = 32 << 10, line_chars: int = 200, max_langs: int = 200) -> dict[str, bytes]:
-    """Dictionary content of each language; at most max_langs x (dict_bytes + one line) bytes reach the driver."""
-    rows = docs.select("text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+def learn(docs: DataFrame, sample_docs: int = 2000, dict_lines: int = 1000, line_chars: int = 200, max_langs: int = 200) -> dict[str, bytes]:
+    """Dictionary content of each language; at most max_langs x dict_lines lines reach the driver.
+
+    Of each language about ``sample_docs`` documents are read, chosen by hash of the
+    id, and of their distinct lines of 40 characters or more the ``dict_lines`` of
+    smallest hash.
+    """
+    rows = docs.select("doc_id", "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     by_size = Window.orderBy(F.col("count").desc(), "lang")
-    langs = F.broadcast(rows.groupBy("lang").count().withColumn("n", F.row_number().over(by_size)).filter(F.col("n") <= max_langs).select("lang"))
-    lines = rows.join(langs, "lang").select("lang", F.explode(F.split("text", "\n")).alias("line"))
-    short = lines.select("lang", F.substring("line", 1, line_chars).alias("line")).filter(F.length("line") >= 20).withColumn("key", F.xxhash64("line"))
-    # A line of 20 characters has 20 bytes at least: so many lines fill the dictionary.
-    most = dict_bytes // 20 + 1
-    ranked = short.distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("key", "line"))).filter(F.col("n") <= most)
-    before = F.sum(F.octet_length("line") + 1).over(Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1))
-    chosen = ranked.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < dict_bytes).orderBy("lang", "n")
+    langs = rows.groupBy("lang").count().withColumn("n", F.row_number().over(by_size)).filter(F.col("n") <= max_langs)
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
+    some = rows.join(F.broadcast(langs.select("lang", "count")), "lang").filter(share < F.lit(sample_docs) / F.col("count"))
+    lines = some.select("lang", F.explode(F.split("text", "\n")).alias("line")).select("lang", F.substring("line", 1, line_chars).alias("line")).filter(F.length("line") >= 40)
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("line"), "line")
+    chosen = lines.distinct().withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= dict_lines).orderBy("lang", "n")
     out: dict[str, list[str]] = {}
     for r in chosen.select("lang", "line").collect():
         out.setdefault(r.lang, []).append(r.line)
@@ -62,7 +66,7 @@ def plain(text: str, table: bytes) -> bytes:
     return b" " + b" ".join(text.encode().translate(table).split())
 
 
-def classifier(dictionaries: dict[str, bytes], piece: int):
+def classifier(dictionaries: dict[str, bytes], piece: int, dict_bytes: int):
     """A function from texts to the compressed bytes by language (texts x languages); -1 for texts without a letter."""
     import regex
     import zstandard
@@ -70,12 +74,12 @@ def classifier(dictionaries: dict[str, bytes], piece: int):
     table = _letters_table()
     # A binary-tree match finder: the faster ones index a dictionary too sparsely to judge short texts.
     how = zstandard.ZstdCompressionParameters(
-        window_log=17, hash_log=16, chain_log=17, search_log=4, min_match=5, strategy=zstandard.STRATEGY_BTLAZY2,
+        window_log=17, hash_log=16, chain_log=17, search_log=4, min_match=4, strategy=zstandard.STRATEGY_BTLAZY2,
         write_content_size=False, write_checksum=False, write_dict_id=False,
     )
     tools = []
     for content in dictionaries.values():
-        d = zstandard.ZstdCompressionDict(plain(content.decode(), table), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d = zstandard.ZstdCompressionDict(plain(content.decode(), table)[:dict_bytes], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         d.precompute_compress(compression_params=how)
         tools.append(zstandard.ZstdCompressor(dict_data=d, compression_params=how).compress)
     letter = regex.compile(r"\p{L}").search
@@ -115,14 +119,14 @@ def decide(names: list[str], sizes: np.ndarray, nats_per_byte: float = 0.5, marg
     }
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], piece: int = 4096, margin: float = 0.02) -> DataFrame:
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], piece: int = 4096, dict_bytes: int = 48 << 10, margin: float = 0.02) -> DataFrame:
     """doc_id, held_out, lang_pred, score and accepted for every row."""
     names = list(dictionaries)
     state: dict = {}
 
     def work(part: pa.RecordBatch) -> dict:
         if "sizes" not in state:  # made once in each task
-            state["sizes"] = classifier(dictionaries, piece)
+            state["sizes"] = classifier(dictionaries, piece, dict_bytes)
         return {"doc_id": part.column(0), "held_out": part.column(2)} | decide(names, state["sizes"](part.column(1).to_pylist()), margin=margin)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id")).alias("held_out"))
