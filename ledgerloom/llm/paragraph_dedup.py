@@ -1,8 +1,10 @@
 """Substring dedup by MinHash banding of paragraphs.
 
-Paragraphs are lines; a long line is divided where its content says so (before a word
-whose hash, with the next word's, is the least of ``reach`` words on either side), so
-that a passage is divided alike wherever it stands. A paragraph's set holds its
+Paragraphs are lines, and lines of fewer than ``min_words`` words that follow one
+another are one (verse, lists, addresses). One of twice ``min_words`` words or more is
+divided where its content says so (before a word whose hash, with the next word's, is
+the least of ``reach`` words on either side), so that a passage is divided alike
+wherever it stands. A paragraph's set holds its
 five-word shingles. Bands of ``rows`` MinHash values are as many as a recall of
 ``recall`` at the wanted similarity takes. Paragraphs that collide in a band are
 compared by exact Jaccard similarity, links are joined to components, and a
@@ -50,16 +52,29 @@ class Settings(NamedTuple):
         return ceil(log(1 - self.recall) / log(1 - (self.percent / 100) ** self.rows))
 
 
-def paragraphs(raw: np.ndarray, offsets: np.ndarray, reach: int) -> tuple[Words, np.ndarray, np.ndarray]:
+def line_starts(raw: np.ndarray, w: Words) -> np.ndarray:
+    """Whether a line or a document begins with each word."""
+    begins = np.zeros(len(w.starts), bool)
+    newlines = np.concatenate([[0], np.cumsum(raw == 10)])
+    begins[1:] = newlines[w.starts[1:]] > newlines[w.ends[:-1]]
+    begins[w.offsets[:-1][w.offsets[:-1] < len(begins)]] = True
+    return begins
+
+
+def paragraphs(raw: np.ndarray, offsets: np.ndarray, reach: int, min_words: int = 6) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words, the first word of each paragraph (and the number of words at the end), and the paragraphs before each document."""
     w = words(raw, offsets, lower=True)
     n = len(w.starts)
     if not n:
         return w, np.zeros(1, np.int64), np.zeros(len(offsets), np.int64)
-    newlines = np.concatenate([[0], np.cumsum(raw == 10)])
-    begins = np.zeros(n, bool)
-    begins[1:] = newlines[w.starts[1:]] > newlines[w.ends[:-1]]
+    begins = line_starts(raw, w)
+    line = np.flatnonzero(begins)
+    short = np.diff(np.append(line, n)) < min_words
+    # A newline between two short lines is no border.
+    begins[line[1:][short[1:] & short[:-1]]] = False
     begins[w.offsets[:-1][w.offsets[:-1] < n]] = True
+    block = np.flatnonzero(begins)
+    size = np.diff(np.append(block, n))
     pair, at = windows(w.hashes, w.offsets, 2)
     # Room between documents, so that no word's neighbours are another document's.
     place = np.arange(n) + np.repeat(np.arange(len(offsets) - 1) * reach, np.diff(w.offsets))
@@ -70,7 +85,8 @@ def paragraphs(raw: np.ndarray, offsets: np.ndarray, reach: int) -> tuple[Words,
     for k in range(1, reach + 1):
         np.minimum(before[k:], value[:-k], out=before[k:])
         np.minimum(after[:-k], value[k:], out=after[:-k])
-    begins |= ((value < before) & (value <= after))[place]
+    # A line that cannot give two paragraphs of min_words words stays whole: its parts could all be too short.
+    begins |= ((value < before) & (value <= after))[place] & np.repeat(size >= 2 * min_words, size)
     first = np.flatnonzero(begins)
     return w, np.append(first, n), np.searchsorted(first, w.offsets)
 
@@ -103,7 +119,7 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
     """doc_id, th (text hash), pos, d1 and d2 (names of the set) of every paragraph that is compared."""
 
     def work(part: pa.RecordBatch) -> dict:
-        w, first, before = paragraphs(*text_bytes(part.column(2)), s.reach)
+        w, first, before = paragraphs(*text_bytes(part.column(2)), s.reach, s.min_words)
         which = np.flatnonzero(np.diff(first) >= s.min_words)
         doc = np.searchsorted(before, which, "right") - 1
         d1, d2 = digests(*sets_of(w, first, which))
@@ -116,7 +132,7 @@ def banded(docs: DataFrame, s: Settings) -> DataFrame:
     """key, d1 and d2: every compared paragraph's set under each of its bands. Cheaper to compute twice than to keep."""
 
     def work(part: pa.RecordBatch) -> dict:
-        w, first, _ = paragraphs(*text_bytes(part.column(0)), s.reach)
+        w, first, _ = paragraphs(*text_bytes(part.column(0)), s.reach, s.min_words)
         sh, at = sets_of(w, first, np.flatnonzero(np.diff(first) >= s.min_words))
         d1, d2 = digests(sh, at)
         keys = band_keys(sh, at, s.bands, s.rows)
@@ -131,7 +147,7 @@ def chosen_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     texts = docs.select("doc_id", "th", "text").join(places, ["doc_id", "th"]).select("text", F.col("places.pos").alias("pos"), F.col("places.id.d1").alias("d1"), F.col("places.id.d2").alias("d2"))
 
     def work(part: pa.RecordBatch) -> dict:
-        w, first, before = paragraphs(*text_bytes(part.column(0)), s.reach)
+        w, first, before = paragraphs(*text_bytes(part.column(0)), s.reach, s.min_words)
         pos, d1, d2 = part.column(1), part.column(2), part.column(3)
         doc = np.repeat(np.arange(part.num_rows), pos.value_lengths().to_numpy())
         sh, at = sets_of(w, first, before[doc] + pos.flatten().to_numpy())
@@ -198,7 +214,7 @@ def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     def work(part: pa.RecordBatch) -> dict:
         raw, off = text_bytes(part.column(1))
-        w, first, before = paragraphs(raw, off, s.reach)
+        w, first, before = paragraphs(raw, off, s.reach, s.min_words)
         out: dict = {k: [] for k in ("doc_id", "n_paragraphs", "n_repeated", "n_removed", "removed_words", "kept_text", "kept_sha256")}
         for d, (pos, stays) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
             a, b = before[d], before[d + 1]

@@ -96,3 +96,17 @@ def test_edges(edge_docs, edge_rows, no_docs):
 
 def test_bands_reach_the_recall():
     assert 1 - (1 - 0.75**S.rows) ** S.bands >= S.recall > 1 - (1 - 0.75**S.rows) ** (S.bands - 1)
+
+
+def test_passages_in_short_lines_are_found(spark):
+    """60 words in lines of 5, and of 5 and 7 in turn, amid other short lines and inside prose."""
+    rng = random.Random(8)
+    prose = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for k in range(60):
+        passage = "\n".join(" ".join(prose(n)) for n in ([5] * 12, [5, 7] * 5)[k % 2])
+        verse = "\n".join(" ".join(prose(4)) for _ in range(rng.randrange(1, 9)))
+        rows += [(2 * k, f"{verse}\n{passage}\n{' '.join(prose(50))}"), (2 * k + 1, f"{' '.join(prose(30))}\n{passage}\n{verse[::-1]}")]
+    got = {r.doc_id: r for r in paragraph_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(2 * k in got and 2 * k + 1 in got for k in range(60)) >= 57
+    assert all(r.n_removed == 0 for d, r in got.items() if d % 2 == 0) and all(r.removed_words >= S.min_run for d, r in got.items() if d % 2)
