@@ -12,6 +12,12 @@ component over several documents keeps its first paragraph. Paragraphs count onl
 in runs of neighbours, all of them repeated, that hold ``min_run`` words, so a common
 short line is left alone. Copies with the same set are one class from the start.
 
+With ``whole_lines`` every line of ``min_words`` words or more is compared as a whole
+as well, so that lines with a few changed words are found though the changes spoil
+their paragraphs. Lines are linked with lines only, under the same rules; what either
+division removes is removed. Both keep the first by document and place, so no text
+loses its last copy.
+
 Defined cases: null and empty texts have no paragraph; paragraphs of fewer than
 ``min_words`` words are never compared, but go with their neighbours in a run; rows
 without doc_id are ignored; rows that share a doc_id are told apart by their text
@@ -46,6 +52,7 @@ class Settings(NamedTuple):
     reach: int = 5
     min_words: int = 6
     min_run: int = 24
+    whole_lines: bool = False  # compare whole lines beside the paragraphs
 
     @property
     def bands(self) -> int:
@@ -101,56 +108,96 @@ def band_keys(sh: np.ndarray, at: np.ndarray, bands: int, rows: int) -> np.ndarr
     return out.view(np.int64)
 
 
-def sets_of(w: Words, first: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingles of the paragraphs numbered ``which``, and the offset of each."""
-    count = np.diff(first)[which]
+def sets_of(w: Words, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of the words from ``begin`` to ``end``, and the offset of each."""
+    count = end - begin
     at = np.concatenate([[0], np.cumsum(count)])
-    index = np.arange(at[-1]) + np.repeat(first[which] - at[:-1], count)
+    index = np.arange(at[-1]) + np.repeat(begin - at[:-1], count)
     sh, sh_at = shingles(w.hashes[index], at, WIDTH)
-    doc = np.repeat(np.arange(len(which)), np.diff(sh_at))
+    doc = np.repeat(np.arange(len(begin)), np.diff(sh_at))
     order = np.lexsort((sh, doc))
     sh, doc = sh[order], doc[order]
     new = np.ones(len(sh), bool)
     new[1:] = (sh[1:] != sh[:-1]) | (doc[1:] != doc[:-1])
-    return sh[new], np.searchsorted(doc[new], np.arange(len(which) + 1))
+    return sh[new], np.searchsorted(doc[new], np.arange(len(begin) + 1))
+
+
+def divisions(raw: np.ndarray, offsets: np.ndarray, s: Settings) -> tuple[Words, list[np.ndarray]]:
+    """Words, and the first word of each unit (and the number of words) by paragraphs and, if wanted, by lines."""
+    w, first, _ = paragraphs(raw, offsets, s.reach, s.min_words)
+    if not s.whole_lines:
+        return w, [first]
+    return w, [first, np.append(np.flatnonzero(line_starts(raw, w)), len(w.starts))]
+
+
+class Units(NamedTuple):
+    words: Words
+    begin: np.ndarray  # first word of each compared paragraph or line
+    end: np.ndarray
+    doc: np.ndarray
+    kind: np.ndarray  # 0: paragraph, 1: line
+
+    @property
+    def pos(self) -> np.ndarray:
+        """Place in the document: twice the words before, plus the kind."""
+        return 2 * (self.begin - self.words.offsets[self.doc]) + self.kind
+
+
+def compared(raw: np.ndarray, offsets: np.ndarray, s: Settings) -> Units:
+    w, firsts = divisions(raw, offsets, s)
+    long = [np.flatnonzero(np.diff(first) >= s.min_words) for first in firsts]
+    begin = np.concatenate([first[x] for first, x in zip(firsts, long, strict=True)])
+    end = np.concatenate([first[x + 1] for first, x in zip(firsts, long, strict=True)])
+    return Units(w, begin, end, np.searchsorted(w.offsets, begin, "right") - 1, np.repeat(np.arange(len(long)), list(map(len, long))))
+
+
+def names(sh: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers that name a set; other ones for a line than for a paragraph."""
+    d1, d2 = digests(sh, at)
+    return np.where(kind > 0, ~d1, d1), d2
 
 
 def described(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, th (text hash), pos, d1 and d2 (names of the set) of every paragraph that is compared."""
+    """doc_id, th (text hash), pos, d1 and d2 (names of the set) of every paragraph and line that is compared."""
 
     def work(part: pa.RecordBatch) -> dict:
-        w, first, before = paragraphs(*text_bytes(part.column(2)), s.reach, s.min_words)
-        which = np.flatnonzero(np.diff(first) >= s.min_words)
-        doc = np.searchsorted(before, which, "right") - 1
-        d1, d2 = digests(*sets_of(w, first, which))
-        return {"doc_id": part.column(0).take(pa.array(doc)), "th": part.column(1).take(pa.array(doc)), "pos": (which - before[doc]).astype(np.int32), "d1": d1, "d2": d2}
+        u = compared(*text_bytes(part.column(2)), s)
+        d1, d2 = names(*sets_of(u.words, u.begin, u.end), u.kind)
+        return {"doc_id": part.column(0).take(pa.array(u.doc)), "th": part.column(1).take(pa.array(u.doc)), "pos": u.pos, "d1": d1, "d2": d2}
 
-    return mapped(docs.select("doc_id", "th", "text"), work, "doc_id long, th long, pos int, d1 long, d2 long")
+    return mapped(docs.select("doc_id", "th", "text"), work, "doc_id long, th long, pos long, d1 long, d2 long")
 
 
 def banded(docs: DataFrame, s: Settings) -> DataFrame:
-    """key, d1 and d2: every compared paragraph's set under each of its bands. Cheaper to compute twice than to keep."""
+    """key, d1 and d2: every compared paragraph's or line's set under each of its bands. Cheaper to compute twice than to keep."""
 
     def work(part: pa.RecordBatch) -> dict:
-        w, first, _ = paragraphs(*text_bytes(part.column(0)), s.reach, s.min_words)
-        sh, at = sets_of(w, first, np.flatnonzero(np.diff(first) >= s.min_words))
-        d1, d2 = digests(sh, at)
+        u = compared(*text_bytes(part.column(0)), s)
+        sh, at = sets_of(u.words, u.begin, u.end)
+        d1, d2 = names(sh, at, u.kind)
         keys = band_keys(sh, at, s.bands, s.rows)
+        keys = np.where(u.kind[:, None] > 0, ~keys, keys)
         return {"keys": list_column(keys.ravel(), np.arange(len(keys) + 1) * s.bands), "d1": d1, "d2": d2}
 
     return mapped(docs.select("text"), work, "keys array<long>, d1 long, d2 long").select(F.explode("keys").alias("key"), "d1", "d2")
 
 
 def chosen_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
-    """id and shingles of the paragraphs ``wanted`` (id, doc_id, th, pos)."""
+    """id and shingles of the paragraphs and lines ``wanted`` (id, doc_id, th, pos)."""
     places = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "id")).alias("places"))
     texts = docs.select("doc_id", "th", "text").join(places, ["doc_id", "th"]).select("text", F.col("places.pos").alias("pos"), F.col("places.id.d1").alias("d1"), F.col("places.id.d2").alias("d2"))
 
     def work(part: pa.RecordBatch) -> dict:
-        w, first, before = paragraphs(*text_bytes(part.column(0)), s.reach, s.min_words)
+        w, firsts = divisions(*text_bytes(part.column(0)), s)
         pos, d1, d2 = part.column(1), part.column(2), part.column(3)
         doc = np.repeat(np.arange(part.num_rows), pos.value_lengths().to_numpy())
-        sh, at = sets_of(w, first, before[doc] + pos.flatten().to_numpy())
+        at = pos.flatten().to_numpy()
+        begin = w.offsets[doc] + (at >> 1)
+        end = np.zeros(len(begin), np.int64)
+        for kind, first in enumerate(firsts):
+            own = (at & 1) == kind
+            end[own] = first[np.searchsorted(first, begin[own], "right")]
+        sh, at = sets_of(w, begin, end)
         return {"d1": d1.flatten(), "d2": d2.flatten(), "shingles": list_column(sh, at)}
 
     return mapped(texts, work, "d1 long, d2 long, shingles array<long>").select(F.struct("d1", "d2").alias("id"), "shingles").dropDuplicates(["id"])
@@ -168,7 +215,7 @@ def confirm_with(sets: DataFrame, percent: int):
 
 
 def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, th, pos and stays (true for the first of a component) of every paragraph that is repeated in another document."""
+    """doc_id, th, pos and stays (true for the first of a component) of every paragraph and line that is repeated in another document."""
     spark, made = rows.sparkSession, []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -206,7 +253,10 @@ def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
 
 
 def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """A row for each document with a repeated passage: doc_id, n_paragraphs, n_repeated and n_removed (paragraphs), removed_words, kept_text and kept_sha256."""
+    """A row for each document with a repeated passage: doc_id, n_paragraphs, n_repeated and n_removed (paragraphs), removed_words, kept_text and kept_sha256.
+
+    A paragraph inside repeated lines is a repeated one, and a removed one if all its words go.
+    """
     s = settings
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").filter(F.col("doc_id").isNotNull() & (F.length("text") > 0))
     hits = repeated_paragraphs(rows, s).groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "stays")).alias("hits"))
@@ -214,35 +264,52 @@ def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     def work(part: pa.RecordBatch) -> dict:
         raw, off = text_bytes(part.column(1))
-        w, first, before = paragraphs(raw, off, s.reach, s.min_words)
+        w, firsts = divisions(raw, off, s)
         out: dict = {k: [] for k in ("doc_id", "n_paragraphs", "n_repeated", "n_removed", "removed_words", "kept_text", "kept_sha256")}
         for d, (pos, stays) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-            a, b = before[d], before[d + 1]
-            size = np.diff(first[a : b + 1])
-            hit, home = np.zeros(b - a, bool), np.zeros(b - a, bool)
-            hit[pos] = True
-            home[pos] = stays
-            inside = runs(hit, size, s)
+            x, y = w.offsets[d], w.offsets[d + 1]
+            at, home = np.array(pos, np.int64), np.array(stays, bool)
+            inside, gone, spans = np.zeros(y - x, bool), np.zeros(y - x, bool), []
+            for kind, first in enumerate(firsts):
+                begin = first[np.searchsorted(first, x) : np.searchsorted(first, y)] - x
+                size = np.diff(np.append(begin, y - x))
+                own = (at & 1) == kind
+                within, goes = removable(np.searchsorted(begin, at[own] >> 1), home[own], size, s)
+                inside |= np.repeat(within, size)
+                gone |= np.repeat(goes, size)
+                spans += [(w.starts[x + begin[u]], w.ends[x + begin[u] + size[u] - 1]) for u in np.flatnonzero(goes)]
             if not inside.any():
                 continue
-            gone = inside & hit & ~home
-            # A short paragraph between two goes if both of them go.
-            at = np.flatnonzero(hit)
-            short = np.flatnonzero(inside & ~hit)
-            after = np.searchsorted(at, short)
-            gone[short] = gone[at[after - 1]] & gone[at[np.minimum(after, len(at) - 1)]]
+            begin = firsts[0][np.searchsorted(firsts[0], x) : np.searchsorted(firsts[0], y)] - x
             kept_parts, reached = [], off[d]
-            for u in np.flatnonzero(gone) + a:
-                kept_parts.append(raw[reached : w.starts[first[u]]])
-                reached = w.ends[first[u + 1] - 1]
+            for a, b in sorted(spans):
+                if a > reached:
+                    kept_parts.append(raw[reached:a])
+                reached = max(reached, b)
             text = b"".join([*(p.tobytes() for p in kept_parts), raw[reached : off[d + 1]].tobytes()])
-            for k, v in zip(out, (part.column(0)[d].as_py(), b - a, inside.sum(), gone.sum(), size[gone].sum(), text.decode(), hashlib.sha256(text).hexdigest()), strict=True):
+            repeated, removed = np.logical_and.reduceat(inside, begin).sum(), np.logical_and.reduceat(gone, begin).sum()
+            for k, v in zip(out, (part.column(0)[d].as_py(), len(begin), repeated, removed, gone.sum(), text.decode(), hashlib.sha256(text).hexdigest()), strict=True):
                 out[k].append(v)
         return out
 
     return mapped(texts, work, "doc_id long, n_paragraphs long, n_repeated long, n_removed long, removed_words long, kept_text string, kept_sha256 string")
 
 
+def removable(which: np.ndarray, home: np.ndarray, size: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Units in runs of repeated ones, and those of them that go, for the repeated units numbered ``which`` (``home``: it stays)."""
+    hit, stays = np.zeros(len(size), bool), np.zeros(len(size), bool)
+    hit[which] = True
+    stays[which] = home
+    inside = runs(hit, size, s)
+    gone = inside & hit & ~stays
+    # A short unit between two goes if both of them go.
+    at = np.flatnonzero(hit)
+    short = np.flatnonzero(inside & ~hit)
+    after = np.searchsorted(at, short)
+    gone[short] = gone[at[after - 1]] & gone[at[np.minimum(after, len(at) - 1)]]
+    return inside, gone
+
+
 def runs(hit: np.ndarray, size: np.ndarray, s: Settings) -> np.ndarray:
     """Paragraphs in runs of repeated ones with ``min_run`` words; short ones between two repeated ones belong to the run."""
     inside, at = np.zeros(len(hit), bool), np.flatnonzero(hit)

@@ -49,7 +49,7 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+    return paragraph_dedup.dedup(table(spark, sf_dir, "documents"), paragraph_dedup.Settings(whole_lines=True)).drop("kept_text")
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,3 +110,36 @@ def test_passages_in_short_lines_are_found(spark):
     got = {r.doc_id: r for r in paragraph_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert sum(2 * k in got and 2 * k + 1 in got for k in range(60)) >= 57
     assert all(r.n_removed == 0 for d, r in got.items() if d % 2 == 0) and all(r.removed_words >= S.min_run for d, r in got.items() if d % 2)
+
+
+def test_whole_lines_that_differ_in_a_few_words(spark):
+    """Pairs of lines one or two words apart, against all pairs by exact Jaccard; the division into paragraphs is not used."""
+    rng = random.Random(9)
+    prose = lambda n: [f"w{rng.randrange(5000)}" for _ in range(n)]
+    rows = []
+    for k in range(60):
+        line = prose(40 if k % 2 else 80)
+        other = list(line)
+        for i in rng.sample(range(len(line)), 2 - k % 2):
+            other[i] = "changed"
+        rows += [(2 * k, "\n".join(" ".join(x) for x in (prose(15), line, prose(3)))), (2 * k + 1, "\n".join(" ".join(x) for x in (prose(9), other)))]
+    rows += [(1000, " ".join(prose(60))), (1001, " ".join(prose(20)))]
+    sets = [(d, len(x.split()), {tuple(x.split()[i : i + 5]) for i in range(len(x.split()) - 4)}) for d, text in rows for x in text.split("\n") if len(x.split()) >= S.min_run]
+    pairs = {(d, e, n) for d, _, a in sets for e, n, b in sets if d < e and 4 * len(a & b) >= 3 * len(a | b)}
+    assert len(pairs) >= 55
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # With so many bands that none of these pairs is left to chance.
+    got = {r.doc_id: r for r in paragraph_dedup.dedup(docs, Settings(whole_lines=True, recall=0.999999)).collect()}
+    for d, e, n in pairs:
+        assert got[d].removed_words == 0 and got[d].kept_text == dict(rows)[d]
+        assert got[e].removed_words >= n and got[e].kept_text.split() == dict(rows)[e].split("\n")[0].split()
+    assert not {1000, 1001} & set(got)
+
+
+def test_whole_lines_take_nothing_back(table, edge_docs):
+    """Whole lines only add to what paragraphs find, and the first document of the table keeps its text."""
+    for docs in (table("documents"), edge_docs):
+        less = {r.doc_id: r for r in paragraph_dedup.dedup(docs).collect()}
+        more = {r.doc_id: r for r in paragraph_dedup.dedup(docs, Settings(whole_lines=True)).collect()}
+        assert set(less) <= set(more)
+        assert all(more[d].removed_words >= r.removed_words and more[d].n_repeated >= r.n_repeated for d, r in less.items())
