@@ -8,8 +8,10 @@ divergence is over its threshold, which is widened for short texts, where a
 histogram is noisy; texts of fewer than ``min_words`` words are not judged this way.
 Simple counts (repeated lines, repeated 8-word windows, symbols) come along.
 
-Languages with less than ``lang_share`` of all words get no reference, so at most
-1 / lang_share of them, with 1 / word_share words each, reach the driver and tasks.
+Every language of ``enough`` words or more has a reference, however small its share of
+the table; 1 / word_share words of each at most reach the driver and tasks. Documents
+of a language with fewer words are measured against the others, but do not fail by
+divergence.
 
 Defined cases: a null or empty text has zero counts and fails the base rule of 20
 words; a null lang teaches nothing; without any reference nothing is judged by
@@ -34,13 +36,15 @@ CLASSES = ("lower", "upper", "digit", "blank", "newline", "mark", "symbol", "oth
 SYMBOLS = b"#*$%&|<>"
 #: Words that a task counts before it passes the counts on.
 BLOCK_WORDS = 2_000_000
+#: Cells (documents x vocabulary) of one block of histograms.
+BLOCK_CELLS = 1 << 22
 
 
 class References(NamedTuple):
     langs: list[str]
     chars: np.ndarray  # (languages, classes): shares
     vocabulary: np.ndarray  # sorted hashes of words that are common in any language
-    words: np.ndarray  # (languages, vocabulary and all other words): shares
+    words: list  # for each language its places in the vocabulary (the last: all other words) and their shares
 
 
 def class_of_byte() -> np.ndarray:
@@ -66,8 +70,12 @@ def lower_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return spans_hash(prefix_sums(raw, lower=True), starts, ends), at
 
 
-def references(docs: DataFrame, word_share: float = 0.005, lang_share: float = 0.001) -> References:
-    """Count the corpus: one pass, pre-aggregated in each task."""
+def references(docs: DataFrame, word_share: float = 0.005, lang_share: float | None = None, enough: int = 2000) -> References:
+    """Count the corpus: one pass, pre-aggregated in each task.
+
+    ``enough``: words that a language must have for a reference; with 2,000 a common word
+    occurs ten times at least. ``lang_share``, if given, asks for that share of all words instead.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, names, held = [], [], 0
@@ -108,25 +116,27 @@ def references(docs: DataFrame, word_share: float = 0.005, lang_share: float = 0
     # Two reads of the counts: the totals, then what is common. They are written so that the texts are counted once.
     counted, path = kept(counted, "counts")
     totals = counted.filter("not is_char").groupBy("lang").agg(F.sum("n").alias("words"))
-    everything = totals.agg(F.sum("words")).first()[0] or 0
-    large = {r.lang: r.words for r in totals.filter(F.col("words") >= max(1, lang_share * everything)).collect()}
-    limits = F.create_map(*[x for k, v in sorted(large.items()) for x in (F.lit(k), F.lit(float(v) * word_share))]) if large else None
-    common = counted.filter(F.col("is_char") | (F.col("n") >= F.element_at(limits, F.col("lang")))).filter(F.col("lang").isin(*large)).collect() if large else []
+    least = enough if lang_share is None else lang_share * (totals.agg(F.sum("words")).first()[0] or 0)
+    totals = totals.filter(F.col("words") >= max(1, least))
+    large = {r.lang: r.words for r in totals.collect()}
+    common = counted.join(F.broadcast(totals), "lang").filter(F.col("is_char") | (F.col("n") >= F.col("words") * F.lit(word_share))).select("lang", "is_char", "item", "n").collect()
     drop(docs.sparkSession, path)
     langs = sorted(large)
     words = {r["item"] for r in common if not r.is_char}
     vocabulary = np.sort(np.array(sorted(words), np.int64).view(np.uint64)) if words else np.zeros(0, np.uint64)
-    char_n, word_n = np.zeros((len(langs), len(CLASSES))), np.zeros((len(langs), len(vocabulary) + 1))
+    char_n, word_n = np.zeros((len(langs), len(CLASSES))), {lang: {} for lang in langs}
+    number = {lang: i for i, lang in enumerate(langs)}
     for r in common:
-        i = langs.index(r.lang)
         if r.is_char:
-            char_n[i, r["item"]] = r.n
+            char_n[number[r.lang], r["item"]] = r.n
         else:
-            word_n[i, np.searchsorted(vocabulary, np.array([r["item"]], np.int64).view(np.uint64)[0])] = r.n
-    for i, lang in enumerate(langs):
-        word_n[i, -1] = large[lang] - word_n[i].sum()
-    share = lambda x: x / np.maximum(x.sum(1, keepdims=True), 1)
-    return References(langs, share(char_n), vocabulary, share(word_n))
+            word_n[r.lang][int(np.searchsorted(vocabulary, np.array([r["item"]], np.int64).view(np.uint64)[0]))] = r.n
+    by_word = []
+    for lang in langs:
+        rest = large[lang] - sum(word_n[lang].values())
+        n = word_n[lang] | ({len(vocabulary): rest} if rest else {})
+        by_word.append((np.array(sorted(n), np.int64), np.array([n[k] for k in sorted(n)], float) / large[lang]))
+    return References(langs, char_n / np.maximum(char_n.sum(1, keepdims=True), 1), vocabulary, by_word)
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -141,6 +151,18 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.clip(out, 0, 1)
 
 
+def word_divergence(p: np.ndarray, refs: list) -> np.ndarray:
+    """:func:`divergence` from rows that are given by their places above 0: elsewhere a share of ``p`` adds half of itself."""
+    out, total = np.zeros((len(p), len(refs))), p.sum(1)
+    for j, (at, row) in enumerate(refs):
+        own = p[:, at]
+        m = (own + row) / 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            both = np.where(own > 0, own * np.log2(own / m), 0) + row * np.log2(row / m)
+        out[:, j] = (total + row.sum() + (both - own - row).sum(1)) / 2
+    return np.clip(out, 0, 1)
+
+
 def base_counts(raw: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each document."""
     n = len(offsets) - 1
@@ -196,9 +218,11 @@ def histograms(raw: np.ndarray, offsets: np.ndarray, refs: References) -> tuple[
 def judge(docs: DataFrame, refs: References, max_char: float = 0.04, max_word: float = 0.10, char_slack: float = 3.0, word_slack: float = 5.0, min_words: int = 50) -> DataFrame:
     """Counts, divergences from the nearest language and the verdict for every row.
 
-    Each threshold is widened by its slack / words of the text.
+    Each threshold is widened by its slack / words of the text. A text whose lang has no reference does not fail by divergence.
     """
 
+    known = set(refs.langs)
+
     def work(part: pa.RecordBatch) -> dict:
         raw, off = text_bytes(part.column(1))
         out = base_counts(raw, off)
@@ -206,14 +230,19 @@ def judge(docs: DataFrame, refs: References, max_char: float = 0.04, max_word: f
         n = part.num_rows
         char_js, word_js, lang, far = np.zeros(n), np.zeros(n), np.full(n, None, object), np.zeros(n, bool)
         if refs.langs:
-            chars, words, count = histograms(raw, off, refs)
-            by_char, by_word = divergence(chars, refs.chars), divergence(words, refs.words)
+            by_char, by_word, count = np.zeros((n, len(refs.langs))), np.zeros((n, len(refs.langs))), np.zeros(n, np.int64)
+            step = max(1, BLOCK_CELLS // (len(refs.vocabulary) + 1))
+            for a in range(0, n, step):
+                b = min(n, a + step)
+                chars, words, count[a:b] = histograms(raw[off[a] : off[b]], off[a : b + 1] - off[a], refs)
+                by_char[a:b], by_word[a:b] = divergence(chars, refs.chars), word_divergence(words, refs.words)
             near = (by_char + by_word).argmin(1)
             char_js, word_js = by_char[np.arange(n), near], by_word[np.arange(n), near]
             lang = np.array(refs.langs, object)[near]
             per = 1 / np.maximum(count, 1)
-            far = (out["n_words"] >= min_words) & ((char_js > max_char + char_slack * per) | (word_js > max_word + word_slack * per))
+            rare = np.array([x is not None and x not in known for x in part.column(2).to_pylist()], bool)
+            far = ~rare & (out["n_words"] >= min_words) & ((char_js > max_char + char_slack * per) | (word_js > max_word + word_slack * per))
         return {"doc_id": part.column(0), **out, "char_js": char_js, "word_js": word_js, "nearest": lang, "kept": ~out["base_failed"] & ~far}
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     return mapped(rows, work, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, char_js double, word_js double, nearest string, kept boolean")

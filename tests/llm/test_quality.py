@@ -93,3 +93,20 @@ def test_without_references_only_the_base_rules_hold(edge_docs, no_docs):
     refs = quality.references(no_docs)
     assert refs.langs == [] and quality.judge(no_docs, refs).count() == 0
     assert all(r.kept == (not r.base_failed) for r in quality.judge(edge_docs, refs).collect())
+
+
+def test_documents_of_rare_languages_are_kept(spark):
+    """A language with 0.06 % of all words has a reference of its own; one with too few words does not fail for that."""
+    rng = np.random.default_rng(4)
+    def text(mark, n):
+        return " ".join(f"{mark}{k}" for k in np.minimum(rng.zipf(1.3, n), 400))
+    rows = [(i, text("a", 1_000_000), "en") for i in range(4)] + [(10 + i, text("b", 80), "rare") for i in range(30)] + [(50, text("c", 80), "few"), (51, text("c", 80), "en"), (52, text("c", 80), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    refs = quality.references(docs)
+    got = {r.doc_id: r for r in quality.judge(docs, refs).collect()}
+    assert refs.langs == ["en", "rare"] and not any(r.base_failed for r in got.values())
+    assert all(got[10 + i].kept and got[10 + i].nearest == "rare" for i in range(30))
+    assert got[50].kept and not got[51].kept and not got[52].kept
+    # What else is in the table changes nothing about the language's own reference.
+    alone = quality.references(docs.filter("lang = 'rare'"))
+    assert np.array_equal(alone.chars[0], refs.chars[1]) and np.array_equal(np.sort(alone.words[0][1]), np.sort(refs.words[1][1]))
