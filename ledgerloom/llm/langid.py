@@ -1,15 +1,14 @@
 """Language identification by compression.
 
-For every language a raw-content zstandard dictionary is made of sampled lines. A
+For every language a raw-content zstandard dictionary is made of sampled pieces of text. A
 text is cut into pieces of ``piece`` bytes (all of them are used), each piece is
 compressed with every dictionary, and the language with the smallest total wins. A
 text is accepted only if the runner-up needs clearly more bytes, else it is
 rejected: the winner stays in ``lang_pred`` and ``accepted`` is false.
 
 The dictionaries come from a bounded sample (see :func:`learn`): for each language
-lines of documents chosen by hash, each cut to ``line_chars`` characters. Of what
-they hold the first ``dict_bytes`` are used. Languages beyond ``max_langs`` (by
-documents, then name) are not learned.
+pieces of ``line_chars`` characters of documents chosen by hash, however long their
+lines. Of what they hold the first ``dict_bytes`` are used. Every language is learned.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and
 not accepted; ties go to the first language by name; if nothing can be learned
@@ -35,21 +34,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def learn(docs: DataFrame, sample_docs: int = 2000, dict_lines: int = 1000, line_chars: int = 200, max_langs: int = 200) -> dict[str, bytes]:
-    """Dictionary content of each language; at most max_langs x dict_lines lines reach the driver.
+def learn(docs: DataFrame, sample_docs: int = 2000, dict_lines: int = 1000, line_chars: int = 200, all_lines: int = 200_000) -> dict[str, bytes]:
+    """Dictionary content of each language; at most all_lines pieces, or one of each language, reach the driver.
 
     Of each language about ``sample_docs`` documents are read, chosen by hash of the
-    id, and of their distinct lines of 40 characters or more the ``dict_lines`` of
-    smallest hash.
+    id, and of the distinct pieces of ``line_chars`` characters that hold a letter the
+    ``dict_lines`` of smallest hash; fewer if all languages would have more than
+    ``all_lines``, which they share alike.
     """
     rows = docs.select("doc_id", "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    by_size = Window.orderBy(F.col("count").desc(), "lang")
-    langs = rows.groupBy("lang").count().withColumn("n", F.row_number().over(by_size)).filter(F.col("n") <= max_langs)
+    langs = rows.groupBy("lang").count().withColumn("most", F.greatest(F.lit(1), F.least(F.lit(dict_lines), F.floor(F.lit(all_lines) / F.count("*").over(Window.partitionBy())))))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(1 << 30)
-    some = rows.join(F.broadcast(langs.select("lang", "count")), "lang").filter(share < F.lit(sample_docs) / F.col("count"))
-    lines = some.select("lang", F.explode(F.split("text", "\n")).alias("line")).select("lang", F.substring("line", 1, line_chars).alias("line")).filter(F.length("line") >= 40)
+    some = rows.join(F.broadcast(langs), "lang").filter(share < F.lit(sample_docs) / F.col("count"))
+    lines = some.select("lang", "most", F.explode(F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % line_chars), F.lit(0))).alias("line")).filter(F.col("line").rlike(r"\p{L}"))
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("line"), "line")
-    chosen = lines.distinct().withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= dict_lines).orderBy("lang", "n")
+    chosen = lines.distinct().withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= F.col("most")).orderBy("lang", "n")
     out: dict[str, list[str]] = {}
     for r in chosen.select("lang", "line").collect():
         out.setdefault(r.lang, []).append(r.line)

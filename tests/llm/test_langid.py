@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import langid
@@ -42,3 +44,18 @@ def test_every_byte_counts():
     s = sizes([head, head + tail, tail])
     assert s[0].argmin() == 0 and s[1].argmin() == 1 and s[2].argmin() == 1
     assert (s[1] > s[0]).all()
+
+
+def test_short_lines_teach(spark):
+    """A language whose lines all have under 40 characters, one of them without blanks, and more than 200 languages."""
+    rng = random.Random(2)
+    vocabulary = lambda letters: ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 7))) for _ in range(150)]
+    text = lambda words, n, end: end.join(rng.choice(words) for _ in range(n))
+    kinds = {"prose": (vocabulary("abcdefgh"), " "), "verse": (vocabulary("mnopqrst"), "\n"), "signs": (vocabulary("天地玄黄宇宙洪荒"), "\n")}
+    rows = [(i, text(kinds[k][0], 120, kinds[k][1]), k) for i, k in enumerate(list(kinds) * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, langid.learn(docs)).filter("held_out").collect()
+    assert len(got) > 10 and all(r.lang_pred == rows[r.doc_id][2] for r in got)
+    many = [(i, text(kinds["prose"][0], 60, " "), f"l{i % 210}") for i in range(1050)]
+    content = langid.learn(spark.createDataFrame(many, "doc_id long, text string, lang string"), all_lines=420)
+    assert len(content) == 210 and all(content.values())
