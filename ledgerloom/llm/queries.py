@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, quality, suffix_dedup, token_files, toxicity
+from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, quality, spelling_variants, suffix_dedup, token_files, toxicity
 from ledgerloom.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -65,6 +65,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity)
+    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity, op11_spelling_variants)
 }

@@ -76,4 +76,34 @@ SELECT s.doc_id, len(shingles)::BIGINT AS n_shingles, least(s.doc_id, coalesce(o
 FROM sets s LEFT JOIN least USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_line_dedup": _OP1, "op2_near_dedup": _OP2, "op3_mix": _OP3}
+#: The unsigned crc32 of a list of bytes {bytes}: a byte goes in, then eight steps (-1) take a bit out each.
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform({bytes}, lambda b: [b::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)"""
+_UTF8 = "flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END))"
+
+_OP11 = f"""
+WITH RECURSIVE found AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+),
+summed AS (SELECT run, c, {_CRC32.format(bytes=_UTF8.format(text="coalesce(doc_id::VARCHAR, '') || ':' || run"))} AS h FROM found),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, c FROM summed),
+words AS (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words),
+holes AS (SELECT word, n, left(word, i - 1) || chr(0) || substr(word, i + 1) AS hole, left(word, i - 1) || substr(word, i + 1) AS less FROM places),
+near AS (
+    SELECT a.word, b.word AS near, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+    UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON h.less = w.word
+    UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON h.less = w.word
+),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM near GROUP BY word),
+forms AS (
+    SELECT w.word, CASE WHEN near_n >= 2 * w.n THEN near END AS form, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+    FROM words w LEFT JOIN best b ON w.word = b.word
+),
+steps(word, root) AS (SELECT word, form FROM forms WHERE form IS NOT NULL UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT s.word, s.root FROM steps s JOIN forms f ON s.root = f.word WHERE f.form IS NULL)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM forms f LEFT JOIN ends e ON f.word = e.word
+"""
+
+SQL: dict[str, str] = {"op1_line_dedup": _OP1, "op2_near_dedup": _OP2, "op3_mix": _OP3, "op11_spelling_variants": _OP11}

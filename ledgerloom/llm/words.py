@@ -78,11 +78,14 @@ def letter_gaps() -> np.ndarray:
     return t
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words (runs of bytes not in ``gaps``), and the words before each document."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray, gaps: np.ndarray | None = None, by_byte: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of words (runs of bytes not in ``gaps``), and the words before each document.
+
+    ``gaps`` tells for each value of a byte, or with ``by_byte`` for each byte of ``raw``.
+    """
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    blank = (blank_bytes() if gaps is None else gaps)[raw]
+    blank = gaps if by_byte else (blank_bytes() if gaps is None else gaps)[raw]
     before, after = np.empty_like(blank), np.empty_like(blank)
     before[0], before[1:] = True, blank[:-1]
     after[-1], after[:-1] = True, blank[1:]
