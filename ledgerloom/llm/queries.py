@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, quality, spelling_variants, suffix_dedup, token_files, toxicity
+from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, periodic_runs, quality, spelling_variants, suffix_dedup, token_files, toxicity
 from ledgerloom.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -69,6 +71,22 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(table(spark, sf_dir, "documents"))
 
 
+def repeated_tail(doc_id: int | None, n: int) -> np.ndarray | None:
+    """The places of a text's words where every tenth document or so repeats a piece of itself to the end."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    places[a:] = a + (places[a:] - a) % (1 + (n - a) // (3 + g % 8))
+    return places
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.summary(periodic_runs.find(table(spark, sf_dir, "documents"), reorder=repeated_tail))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity, op11_spelling_variants)
+    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity, op11_spelling_variants, op12_periodic_runs)
 }

@@ -106,4 +106,27 @@ ends AS (SELECT s.word, s.root FROM steps s JOIN forms f ON s.root = f.word WHER
 SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM forms f LEFT JOIN ends e ON f.word = e.word
 """
 
-SQL: dict[str, str] = {"op1_line_dedup": _OP1, "op2_near_dedup": _OP2, "op3_mix": _OP3, "op11_spelling_variants": _OP11}
+_OP12 = rf"""
+WITH docs AS (
+    SELECT doc_id, words, len(words) AS n, h, h // 10 AS g, (h // 10) % greatest(len(words), 1) AS a
+    FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS words, {_CRC32.format(bytes="list_transform(string_split(doc_id::VARCHAR, ''), lambda c: unicode(c))")} AS h FROM documents)
+),
+numbered AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p, unnest(range(n)) AS i FROM docs),
+read AS (SELECT doc_id, n, i, words[(CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END) + 1] AS word FROM numbered),
+same AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM read x JOIN read y ON x.doc_id = y.doc_id AND x.word = y.word AND x.i < y.i AND 2 * (y.i - x.i) <= x.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) >= q AND count(*) + q >= 12),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY doc_id, start, length),
+told AS (
+    SELECT doc_id, count(*) AS n_runs, first(struct_pack(start := start, length := length, period := period) ORDER BY length DESC, start, period) AS top,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed
+    FROM runs GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT r.doc_id, string_agg(word, ' ' ORDER BY r.i) AS text FROM read r ANTI JOIN gone g ON r.doc_id = g.doc_id AND r.i = g.i GROUP BY r.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, top.start AS start, top.length AS length, top.period AS period, 1000 * top.length // top.period AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM docs d LEFT JOIN told t ON d.doc_id = t.doc_id LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+SQL: dict[str, str] = {"op1_line_dedup": _OP1, "op2_near_dedup": _OP2, "op3_mix": _OP3, "op11_spelling_variants": _OP11, "op12_periodic_runs": _OP12}
