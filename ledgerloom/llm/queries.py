@@ -8,7 +8,7 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, periodic_runs, quality, spelling_variants, suffix_dedup, token_files, toxicity
+from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, periodic_runs, personal_data, quality, spelling_variants, suffix_dedup, token_files, toxicity
 from ledgerloom.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -87,6 +87,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.summary(periodic_runs.find(table(spark, sf_dir, "documents"), reorder=repeated_tail))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.summary(personal_data.find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity, op11_spelling_variants, op12_periodic_runs)
+    f.__name__: f for f in (op1_line_dedup, op2_near_dedup, op3_mix, op4_quality, op5_language, op6_suffix_dedup, op7_paragraphs, op8_decontaminate, op9_token_files, op10_toxicity, op11_spelling_variants, op12_periodic_runs, op13_personal_data)
 }
