@@ -24,6 +24,7 @@ class MergeRule:
     audit: bool = False
     version: str = "updated_at"
     partition_source: str = "created_at"
+    inserts_only: bool = False
 
 
 # Per table, the columns an update may change (everything else keeps its first value).
@@ -44,11 +45,16 @@ RULES = {
 }
 
 
+#: Events are only ever added.
+EVENTS = MergeRule("fact_funnel_events", "event_id", (), inserts_only=True)
+
+
 @dataclass(frozen=True)
 class MergeResult:
     merged: DataFrame
     audit: DataFrame
     counts: DataFrame
+    changed: DataFrame  # inserted and updated rows as they are now
 
 
 # ------------------------------------------------------------------ deltas
@@ -83,7 +89,7 @@ def dedupe_latest(delta: DataFrame, key: Sequence[str], version: str = "updated_
 def _matched(target: DataFrame, delta: DataFrame, rule: MergeRule) -> DataFrame:
     old = target.select(F.struct(*target.columns).alias("o"), F.col(rule.key).alias("_k"))
     new = delta.select(F.struct(*[c for c in target.columns if c in delta.columns]).alias("n"), F.col(rule.key).alias("_k"))
-    newer = F.col(f"n.{rule.version}") > F.col(f"o.{rule.version}")
+    newer = F.lit(False) if rule.inserts_only else F.col(f"n.{rule.version}") > F.col(f"o.{rule.version}")
     action = (
         F.when(F.col("n").isNull(), "keep").when(F.col("o").isNull(), "insert").when(newer, "update").otherwise("stale")
     )
@@ -102,7 +108,7 @@ def merge(
     One full outer join on the key serves all three outputs.
     """
     matched = settle(_matched(target, delta, rule))
-    changes = {*rule.updates, rule.version}
+    changes = set() if rule.inserts_only else {*rule.updates, rule.version}
 
     def value(c: str) -> Column:
         old, new = F.col(f"o.{c}"), F.col(f"n.{c}") if c in delta.columns else F.lit(None)
@@ -112,14 +118,15 @@ def merge(
         return taken.otherwise(old).alias(c)
 
     merged = matched.select(*[value(c) for c in target.columns])
+    changed = matched.where(F.col("_action").isin("insert", "update")).select(*[value(c) for c in target.columns])
     audit = matched.where(F.col("_action") == "update").select(
-        (F.to_timestamp(F.lit(audit_ts)) if audit_ts else F.col(f"n.{rule.version}")).alias("audit_ts"),
+        (F.to_timestamp(F.lit(audit_ts)) if audit_ts else F.col(f"n.{rule.version}") if rule.version in delta.columns else F.lit(None).cast("timestamp")).alias("audit_ts"),
         F.lit("UPDATE").alias("audit_action"), *[F.col(f"o.{c}").alias(c) for c in target.columns],
     )
     counts = matched.agg(
         F.count_if(F.col("_action") == "insert").alias("inserted_count"), F.count_if(F.col("_action") == "update").alias("updated_count")
     )
-    return MergeResult(merged, audit, counts)
+    return MergeResult(merged, audit, counts, changed)
 
 
 def append_new(target: DataFrame, delta: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

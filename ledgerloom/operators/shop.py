@@ -315,21 +315,24 @@ def order_timeline(t: Tables, as_of: str) -> DataFrame:
     )
 
 
+def newest_orders(t: Tables, limit: int) -> DataFrame:
+    """Each customer's newest orders by position. The limit stands straight on the scanned orders, so it cuts before the shuffle."""
+    w = Window.partitionBy("customer_id").orderBy(F.col("order_ts").desc(), "order_id")
+    return t["fact_orders"].select("order_id", "customer_id", "order_ts").withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
+
+
 def order_history(t: Tables, limit: int = 20, as_of: str | None = None) -> DataFrame:
     """Each customer's newest orders, one row per line.
 
     With a clock the status is derived from shipping; without one the stored
     status is shown.
     """
-    w = Window.partitionBy("customer_id").orderBy(F.col("order_ts").desc(), "order_id")
     if as_of is None:
         head = t["fact_orders"].select("order_id", "customer_id", "order_ts", "order_status", "net_amount")
     else:
         kept = F.when(F.upper("order_status") == "CANCELLED", F.col("order_status")).otherwise(F.col("current_status"))
         head = _progress(t, as_of).select("order_id", "customer_id", "order_ts", kept.alias("order_status"), "net_amount")
-    # The limit goes first, straight on the scanned orders, so it can cut before the shuffle.
-    newest = t["fact_orders"].select("order_id", "customer_id", "order_ts").withColumn("position", F.row_number().over(w)).where(F.col("position") <= limit)
-    head = head.join(newest.select("order_id", "position"), "order_id")
+    head = head.join(newest_orders(t, limit).select("order_id", "position"), "order_id")
     lines = with_product(t["fact_order_items"].select("order_id", "product_id", "qty", "order_item_id"), t, "product_name")
     return _per_line(head, lines)
 

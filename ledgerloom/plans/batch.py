@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom.operators import finance, forecast, incremental, kpis, marts, segments
 from ledgerloom.operators.views import Tables
+from ledgerloom.plans import buckets as store
 from ledgerloom.plans import monthly
 from ledgerloom.plans.publish import current, is_published, newest, publish
 from ledgerloom.session import configure, cut
@@ -47,16 +47,19 @@ def init_table(df: DataFrame, path: str, rule: incremental.MergeRule) -> None:
     monthly.create(df, path, rule.partition_source)
 
 
-def init_tables(tables: Tables, root: str) -> None:
-    """First load of every merged table and of the events; they do not depend on each other."""
+def init_tables(tables: Tables, root: str, names: Sequence[str] | None = None, buckets: int | None = None) -> None:
+    """First load of the tables that a refresh maintains (merge-on-read); they do not depend on each other."""
 
     def one(name: str) -> None:
-        init_table(tables[name], f"{root}/{name}", incremental.RULES[name])
+        df = tables[name]
+        store.create(df, f"{root}/{name}", _rule(name).key, buckets)
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        list(pool.map(one, incremental.RULES))
-    events = tables["fact_funnel_events"].withColumn("run", F.lit("0000"))
-    events.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("run").parquet(f"{root}/fact_funnel_events")
+        list(pool.map(one, names or [*incremental.RULES, incremental.EVENTS.table]))
+
+
+def _rule(name: str) -> incremental.MergeRule:
+    return incremental.EVENTS if name == incremental.EVENTS.table else incremental.RULES[name]
 
 
 def _near(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -108,13 +111,11 @@ def incremental_refresh(
     """Dimensions first, then facts after the tables they refer to, watermark last.
 
     The watermark moves only after every merge has committed, so a failed run
-    is picked up again from the same point.
+    is picked up again from the same point. Long chains of deltas are folded at the end.
     """
 
     def one(name: str) -> tuple[str, DataFrame]:
-        if name == "fact_funnel_events":
-            return name, append_events(spark, f"{root}/{name}", deltas[name], run_id)
-        return name, merge_into(spark, f"{root}/{name}", deltas[name], incremental.RULES[name], f"{root}/_audit", run_id)
+        return name, store.merge(spark, f"{root}/{name}", deltas[name], _rule(name), f"{root}/_audit", run_id)
 
     counts: dict[str, DataFrame] = {}
     for group in MERGE_GROUPS:
@@ -126,15 +127,6 @@ def incremental_refresh(
     if newest(spark, marks, "watermarks") is not None:
         mark = incremental.watermark_set(current(spark, marks, "watermarks"), source, F.lit(run_ts))
     publish(mark, marks, "watermarks", run_id)
+    for name in deltas:
+        store.compact(spark, f"{root}/{name}")
     return counts
-
-
-def append_events(spark: SparkSession, path: str, events: DataFrame, run_id: str) -> DataFrame:
-    """Append events with unseen ids; the run's own folder is replaced on a rerun."""
-    schema = StructType([*events.schema.fields, StructField("run", StringType())])
-    stored = spark.read.schema(schema).parquet(path)
-    seen = _near(stored.where(F.col("run") != run_id), events, "event_id")
-    fresh = events.dropDuplicates(["event_id"]).join(seen.select("event_id"), "event_id", "left_anti").withColumn("run", F.lit(run_id))
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
-    added = spark.read.schema(schema).parquet(path).where(F.col("run") == run_id)
-    return added.agg(F.count(F.lit(1)).alias("inserted_count"), F.lit(0).cast("long").alias("updated_count"))

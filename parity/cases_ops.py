@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import describe_days, spine
 from ledgerloom.functions.expr import rows, side_by_side
 from ledgerloom.operators import admin, incremental, marts, quality, reports, snapshots, views
-from ledgerloom.plans import batch, monthly
+from ledgerloom.plans import batch, buckets
 from ledgerloom.session import checkpoint_root
 from ledgerloom.sources import files, schemas
 from parity.cases_core import BAD_PAY, COHORT_MONTHS, exact
@@ -339,27 +339,58 @@ case("inc_before_after", lambda w: snapshots.before_after(_snap_table(w)),
            (select count(*) from orders_after where order_status in {_DONE4}) as after_orders_total from snap_wide)""")
 
 
-def _refreshed(w) -> tuple[dict, dict]:
-    """Load the merge-maintained tables, run one refresh: its counts, and the tables after it."""
+_MERGED = (*incremental.RULES, "fact_funnel_events")
+_CLEARED = {"dim_customer": "acquisition_channel", "fact_order_items": "unit_sell_price"} | {t: incremental.RULES[t].updates[0] for t in _MERGED if t not in ("dim_customer", "fact_order_items", "fact_funnel_events")}
+
+
+def _deltas(w, name: str) -> list[DataFrame]:
+    """What is staged; then every fifth row newer and with one column emptied, every seventh older and the same; then all of it again."""
+    first = w["stg_funnel_events" if name == "fact_funnel_events" else f"stg_{name}"]
+    if name == "fact_funnel_events":
+        return [first, w[name], first]
+    rule = incremental.RULES[name]
+    later = w[name].withColumn(_CLEARED[name], F.lit(None).cast(w[name].schema[_CLEARED[name]].dataType))
+    moved = [later.where(F.col(rule.key) % n == 0).withColumn(rule.version, F.col(rule.version) + F.make_dt_interval(F.lit(days))) for n, days in ((5, 9000), (7, -9000))]
+    second = moved[0].unionByName(moved[1])
+    return [first, second, first.unionByName(second)]
+
+
+def _refreshed(w, names=_MERGED, runs: int = 3) -> tuple[list[dict], dict]:
+    """Load the merge-maintained tables and refresh them, folding deltas after the first run: counts of each run, and the tables at the end."""
     root, spark = _scratch(w), _session(w)
-    batch.init_tables(w, root)
-    deltas = {n: w[f"stg_{n}"] for n in incremental.RULES} | {"fact_funnel_events": w["stg_funnel_events"]}
-    counts = batch.incremental_refresh(spark, root, deltas, "demo_source", RUN_TS, "0001")
-    return counts, {n: monthly.read(spark, f"{root}/{n}") if n in incremental.RULES else spark.read.parquet(f"{root}/{n}") for n in counts}
+    batch.init_tables(w, root, names, buckets=4)
+    deltas, counts = {n: _deltas(w, n) for n in names}, []
+    for k in range(runs):
+        counts.append(batch.incremental_refresh(spark, root, {n: deltas[n][k] for n in names}, "demo_source", RUN_TS, f"{k + 1:04d}"))
+        if k == 0:
+            for n in names:
+                buckets.compact(spark, f"{root}/{n}", deltas=1)
+    return counts, {n: buckets.read(spark, f"{root}/{n}") for n in names}
 
 
 def _refresh_job(w) -> DataFrame:
-    counts, after = _refreshed(w)
-    parts = [side_by_side(c, after[n].agg(rows().alias("rows_after"))).select(F.lit(n).alias("table_name"), "*") for n, c in counts.items()]
-    return reduce(DataFrame.unionByName, parts)
+    counts, after = _refreshed(w, runs=2)
+    shown = lambda k, n: counts[k][n].select(F.lit(n).alias("table_name"), F.lit(k + 1).alias("run"), "inserted_count", "updated_count")
+    runs = reduce(DataFrame.unionByName, [shown(k, n) for k in range(2) for n in _MERGED])
+    sizes = reduce(DataFrame.unionByName, [after[n].agg(rows().alias("rows_after")).select(F.lit(n).alias("table_name"), "*") for n in _MERGED])
+    return runs.join(sizes, "table_name")
 
 
-case("inc_refresh_job", _refresh_job, "table_name:s inserted_count:i updated_count:i rows_after:i",
-     "select *, inserted_count + case table_name " + " ".join(f"when '{t}' then (select count(*) from {t})" for t in (*incremental.RULES, "fact_funnel_events")) +
-     f" end as rows_after from ({CASES['inc_merge_counts'].sql})")
+case("inc_refresh_job", _refresh_job, "table_name:s run:i inserted_count:i updated_count:i rows_after:i",
+     f"""with first_run as ({CASES['inc_merge_counts'].sql}),
+     runs as (select table_name, 1 as run, inserted_count, updated_count from first_run union all """ +
+     " union all ".join(f"select '{t}', 2, 0, count(*) from {t} where {r.key} % 5 = 0" for t, r in incremental.RULES.items()) +
+     " union all select 'fact_funnel_events', 2, 0, 0) "
+     "select runs.*, f.inserted_count + case table_name " + " ".join(f"when '{t}' then (select count(*) from {t})" for t in _MERGED) +
+     " end as rows_after from runs join first_run f using (table_name)")
 
-for _t, _c in (("fact_orders", "inc_merge_orders"), ("fact_returns", "inc_merge_returns"), ("fact_funnel_events", "inc_append_events")):
-    case(f"inc_refresh_job_{_t}", lambda w, t=_t: _refreshed(w)[1][t], CASES[_c].columns, CASES[_c].sql)
+for _t, _rule in incremental.RULES.items():
+    _moved = f"m.{_rule.key} % 5 = 0 and f.{_rule.key} is not null"
+    _now_is = {c: f"f.{c}" for c in _rule.updates} | {_CLEARED[_t]: "null", _rule.version: f"f.{_rule.version} + interval 9000 day"}
+    case(f"inc_refresh_job_{_t}", lambda w, t=_t: _refreshed(w, [t])[1][t], _MERGE_SHOW[_t],
+         f"""select m.* replace ({", ".join(f"if({_moved}, {v}, m.{c}) as {c}" for c, v in _now_is.items())})
+             from ({CASES[f"inc_merge_{_SHORT[_t]}"].sql}) m left join {_t} f on m.{_rule.key} = f.{_rule.key}""")
+case("inc_refresh_job_fact_funnel_events", lambda w: _refreshed(w, ["fact_funnel_events"])[1]["fact_funnel_events"], CASES["inc_append_events"].columns, CASES["inc_append_events"].sql)
 
 # ---------------------------------------------------------------- operations queries
 case("adm_audit_log", lambda w: admin.audit_log(w, 500, 20), _LOG,

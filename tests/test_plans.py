@@ -21,7 +21,7 @@ def test_top_k_keeps_k_rows_per_task(house):
     assert "TakeOrderedAndProject(limit=10" in plan(kpis.top_products(house))
 
 
-@pytest.mark.parametrize("df", [lambda h: kpis.top3_per_category(h), lambda h: shop.reviews_latest(h, 3), lambda h: shop.outbox_latest(h, 2), lambda h: shop.order_history(h, 5)])
+@pytest.mark.parametrize("df", [lambda h: kpis.top3_per_category(h), lambda h: shop.reviews_latest(h, 3), lambda h: shop.outbox_latest(h, 2), lambda h: shop.newest_orders(h, 5)])
 def test_rank_limits_apply_before_the_shuffle(house, df):
     text = plan(df(house))
     assert "WindowGroupLimit" in text and "Partial" in text
