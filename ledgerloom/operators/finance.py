@@ -46,9 +46,14 @@ def order_pnl(t: Tables) -> DataFrame:
     joined = head
     for part in (lines, ship, pay, back):
         joined = joined.join(part, "order_id", "left")
+    return pnl_of(joined, head.columns)
+
+
+def pnl_of(joined: DataFrame, head: list[str]) -> DataFrame:
+    """The P&L from completed orders (columns ``head``) beside the sums of their facts."""
     rev, cogs, disc = zero("_revenue"), zero("_cogs"), zero("_discount")
     base = joined.select(
-        *head.columns,
+        *head,
         rev.alias("revenue_ex_tax"), disc.alias("discount_amount"), zero("_tax").alias("tax_amount"), cogs.alias("cogs"),
         zero("_ship").alias("shipping_cost"), zero("_fee").alias("gateway_fee_amount"), zero("_refund").alias("refund_amount"),
         (rev - cogs).alias("gross_profit_ex_tax"),

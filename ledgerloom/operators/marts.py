@@ -40,10 +40,9 @@ def exec_daily(t: Tables, pnl: DataFrame | None = None) -> DataFrame:
     joins only ever see as many rows as there are days.
     """
     pnl = finance.order_pnl(t) if pnl is None else pnl
-    money = ("revenue_ex_tax", "cogs", "gross_profit_ex_tax", "net_profit_ex_tax", "discount_amount", "shipping_cost", "gateway_fee_amount", "refund_amount")
-    per_customer = pnl.groupBy("order_dt", "customer_id").agg(rows().alias("orders"), *[F.sum(c).alias(c) for c in money])
+    per_customer = pnl.groupBy("order_dt", "customer_id").agg(rows().alias("orders"), *[F.sum(c).alias(c) for c in DAILY_MONEY])
     sales = per_customer.groupBy(F.col("order_dt").alias("d")).agg(
-        F.sum("orders").alias("orders"), rows().alias("active_customers"), *[F.sum(c).alias(c) for c in money]
+        F.sum("orders").alias("orders"), rows().alias("active_customers"), *[F.sum(c).alias(c) for c in DAILY_MONEY]
     )
     back = t["fact_returns"].groupBy(F.to_date("return_ts").alias("d")).agg(
         rows().alias("return_lines"), F.sum("refund_amount").alias("refund_amount_return_dt")
@@ -55,12 +54,19 @@ def exec_daily(t: Tables, pnl: DataFrame | None = None) -> DataFrame:
     bounds = activity_bounds(t)
     days = attach(t["dim_date"].select("date_id", F.col("date_value").alias("d")), bounds)
     days = days.where(F.col("d").between(F.col("first_dt"), F.col("last_dt"))).select("date_id", "d")
-    joined = reduce(lambda left, right: left.join(right, "d", "left"), (sales, back, ship, fun), days)
+    return daily_rows(reduce(lambda left, right: left.join(right, "d", "left"), (sales, back, ship, fun), days))
+
+
+DAILY_MONEY = ("revenue_ex_tax", "cogs", "gross_profit_ex_tax", "net_profit_ex_tax", "discount_amount", "shipping_cost", "gateway_fee_amount", "refund_amount")
+
+
+def daily_rows(joined: DataFrame) -> DataFrame:
+    """The mart's rows from days (date_id, d) beside the sums of each day."""
     rev = zero("revenue_ex_tax")
     return joined.select(
         surrogate_key("date_id").alias("exec_daily_sk"), "date_id", F.col("d").alias("kpi_dt"),
         zero("orders").alias("orders"), zero("active_customers").alias("active_customers"),
-        *[zero(c).alias(c) for c in money[:4]],
+        *[zero(c).alias(c) for c in DAILY_MONEY[:4]],
         pct0(zero("gross_profit_ex_tax"), rev, 4).alias("gross_margin_pct"),
         pct0(zero("net_profit_ex_tax"), rev, 4).alias("net_margin_pct"),
         _aov(rev, zero("orders")).alias("aov_ex_tax"),

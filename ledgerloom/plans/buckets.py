@@ -57,6 +57,7 @@ class Snapshot(NamedTuple):
     buckets: int
     entries: list[Entry]
     schema: StructType
+    marks: dict[str, int] = {}  # for a table that follows others: how far it has followed each
 
     def bucket_of(self) -> Column:
         return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
@@ -69,22 +70,24 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
 
-def snapshot(spark: SparkSession, path: str) -> Snapshot:
+def snapshot(spark: SparkSession, path: str, version: int | None = None) -> Snapshot:
+    """The table as its newest version has it, or an older one that is not vacuumed."""
     found = _versions(spark, path)
     if not found:
         raise FileNotFoundError(f"no table at {path}")
-    fs, p, _ = _fs(spark, f"{path}/{_LOG}/{found[-1]:012d}.json")
+    version = found[-1] if version is None else version
+    fs, p, _ = _fs(spark, f"{path}/{_LOG}/{version:012d}.json")
     stream = fs.open(p)
     try:
         told = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Snapshot(path, found[-1], told["key"], told["buckets"], [Entry(*e) for e in told["entries"]], StructType.fromJson(told["schema"]))
+    return Snapshot(path, version, told["key"], told["buckets"], [Entry(*e) for e in told["entries"]], StructType.fromJson(told["schema"]), told["marks"])
 
 
 def _commit(spark: SparkSession, s: Snapshot) -> Snapshot:
     """Make ``s`` the table's next version, if no one else has made one."""
-    text = json.dumps({"key": s.key, "buckets": s.buckets, "entries": sorted(s.entries), "schema": s.schema.jsonValue()})
+    text = json.dumps({"key": s.key, "buckets": s.buckets, "entries": sorted(s.entries), "schema": s.schema.jsonValue(), "marks": s.marks})
     final, draft = f"{s.path}/{_LOG}/{s.version:012d}.json", f"{s.path}/{_LOG}/.{uuid.uuid4().hex}"
     fs, p, hadoop = _fs(spark, draft)
     stream = fs.create(p, False)
@@ -161,11 +164,22 @@ def lookup(s: Snapshot, keys: DataFrame) -> DataFrame:
     return _live(spark, s, [e for e in s.entries if e.bucket in touched], within)
 
 
-def append(df: DataFrame, s: Snapshot) -> Snapshot:
-    """Add new versions of rows (one a key) as a delta after ``s``."""
+def append(df: DataFrame, s: Snapshot, marks: dict[str, int] | None = None) -> Snapshot:
+    """Add new versions of rows (one a key) as a delta after ``s``, and put down ``marks`` with them."""
     run, seq = uuid.uuid4().hex, s.version + 1
     written = _write(df.select(*s.schema.names).withColumn(_SEQ, F.lit(seq).cast("long")), s, run)
-    return _commit(df.sparkSession, s._replace(version=seq, entries=[*s.entries, *[Entry(b, seq, run, False) for b in written]]))
+    return _commit(df.sparkSession, s._replace(version=seq, entries=[*s.entries, *[Entry(b, seq, run, False) for b in written]], marks=s.marks if marks is None else marks))
+
+
+def changed_keys(spark: SparkSession, path: str, since: int, until: int) -> DataFrame:
+    """Keys with a new version after version ``since``, up to ``until``; the log names the deltas, also those that were folded meanwhile."""
+    s, fresh = snapshot(spark, path, until), set()
+    for v in [v for v in _versions(spark, path) if since < v <= until]:
+        entries = snapshot(spark, path, v).entries
+        fresh |= {e for e in entries if not e.base and e.seq > since}
+        if since and any(e.base and e.seq == v for e in entries):
+            raise Conflict(f"{path} was loaded anew in version {v}")
+    return _scan(spark, s, sorted(fresh), lambda df: df).select(s.key).distinct()
 
 
 def compact(spark: SparkSession, path: str, deltas: int = 4) -> list[int]:

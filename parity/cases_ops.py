@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import describe_days, spine
 from ledgerloom.functions.expr import rows, side_by_side
 from ledgerloom.operators import admin, incremental, marts, quality, reports, snapshots, views
-from ledgerloom.plans import batch, buckets
+from ledgerloom.plans import batch, buckets, maintained
 from ledgerloom.session import checkpoint_root
 from ledgerloom.sources import files, schemas
 from parity.cases_core import BAD_PAY, COHORT_MONTHS, exact
@@ -392,6 +393,37 @@ for _t, _rule in incremental.RULES.items():
              from ({CASES[f"inc_merge_{_SHORT[_t]}"].sql}) m left join {_t} f on m.{_rule.key} = f.{_rule.key}""")
 case("inc_refresh_job_fact_funnel_events", lambda w: _refreshed(w, ["fact_funnel_events"])[1]["fact_funnel_events"], CASES["inc_append_events"].columns, CASES["inc_append_events"].sql)
 
+def _after(sql: str) -> str:
+    """The statement over the tables as a refresh with what is staged leaves them."""
+    known = {**{t: f"after_{t}" for t in _MERGED}, **{n: f"{n}_after" for n in FRAGMENTS if not n.startswith("after_") and not n.endswith("_after")}}
+    words = set(re.findall(r"\w+", sql))
+    for name in [n for n in FRAGMENTS if n in words and n in known and known[n] not in FRAGMENTS]:
+        FRAGMENTS[known[name]] = _after(FRAGMENTS[name])
+    return re.sub(r"\w+", lambda m: known.get(m[0], m[0]), sql)
+
+
+for _t in _MERGED:
+    FRAGMENTS[f"after_{_t}"] = CASES["inc_append_events" if _t == "fact_funnel_events" else f"inc_merge_{_SHORT[_t]}"].sql
+
+
+def _followed(w) -> tuple[DataFrame, str]:
+    """Marts made once, then two refreshes with the marts following each, and a fold between."""
+    root, spark = _scratch(w), _session(w)
+    names = ("fact_orders", "fact_order_items", "fact_payments", "fact_shipments", "fact_returns", "fact_funnel_events")
+    batch.init_tables(w, root, names, buckets=4)
+    maintained.follow(spark, root, width=2)
+    halves = {n: w["stg_funnel_events" if n == "fact_funnel_events" else f"stg_{n}"] for n in names}
+    for k in range(2):
+        some = {n: df.where(F.pmod(F.xxhash64(buckets.snapshot(spark, f"{root}/{n}").key), F.lit(2)) == k) for n, df in halves.items()}
+        batch.incremental_refresh(spark, root, some, "demo_source", RUN_TS, f"{k + 1:04d}")
+        maintained.follow(spark, root)
+        maintained.compact(spark, root, deltas=2)
+    return spark, root
+
+
+case("src_mart_follow_exec_daily", lambda w: maintained.exec_daily(*_followed(w), w), CASES["mart_exec_daily"].columns, _after(CASES["mart_exec_daily"].sql))
+case("src_mart_follow_finance", lambda w: maintained.finance_profitability(*_followed(w), w), CASES["mart_finance"].columns, _after(CASES["mart_finance"].sql))
+
 # ---------------------------------------------------------------- operations queries
 case("adm_audit_log", lambda w: admin.audit_log(w, 500, 20), _LOG,
      """from (from status_log union all select created_at, order_id, 'CANCELLED', reason, 'customer' from order_cancellations)
