@@ -397,6 +397,47 @@ def inventory_shortages(t: Tables, requests: DataFrame) -> DataFrame:
     return j.select("order_id", "product_id", "requested", "available", problem.alias("problem")).where("problem is not null")
 
 
+def reserve_orders(t: Tables, requests: DataFrame) -> DataFrame:
+    """Which orders get their stock: order_id, n_lines, qty, accepted and reason of each order of ``requests`` (order_id, product_id, qty).
+
+    Orders come in turn (order_ts, then order_id). One is accepted if every one of its
+    products still has what it needs after the accepted orders before it, or else takes
+    nothing at all. The result is that of going through them one by one, but found for
+    all at once: with the open orders before it all accepted, what fits is accepted; with
+    none of them accepted, what does not fit is rejected. Each round settles the first
+    open order at least, and mostly all but those that compete for the last pieces of a
+    product; settled products leave. Running totals are by ranges, so a product that
+    every order wants is not one task.
+    """
+    line = requests.groupBy("order_id", "product_id").agg(F.sum("qty").cast("long").alias("qty"))
+    stock = t["product_inventory"].select("product_id", (F.col("on_hand_qty") - F.col("reserved_qty")).cast("long").alias("available"))
+    turn = t["fact_orders"].select("order_id", "order_ts")
+    lines = cut(line.join(stock, "product_id", "left").join(turn, "order_id"))
+    never = F.coalesce(F.col("qty") > F.col("available"), F.lit(True))
+    orders = lines.groupBy("order_id").agg(
+        rows().alias("n_lines"), F.sum("qty").alias("qty"), F.bool_or(never).alias("hopeless"), F.bool_or(F.col("available").isNull()).alias("missing")
+    )
+    live = lines.join(orders.where(~F.col("hopeless")).select("order_id"), "order_id", "left_semi").withColumn("taken", F.lit(False))
+    accepted = []
+    while True:
+        both = live.select("*", F.when(F.col("taken"), F.col("qty")).otherwise(0).alias("sure"))
+        sums = running(both, [("order_ts", False), ("order_id", False)], ["product_id"], ["qty", "sure"])
+        judged = sums.where(~F.col("taken")).groupBy("order_id").agg(
+            F.bool_and(F.col("run_qty") <= F.col("available")).alias("fits"), F.bool_or(F.col("run_sure") + F.col("qty") > F.col("available")).alias("fails")
+        )
+        settled = cut(judged.where("fits or fails"))
+        if settled.isEmpty():
+            break
+        accepted.append(settled.where("fits").select("order_id"))
+        now = live.join(settled, "order_id", "left").where(~F.coalesce("fails", F.lit(False))).withColumn("taken", F.col("taken") | F.coalesce("fits", F.lit(False))).drop("fits", "fails")
+        now = cut(now)
+        live = now.join(now.where(~F.col("taken")).select("product_id").distinct(), "product_id", "left_semi")
+    taken = reduce(DataFrame.unionByName, accepted).withColumn("accepted", F.lit(True)) if accepted else live.select("order_id", F.lit(True).alias("accepted")).limit(0)
+    ok = F.coalesce("accepted", F.lit(False))
+    reason = F.when(~ok, F.when(F.col("missing"), "MISSING").otherwise("INSUFFICIENT"))
+    return orders.join(taken, "order_id", "left").select("order_id", "n_lines", "qty", ok.alias("accepted"), reason.alias("reason"))
+
+
 def inventory_apply(t: Tables) -> DataFrame:
     """Stock after all reservations: consumed leaves both counts, released only the reserved one (not below 0)."""
     q = F.col("qty")

@@ -153,6 +153,21 @@ case("shop_inventory_position", lambda w: shop.inventory_shortages(w, w["fact_or
      """select order_id, product_id, requested, on_hand_qty - reserved_qty as available, if(on_hand_qty is null, 'MISSING', 'INSUFFICIENT') as problem
         from (select order_id, product_id, sum(qty) as requested from fact_order_items group by 1, 2) left join product_inventory using (product_id)
         where on_hand_qty is null or on_hand_qty - reserved_qty < requested""")
+#: Orders one after another: what is left of each product, and whether the order got its pieces. Orders that can never be served are left out first.
+FRAGMENTS["served"] = """select n, order_id, fits from (with recursive pieces as (select order_id, product_id, sum(qty)::bigint as q from fact_order_items group by 1, 2),
+      shelf as (select product_id, on_hand_qty - reserved_qty as a, row_number() over (order by product_id) as slot from product_inventory),
+      possible as (select order_id, list(slot) as slots, list(q) as q from pieces left join shelf using (product_id) group by 1 having bool_and(coalesce(q <= a, false))),
+      queue as materialized (select row_number() over (order by order_ts, order_id) as n, order_id, slots, q from possible join fact_orders using (order_id)),
+      walk(n, order_id, fits, stock) as (select 0::bigint, null::bigint, false, (select list(a::bigint order by slot) from shelf)
+        union all select s.n, s.order_id, s.fits, if(s.fits, list_transform(s.stock, lambda x, i: x - coalesce(s.q[list_position(s.slots, i)], 0)), s.stock)
+        from (select o.n, o.order_id, o.slots, o.q, w.stock, list_bool_and(list_transform(range(1, len(o.slots) + 1), lambda i: w.stock[o.slots[i]] >= o.q[i])) as fits
+              from walk w join queue o on o.n = w.n + 1) s)
+      select n, order_id, fits from walk where n > 0)"""
+case("shop_reserve_orders", lambda w: shop.reserve_orders(w, w["fact_order_items"]), "order_id:i n_lines:i qty:i accepted:b reason:s",
+     """select o.*, coalesce(fits, false) as accepted, case when coalesce(fits, false) then null when missing then 'MISSING' else 'INSUFFICIENT' end as reason
+        from (select order_id, count(*) as n_lines, sum(q) as qty, bool_or(a is null) as missing from
+              (select order_id, product_id, sum(qty) as q from fact_order_items group by 1, 2) left join (select product_id, 1 as a from product_inventory) using (product_id) group by 1) o
+        left join served using (order_id) where order_id in (select order_id from fact_orders)""")
 case("shop_inventory_apply", shop.inventory_apply, "product_id:i on_hand_qty:i reserved_qty:i available_qty:i",
      """select *, on_hand_qty - reserved_qty as available_qty from (select product_id, any_value(i.on_hand_qty) - coalesce(sum(qty) filter (status = 'CONSUMED'), 0) as on_hand_qty,
           greatest(0, any_value(i.reserved_qty) + coalesce(sum(qty) filter (status = 'RESERVED'), 0)) as reserved_qty

@@ -112,3 +112,33 @@ def test_search_rejects_unknown_sort(house, spark):
     configure(spark)
     with pytest.raises(ValueError):
         shop.product_search(house, sort="random")
+
+
+def test_orders_take_their_stock_in_turn_or_not_at_all(frame, spark):
+    """Random orders of several lines against going through them one by one; ties in time, one product that every order wants, products without stock."""
+    import random
+
+    rng = random.Random(6)
+    stock = {p: rng.randrange(0, 60) for p in range(12)} | {0: 150}
+    orders = [(k, f"2024-01-{1 + rng.randrange(9):02d}") for k in range(120)]
+    lines = [(k, p, rng.randrange(1, 9)) for k, _ in orders for p in {0, *rng.choices(range(13), k=rng.randrange(4))} if k % 3 or p] + [(5, 1, 2), (5, 1, 3), (7, 99, 1)]
+    need = {}
+    for k, p, q in lines:
+        need.setdefault(k, {}).setdefault(p, 0)
+        need[k][p] += q
+    left, want = dict(stock), {}
+    for _, k in sorted((ts, k) for k, ts in orders):
+        if k in need:
+            own = need[k]
+            ok = all(left.get(p, -1) >= q for p, q in own.items())
+            want[k] = (len(own), sum(own.values()), ok, None if ok else "MISSING" if any(p not in stock for p in own) else "INSUFFICIENT")
+            for p, q in own.items() if ok else ():
+                left[p] -= q
+    t = {
+        "product_inventory": frame([(p, n + 3, 3) for p, n in stock.items()], "product_id long, on_hand_qty int, reserved_qty int"),
+        "fact_orders": frame(orders, "order_id long, order_ts timestamp"),
+    }
+    got = shop.reserve_orders(t, frame(lines, "order_id long, product_id long, qty int"))
+    assert {r.order_id: tuple(r)[1:] for r in got.collect()} == want
+    assert 10 < sum(ok for _, _, ok, _ in want.values()) < 110
+    assert shop.reserve_orders(t, frame([], "order_id long, product_id long, qty int")).count() == 0
