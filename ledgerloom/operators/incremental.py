@@ -143,10 +143,18 @@ def merge_table(t: Tables, name: str, audit_ts: str | None = None) -> MergeResul
 
 
 def merge_counts(t: Tables) -> DataFrame:
-    """Inserted and updated rows for every merge of a refresh, events included."""
-    parts = [merge_table(t, name).counts.select(F.lit(name).alias("table_name"), "*") for name in RULES]
-    events = append_new(t["fact_funnel_events"], t["stg_funnel_events"], "event_id")[1]
-    parts.append(events.select(F.lit("fact_funnel_events").alias("table_name"), "*"))
+    """Inserted and updated rows for every merge of a refresh, events included.
+
+    A count needs the delta's keys and versions only: a left join from the delta, of two columns of the table.
+    """
+    parts = []
+    for rule in (*RULES.values(), EVENTS):
+        staged_as = "stg_funnel_events" if rule is EVENTS else f"stg_{rule.table}"
+        old = t[rule.table].select(rule.key, (F.lit(None) if rule.inserts_only else F.col(rule.version)).alias("_old"), F.lit(True).alias("_known"))
+        new = t[staged_as].select(rule.key).distinct() if rule.inserts_only else t[staged_as].groupBy(rule.key).agg(F.max(rule.version).alias("_new"))
+        newer = F.lit(False) if rule.inserts_only else F.col("_new") > F.col("_old")
+        counts = new.join(old, rule.key, "left").agg(F.count_if(F.col("_known").isNull()).alias("inserted_count"), F.count_if(newer).alias("updated_count"))
+        parts.append(counts.select(F.lit(rule.table).alias("table_name"), "*"))
     return reduce(DataFrame.unionByName, parts)
 
 

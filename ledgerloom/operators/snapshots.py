@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, pct, ratio, rows, side_by_side, total, zero
+from ledgerloom.functions.expr import attach, pct, ratio, side_by_side, total, zero
 from ledgerloom.operators import finance, funnel
 from ledgerloom.operators.views import Tables, is_failed, orders_completed
 
@@ -34,21 +36,33 @@ def _funnel_metrics(t: Tables) -> DataFrame:
     )
 
 
+def _order_metrics(t: Tables) -> DataFrame:
+    """All metrics of orders and their facts, as one row. Each fact is read once: summed per order, put together by union, and counted by order."""
+    qty = F.col("qty")
+    parts = [
+        orders_completed(t).select("order_id", (F.col("net_amount") - F.col("tax_amount")).alias("net"), F.lit(1).alias("done")),
+        t["fact_order_items"].groupBy("order_id").agg(F.sum(qty * F.col("unit_sell_price")).alias("revenue"), F.sum(qty * F.col("unit_cost")).alias("cogs")),
+        t["fact_payments"].groupBy("order_id").agg(F.sum(finance.fee()).alias("fee"), F.sum(F.when(~is_failed(), F.col("gateway_fee_amount"))).alias("paid_fee")),
+        t["fact_returns"].groupBy("order_id").agg(F.sum("refund_amount").alias("refund")),
+        t["fact_shipments"].groupBy("order_id").agg(F.sum("shipping_cost").alias("shipping")),
+    ]
+    sums = ("net", "done", "revenue", "cogs", "fee", "paid_fee", "refund", "shipping")
+    per = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy("order_id").agg(*[F.sum(c).alias(c) for c in sums])
+    done = F.col("done") > 0
+    of_done = lambda c: total(F.when(done, F.col(c)))
+    profit = zero("revenue") - zero("cogs") - zero("shipping") - zero("fee") - zero("refund")
+    return per.agg(
+        of_done("net").alias("net_revenue_total"), F.count_if(done).alias("orders_total"), total("refund").alias("refund_amount_total"), total("shipping").alias("shipping_cost_total"),
+        of_done("cogs").alias("cogs_total"), of_done("paid_fee").alias("gateway_fee_total"), F.count_if(done & (profit < 0)).alias("loss_orders_total"),
+    )
+
+
 def snapshot(t: Tables, label: str, snapshot_ts: str) -> DataFrame:
     """Sixteen metrics as (snapshot_ts, label, metric_name, metric_value) rows.
 
     The value column allows no NULL, so a margin or rate without a base is 0.
     """
-    orders = orders_completed(t)
-    ids = orders.select("order_id")
-    top = orders.agg(total(F.col("net_amount") - F.col("tax_amount")).alias("net_revenue_total"), rows().alias("orders_total"))
-    back = t["fact_returns"].agg(total("refund_amount").alias("refund_amount_total"))
-    ship = t["fact_shipments"].agg(total("shipping_cost").alias("shipping_cost_total"))
-    cost = t["fact_order_items"].groupBy("order_id").agg(F.sum(F.col("qty") * F.col("unit_cost")).alias("c"))
-    cogs = cost.join(ids, "order_id", "left_semi").agg(total("c").alias("cogs_total"))
-    fees = t["fact_payments"].where(~is_failed()).join(ids, "order_id", "left_semi").agg(total("gateway_fee_amount").alias("gateway_fee_total"))
-    losses = finance.order_pnl(t).agg(F.count_if("loss_order_flag").alias("loss_orders_total"))
-    one = side_by_side(top, back, ship, cogs, fees, losses, _funnel_metrics(t))
+    one = side_by_side(_order_metrics(t), _funnel_metrics(t))
     gross = F.col("net_revenue_total") - F.col("cogs_total")
     net = F.col("gross_profit_total") - F.col("shipping_cost_total") - F.col("gateway_fee_total") - F.col("refund_amount_total")
     one = one.withColumn("gross_profit_total", gross).withColumn("net_profit_total", net)
