@@ -388,3 +388,27 @@ case("an_forecast_linear_by_channel", lambda w: forecast.linear(w, ["channel"]),
      """select channel, last_dt + cast(k as int) as dt, a + b * (last_no + k) as forecast_lr from (select channel, max(dt) as last_dt, max(day_no) as last_no,
           regr_slope(cast(net_revenue as double), cast(day_no as double)) as b, regr_intercept(cast(net_revenue as double), cast(day_no as double)) as a from channel_series group by 1), range(1, 31) r(k)""")
 case("an_forecast_arima", lambda w: forecast.arima(w, ["channel"]), "channel:s dt:d forecast_arima:m2")
+
+FRAGMENTS["line_days"] = """select category_l1, region, cast(o.order_ts as date) as dt, cast(sum(line_net_revenue) as decimal(18,2)) as y
+  from fact_order_items join done_orders o using (order_id) join dim_product using (product_id) join dim_geo using (geo_id) group by 1, 2, 3"""
+FRAGMENTS["line_steps"] = """select *, lag(d0, 1) over w as d1, lag(d0, 2) over w as d2, lag(d0, 3) over w as d3 from (
+    select *, cast(y - lag(y) over (partition by category_l1, region order by dt) as decimal(19,2)) as d0 from (
+      select category_l1, region, dt, coalesce(y, 0)::decimal(18,2) as y from (select category_l1, region, unnest(generate_series(min(dt), max(dt), interval 1 day))::date as dt from line_days group by 1, 2)
+      left join line_days using (category_l1, region, dt)))
+  window w as (partition by category_l1, region order by dt)"""
+FRAGMENTS["line_ar"] = """select category_l1, region, (r1 * (s22 * s33 - s23 * s23) - s12 * (r2 * s33 - s23 * r3) + s13 * (r2 * s23 - s22 * r3)) / det as a1,
+    (s11 * (r2 * s33 - s23 * r3) - r1 * (s12 * s33 - s23 * s13) + s13 * (s12 * r3 - r2 * s13)) / det as a2,
+    (s11 * (s22 * r3 - r2 * s23) - s12 * (s12 * r3 - r2 * s13) + r1 * (s12 * s23 - s22 * s13)) / det as a3
+  from (select *, nullif(s11 * (s22 * s33 - s23 * s23) - s12 * (s12 * s33 - s23 * s13) + s13 * (s12 * s23 - s22 * s13), 0) as det from (
+    select category_l1, region, sum(d1 * d1)::double as s11, sum(d1 * d2)::double as s12, sum(d1 * d3)::double as s13, sum(d2 * d2)::double as s22, sum(d2 * d3)::double as s23,
+      sum(d3 * d3)::double as s33, sum(d0 * d1)::double as r1, sum(d0 * d2)::double as r2, sum(d0 * d3)::double as r3 from line_steps where d3 is not null group by 1, 2))"""
+FRAGMENTS["line_shocks"] = """select *, lag(e0) over (partition by category_l1, region order by dt) as e1 from (
+    select l.*, round(d0::double - (a1 * d1::double + a2 * d2::double + a3 * d3::double), 4)::decimal(19,4) as e0 from line_steps l left join line_ar using (category_l1, region))"""
+FRAGMENTS["line_fit"] = """select category_l1, region, last_dt, level, changes, last_d, last_e, greatest(-0.99, least(0.99, (r1 * ee - de * r2) / nullif(dd * ee - de * de, 0))) as phi,
+    greatest(-0.99, least(0.99, (dd * r2 - r1 * de) / nullif(dd * ee - de * de, 0))) as theta, nullif(dd * ee - de * de, 0) is null as loose
+  from (select category_l1, region, max(dt) as last_dt, count(d0) as changes, arg_max(y, dt)::double as level, last(d0 order by dt)::double as last_d, last(e0 order by dt)::double as last_e,
+      sum(d1 * d1) filter (e1 is not null)::double as dd, sum(d1 * e1)::double as de, sum(e1 * e1)::double as ee, sum(d0 * d1) filter (e1 is not null)::double as r1, sum(d0 * e1)::double as r2
+    from line_shocks group by 1, 2)"""
+case("an_forecast_arima_series", lambda w: forecast.arima_regression(forecast.line_series(w), ["category_l1", "region"]), "category_l1:s region:s dt:d status:s forecast_arima:m2",
+     f"""select category_l1, region, last_dt + k::int as dt, status, case when status = 'fitted' then level + (phi * last_d + theta * last_e) * (1 - pow(phi, k)) / (1 - phi) else level end as forecast_arima
+         from (select *, case when changes < {forecast.LEAST_STEPS} then 'short' when loose or last_e is null then 'flat' else 'fitted' end as status from line_fit), range(1, 31) r(k)""")

@@ -184,3 +184,31 @@ def test_dense_rank_counts_ties_once(frame):
     assert [got[i].revenue_rank for i in range(1, 6)] == [1, 2, 2, 3, 4]
     assert [float(got[i].cumulative) for i in range(1, 6)] == [50, 110, 110, 115, 115]
     assert [got[i].abc_class for i in range(1, 6)] == ["A", "C", "C", "C", "C"]
+
+
+def test_regressed_arima_finds_its_parameters_and_tells_short_and_flat_series(spark):
+    """A long simulated series gives back phi and theta by its forecast; short, flat and single-day series are carried forward."""
+    import datetime
+
+    import numpy as np
+
+    from ledgerloom.operators.forecast import LEAST_STEPS, arima_regression
+
+    rng = np.random.default_rng(3)
+    e = rng.normal(0, 100, 1500)
+    d = np.zeros(1500)
+    for i in range(1, 1500):
+        d[i] = 0.6 * d[i - 1] + e[i] + 0.3 * e[i - 1]
+    y = np.round(1e5 + np.cumsum(d), 2)
+    day = lambda k: datetime.date(2020, 1, 1) + datetime.timedelta(days=k)
+    rows = [("long", day(k), float(v)) for k, v in enumerate(y)]
+    rows += [("short", day(k), float(k * k)) for k in range(LEAST_STEPS)] + [("flat", day(k), 7.0) for k in range(40)] + [("one", day(0), 3.0)]
+    docs = spark.createDataFrame(rows, "name string, dt date, net_revenue double")
+    got = {}
+    for r in arima_regression(docs, ["name"], 5).orderBy("dt").collect():
+        got.setdefault(r.name, []).append((r.dt, r.status, r.forecast_arima))
+    assert {k: {s for _, s, _ in v} for k, v in got.items()} == {"long": {"fitted"}, "short": {"short"}, "flat": {"flat"}, "one": {"short"}}
+    assert [v for _, _, v in got["flat"]] == [7.0] * 5 and [v for _, _, v in got["one"]] == [3.0] * 5 and got["one"][0][0] == day(1)
+    moves = np.diff([y[-1], *[v for _, _, v in got["long"]]])
+    assert np.allclose(moves[1:] / moves[:-1], moves[1] / moves[0]) and abs(moves[1] / moves[0] - 0.6) < 0.12
+    assert abs(moves[0] - (0.6 * d[-1] + 0.3 * e[-1])) < 30
