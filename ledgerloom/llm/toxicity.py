@@ -26,10 +26,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import mapped, passes, text_bytes
+from ledgerloom.llm.shared import kept, mapped, passes, text_bytes
 from ledgerloom.llm.words import letter_gaps, prefix_sums, spans_hash, word_spans
 
 BUCKETS, DIM, FILTERS, WIDTHS, PREFIXES = 1 << 15, 8, 12, (1, 2, 3), (4, 6)
@@ -209,16 +209,20 @@ def _languages(each: list[np.ndarray], langs: list[str | None]) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int, max_chars: int) -> DataFrame:
-    """text, toxic and lang of the bounded sample."""
-    by_hash = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    """text, toxic and lang of the bounded sample: of each label the rows with the least hashes."""
     rows = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct()
     texts = docs.select("doc_id", "text", "lang").filter(F.length("text").between(1, max_chars))
     # Only labels whose document can be used are ranked; the texts themselves stay where they are.
-    usable = rows.join(texts.select("doc_id"), "doc_id", "left_semi")
-    some = usable.withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_class).drop("n")
-    joined = texts.join(F.broadcast(some), "doc_id")
+    usable, _ = kept(rows.join(texts.select("doc_id"), "doc_id", "left_semi"), "usable")
+
+    def least(df: DataFrame) -> DataFrame:
+        """Each task keeps the first ``per_class`` of a label before they meet."""
+        first = [df.filter(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for label in (0, 1)]
+        return first[0].unionByName(first[1])
+
     # A document may have several rows: rank again.
-    return joined.withColumn("m", F.row_number().over(by_hash)).filter(F.col("m") <= per_class).select("text", "toxic", "lang")
+    some, _ = kept(texts.join(F.broadcast(least(usable)), "doc_id"), "sample")
+    return least(some).select("text", "toxic", "lang")
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = 1500, max_chars: int = 20_000) -> Model:
