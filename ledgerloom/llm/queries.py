@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, langid, line_dedup, minhash_dedup, mixture, paragraph_dedup, periodic_runs, personal_data, quality, spelling_variants, suffix_dedup, token_files, toxicity
 from ledgerloom.llm.sql import SQL
@@ -47,7 +48,8 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_bytes")
+    """``kept``: the whole text stays."""
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).drop("kept_bytes").withColumn("kept", F.col("n_removed") == 0)
 
 
 def op7_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
