@@ -145,9 +145,14 @@ def within_radius(index: Index, prints: np.ndarray, radius: int) -> tuple[np.nda
     return pairs[:, 0], pairs[:, 1]
 
 
+def reach_of(count: int) -> int:
+    """Places before and after the expected one at which a run of ``count`` shingles may begin."""
+    return max(1, count // 4)
+
+
 def best_similarity(item: Counter, doc: list[int], start: int, count: int) -> float:
     """The largest weighted similarity of ``item`` with runs of ``count`` shingles of ``doc`` that begin near ``start``."""
-    reach, best = max(1, count // 4), 0.0
+    reach, best = reach_of(count), 0.0
     total = sum(item.values())
     for a in range(start - reach, start + reach + 1):
         part = doc[max(a, 0) : max(a + count, 0)]
@@ -174,7 +179,10 @@ def search(items: Items, texts: pa.Array, percent: int, radius: int) -> list[tup
             if index.size < WIDTH:
                 similarity = 1.0  # the window is the whole item
             else:
-                similarity = best_similarity(items.shingles[i], sh[at[d] : at[d + 1]].tolist(), start, items.lengths[i] - WIDTH + 1)
+                count = items.lengths[i] - WIDTH + 1
+                # Only what the runs can cover, not the whole document for each place.
+                low, high = max(start - reach_of(count), 0), min(at[d] + start + reach_of(count) + count, at[d + 1])
+                similarity = best_similarity(items.shingles[i], sh[at[d] + low : high].tolist(), start - low, count)
             if similarity * 100 >= percent:
                 best[d, i] = max(best.get((d, i), 0.0), similarity)
     return [(d, i, s) for (d, i), s in sorted(best.items())]
