@@ -115,8 +115,6 @@ def refund_leakage(finance_mart: DataFrame, as_of: str, window_days: int = 90) -
     return recent.groupBy(F.col("order_dt").alias("dt")).agg(*sums).orderBy("dt")
 
 
-def stock_band(products: DataFrame) -> DataFrame:
-    """Demonstration stock level that depends on the product id only."""
-    pid = F.col("product_id")
-    stock = F.when(pid % 17 == 0, F.lit(0)).otherwise(5 + pid % 23)
-    return products.select("product_id", stock.cast("int").alias("stock_qty"), (stock > 0).alias("in_stock"))
+def stock_band(positions: DataFrame) -> DataFrame:
+    """Pieces of each product that are left after reservations, and whether there are any."""
+    return positions.select("product_id", F.col("available_qty").alias("stock_qty"), (F.col("available_qty") > 0).alias("in_stock"))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, rounded, rows
+from ledgerloom.functions.expr import attach, rows
 from ledgerloom.functions.ranking import running
 from ledgerloom.operators.views import Tables
 
@@ -175,27 +175,15 @@ def watermark_or_default(control: DataFrame, source: str, now: Column, minutes:
     return watermark_get(control, source).agg(F.coalesce(F.max("last_processed_ts"), default).alias("last_processed_ts"))
 
 
-# ------------------------------------------------------------------ change rules
-def _pick(df: DataFrame, key: str, n: int | None, seed: int) -> DataFrame:
-    """n rows in a repeatable pseudo-random order, or all of them."""
-    return df if n is None else df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
-
-
-def complete_delivered(orders: DataFrame, now: Column, n: int | None = None, seed: int = 7) -> DataFrame:
-    """Delivered orders that move on to COMPLETED."""
-    picked = _pick(orders.where(F.col("order_status") == "DELIVERED"), "order_id", n, seed)
-    return picked.withColumn("order_status", F.lit("COMPLETED")).withColumn("updated_at", now)
-
-
-def delay_shipments(shipments: DataFrame, now: Column, n: int | None = None, seed: int = 7) -> DataFrame:
-    """On-time deliveries found to be 1 to 3 days later than first recorded; all become breaches."""
-    on_time = shipments.where(F.col("delivered_dt").isNotNull() & ~F.col("sla_breached_flag"))
-    extra = F.pmod(F.col("shipment_id"), F.lit(3)).cast("int") + 1
-    return (
-        _pick(on_time, "shipment_id", n, seed)
-        .withColumn("delivered_dt", F.date_add("delivered_dt", extra))
-        .withColumn("sla_breached_flag", F.lit(True)).withColumn("updated_at", now)
-    )
+# ------------------------------------------------------------------ what a delta changes
+def value_changes(t: Tables, name: str, column: str) -> DataFrame:
+    """Rows whose ``column`` the staged delta changes: the key, the old and the new value, and the new version."""
+    rule = RULES[name]
+    new = dedupe_latest(t[f"stg_{name}"], [rule.key], rule.version).select(rule.key, F.col(column).alias("new_value"), F.col(rule.version).alias("changed_at"))
+    old = t[name].select(rule.key, F.col(column).alias("old_value"), F.col(rule.version).alias("_old"))
+    # From the delta: the table is only looked up.
+    moved = new.join(old, rule.key).where((F.col("changed_at") > F.col("_old")) & ~F.col("new_value").eqNullSafe(F.col("old_value")))
+    return moved.select(rule.key, "old_value", "new_value", "changed_at")
 
 
 def recompute_sla(shipments: DataFrame) -> DataFrame:
@@ -203,50 +191,17 @@ def recompute_sla(shipments: DataFrame) -> DataFrame:
     return shipments.withColumn("sla_breached_flag", F.coalesce(F.col("delivered_dt") > F.col("promised_delivery_dt"), F.lit(False)))
 
 
-# Return reasons, in vocabulary order.
-RETURN_REASONS = ("DAMAGED", "NOT_AS_DESCRIBED", "SIZE_ISSUE", "LATE_DELIVERY", "QUALITY_ISSUE", "CHANGED_MIND")
-
-
-def late_returns(t: Tables, now: Column, delayed_orders: DataFrame | None = None, n: int | None = None, seed: int = 7) -> dict[str, DataFrame]:
-    """Returns for delivered lines that have none yet, and what they change.
-
-    Yields three deltas: the returns, their payments as REFUNDED, and their
-    orders as RETURNED. Reasons follow the line id; an order known to be
-    delayed gets LATE_DELIVERY. The refund is 85 to 100 % of the line.
-    """
-    done = t["fact_orders"].where(F.col("order_status").isin("DELIVERED", "COMPLETED")).select("order_id")
-    lines = (
-        t["fact_order_items"].join(done, "order_id", "left_semi")
-        .join(t["fact_returns"].select("order_item_id"), "order_item_id", "left_anti")
-        .select("order_item_id", "order_id", "product_id", "line_net_revenue")
-    )
-    picked = _pick(lines, "order_item_id", n, seed)
-    share = (85 + F.pmod(F.col("order_item_id"), F.lit(16))).cast("decimal(3,0)") * F.lit("0.01").cast("decimal(3,2)")
-    reason = F.element_at(F.array(*[F.lit(r) for r in RETURN_REASONS]), (F.pmod(F.col("order_item_id"), F.lit(6)) + 1).cast("int"))
-    if delayed_orders is not None:
-        late = delayed_orders.select("order_id").distinct().withColumn("_late", F.lit(True))
-        picked = picked.join(late, "order_id", "left")
-        reason = F.when(F.col("_late"), "LATE_DELIVERY").otherwise(reason)
-    used = t["fact_returns"].agg(F.coalesce(F.max("return_id"), F.lit(0)).alias("max_id"))
-    returns = assign_ids(picked, "order_item_id", used, "return_id").select(
-        "return_id", "order_id", "order_item_id", "product_id",
-        (now - F.make_dt_interval(F.pmod(F.col("order_item_id"), F.lit(6)).cast("int"))).alias("return_ts"),
-        reason.alias("return_reason"),
-        F.greatest(F.lit(0), F.round(F.col("line_net_revenue") * share, 2)).cast("decimal(14,2)").alias("refund_amount"),
-        F.lit("REFUNDED").alias("return_status"), (F.pmod(F.col("order_item_id"), F.lit(20)) < 13).alias("restocked_flag"),
-        now.alias("created_at"), now.alias("updated_at"),
-    )
-    refunds = returns.groupBy("order_id").agg(F.sum("refund_amount").cast("decimal(14,2)").alias("_refund"))
-    pay = t["fact_payments"]
-    payments = pay.join(refunds, "order_id").select(
-        *[
-            F.lit("REFUNDED").alias(c) if c == "payment_status" else F.col("_refund").alias(c) if c == "refund_amount" else now.alias(c) if c == "updated_at" else F.col(c)
-            for c in pay.columns
-        ]
-    )
-    orders = t["fact_orders"].join(refunds.select("order_id"), "order_id", "left_semi")
-    orders = orders.withColumn("order_status", F.lit("RETURNED")).withColumn("updated_at", now)
-    return {"fact_returns": returns, "fact_payments": payments, "fact_orders": orders}
+def arrived_returns(t: Tables) -> dict[str, DataFrame]:
+    """Staged returns that the table does not know, and what they change: payments of their orders, refunded by all returns of the order, and their orders as RETURNED."""
+    rule = RULES["fact_returns"]
+    staged_rows = dedupe_latest(t["stg_fact_returns"], [rule.key], rule.version)
+    fresh = staged_rows.join(t["fact_returns"].select(rule.key), rule.key, "left_anti")
+    touched = fresh.select("order_id").distinct()
+    narrowed = lambda df: df.join(touched, "order_id", "left_semi")
+    known = narrowed(t["fact_returns"]).select("order_id", "refund_amount")
+    payments = propagate_refunds(narrowed(t["fact_payments"]), known.unionByName(fresh.select("order_id", "refund_amount")))
+    orders = narrowed(t["fact_orders"]).withColumn("order_status", F.lit("RETURNED"))
+    return {"fact_returns": fresh, "fact_payments": payments, "fact_orders": orders}
 
 
 def propagate_refunds(payments: DataFrame, returns: DataFrame) -> DataFrame:
@@ -264,13 +219,6 @@ def propagate_refunds(payments: DataFrame, returns: DataFrame) -> DataFrame:
     )
 
 
-def change_prices(products: DataFrame, change: Column, now: Column) -> DataFrame:
-    """List prices moved by a relative change held within -3 % .. +6 %."""
-    bounded = F.least(F.lit(0.06), F.greatest(F.lit(-0.03), change))
-    price = rounded(F.col("list_price").cast("double") * (1.0 + bounded), 2).cast("decimal(12,2)")
-    return products.withColumn("list_price", price).withColumn("updated_at", now)
-
-
 def assign_ids(df: DataFrame, order: str, offset: DataFrame, name: str = "new_id") -> DataFrame:
     """Number rows offset+1, offset+2, ... in ``order``; ``offset`` is a one-row DataFrame with ``max_id``."""
     numbered = running(df, [(order, False)])

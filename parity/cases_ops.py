@@ -256,42 +256,36 @@ case("inc_merge_counts", lambda w: incremental.merge_counts(w), "table_name:s in
      " union all select 'fact_funnel_events', count(*) filter (event_id not in (select event_id from fact_funnel_events)), 0 from stg_funnel_events")
 
 
-def _now():
-    return F.to_timestamp(F.lit(RUN_TS))
+def _moved(table: str, column: str) -> str:
+    rule = incremental.RULES[table]
+    return f"""select f.{rule.key}, f.{column} as old_value, s.{column} as new_value, s.{rule.version} as changed_at from {table} f join stg_{table} s using ({rule.key})
+               where s.{rule.version} > f.{rule.version} and s.{column} is distinct from f.{column}"""
 
 
-case("inc_status_transition", lambda w: incremental.complete_delivered(w["fact_orders"], _now()), _ORDERS,
-     f"select * replace ('COMPLETED' as order_status, timestamp '{RUN_TS}' as updated_at) from fact_orders where order_status = 'DELIVERED'")
-case("inc_sla_recompute", lambda w: incremental.delay_shipments(w["fact_shipments"], _now()), "shipment_id:i order_id:i promised_delivery_dt:d delivered_dt:d sla_breached_flag:b updated_at:t",
-     f"""select * replace (delivered_dt + cast(shipment_id % 3 + 1 as int) as delivered_dt, true as sla_breached_flag, timestamp '{RUN_TS}' as updated_at)
-         from fact_shipments where not sla_breached_flag and delivered_dt is not null""")
+case("inc_status_transition", lambda w: incremental.value_changes(w, "fact_orders", "order_status"), "order_id:i old_value:s new_value:s changed_at:t", _moved("fact_orders", "order_status"))
+case("inc_sla_recompute", lambda w: incremental.recompute_sla(incremental.merge_table(w, "fact_shipments").merged), "shipment_id:i order_id:i promised_delivery_dt:d delivered_dt:d sla_breached_flag:b updated_at:t",
+     f"select * replace (coalesce(delivered_dt > promised_delivery_dt, false) as sla_breached_flag) from ({CASES['inc_merge_shipments'].sql})")
 case("inc_sla_rule", lambda w: incremental.recompute_sla(w["stg_fact_shipments"]), "shipment_id:i delivered_dt:d promised_delivery_dt:d sla_breached_flag:b",
      "select * replace (coalesce(delivered_dt > promised_delivery_dt, false) as sla_breached_flag) from stg_fact_shipments")
-FRAGMENTS["late_back"] = f"""select order_item_id, order_id, product_id, (select max(return_id) from fact_returns) + row_number() over (order by order_item_id) as return_id,
-    case when order_id in (select order_id from fact_shipments where sla_breached_flag) then 'LATE_DELIVERY'
-      else ['DAMAGED', 'NOT_AS_DESCRIBED', 'SIZE_ISSUE', 'LATE_DELIVERY', 'QUALITY_ISSUE', 'CHANGED_MIND'][cast(order_item_id % 6 + 1 as int)] end as return_reason,
-    timestamp '{RUN_TS}' - to_days(cast(order_item_id % 6 as int)) as return_ts, order_item_id % 20 < 13 as restocked_flag,
-    greatest(0, round(line_net_revenue * cast(85 + order_item_id % 16 as decimal(3,0)) * cast(0.01 as decimal(3,2)), 2)) as refund_amount
-  from fact_order_items where order_id in (select order_id from fact_orders where order_status in ('DELIVERED', 'COMPLETED'))
-    and order_item_id not in (select order_item_id from fact_returns)"""
+# The damaged goods come back late: the table has the other returns only, the delta has all of them.
+FRAGMENTS["new_returns"] = "select * from fact_returns where return_reason = 'DAMAGED'"
 
 
-def _late(w):
-    return incremental.late_returns(w, _now(), w["fact_shipments"].where("sla_breached_flag"))
+def _arrived(w) -> dict[str, DataFrame]:
+    names = ("fact_orders", "fact_payments")
+    return incremental.arrived_returns({**{n: w[n] for n in names}, "fact_returns": w["fact_returns"].where("return_reason <> 'DAMAGED'"), "stg_fact_returns": w["fact_returns"]})
 
 
-case("inc_late_returns", lambda w: _late(w)["fact_returns"], "return_id:i order_id:i order_item_id:i product_id:i return_ts:t return_reason:s refund_amount:m restocked_flag:b", "from late_back")
-case("inc_late_returns_payments", lambda w: _late(w)["fact_payments"], "payment_id:i order_id:i payment_status:s refund_amount:m updated_at:t",
-     f"""select payment_id, order_id, 'REFUNDED' as payment_status, total as refund_amount, timestamp '{RUN_TS}' as updated_at
-         from fact_payments join (select order_id, sum(refund_amount) as total from late_back group by 1) using (order_id)""")
-case("inc_late_returns_orders", lambda w: _late(w)["fact_orders"], _ORDERS,
-     f"select * replace ('RETURNED' as order_status, timestamp '{RUN_TS}' as updated_at) from fact_orders where order_id in (select order_id from late_back)")
+case("inc_late_returns", lambda w: _arrived(w)["fact_returns"], "return_id:i order_id:i order_item_id:i product_id:i return_ts:t return_reason:s refund_amount:m restocked_flag:b", "from new_returns")
+case("inc_late_returns_payments", lambda w: _arrived(w)["fact_payments"], "payment_id:i order_id:i payment_status:s refund_amount:m updated_at:t",
+     """select payment_id, order_id, if(payment_status = 'CAPTURED', 'REFUNDED', payment_status) as payment_status, if(payment_status = 'CAPTURED', total, refund_amount) as refund_amount, updated_at
+        from fact_payments join (select order_id, sum(refund_amount) as total from fact_returns group by 1) using (order_id) where order_id in (select order_id from new_returns)""")
+case("inc_late_returns_orders", lambda w: _arrived(w)["fact_orders"], _ORDERS,
+     "select * replace ('RETURNED' as order_status) from fact_orders where order_id in (select order_id from new_returns)")
 case("inc_refund_propagation", lambda w: incremental.propagate_refunds(w["fact_payments"], w["fact_returns"]), "payment_id:i order_id:i payment_status:s refund_amount:m",
      """select p.* replace (case when hit then 'REFUNDED' else payment_status end as payment_status, case when hit then total else refund_amount end as refund_amount)
         from (select *, payment_status = 'CAPTURED' and total is not null as hit from fact_payments left join (select order_id, sum(refund_amount) as total from fact_returns group by 1) using (order_id)) p""")
-case("inc_price_change", lambda w: incremental.change_prices(w["dim_product"], (F.col("product_id") % 21 - 10) / 100, _now()), "product_id:i sku:s list_price:m updated_at:t",
-     f"""select * replace (round(cast(cast(list_price as double) * (1.0 + least(cast(0.06 as double), greatest(cast(-0.03 as double), (product_id % 21 - 10) / 100))) as decimal(38,8)), 2) as list_price,
-         timestamp '{RUN_TS}' as updated_at) from dim_product""")
+case("inc_price_change", lambda w: incremental.value_changes(w, "dim_product", "list_price"), "product_id:i old_value:m new_value:m changed_at:t", _moved("dim_product", "list_price"))
 FRAGMENTS["all_time"] = """select count(*) filter (viewed) as v, count(*) filter (added) as a, count(*) filter (checkout) as c, count(*) filter (pay_attempt) as p,
   count(*) filter (pay_failed) as f, count(*) filter (ordered) as o from session_sum"""
 FRAGMENTS["snap_wide"] = f"""select *, r - cg as gp, r - cg - sh - fe - rf as np from (select (select sum(net_amount - tax_amount) from done_orders) as r, (select count(*) from done_orders) as n,
@@ -450,6 +444,3 @@ for _lvl in ("category_l1", "category_l2"):
 case("adm_refund_leakage", lambda w: admin.refund_leakage(marts.finance_profitability(w), ORDER_DAY, 365), "dt:d revenue_ex_tax:m refund_amount:m net_profit_ex_tax:m",
      f"""select order_dt as dt, sum(revenue_ex_tax) as revenue_ex_tax, sum(refund_amount) as refund_amount, sum(net_profit_ex_tax) as net_profit_ex_tax
          from finance_rows where order_dt >= date '{ORDER_DAY}' - 365 group by 1""")
-case("adm_stock_band", lambda w: admin.stock_band(w["dim_product"]), "product_id:i stock_qty:i in_stock:b",
-     "select product_id, if(product_id % 17 = 0, 0, 5 + product_id % 23) as stock_qty, product_id % 17 <> 0 as in_stock from dim_product")
-

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import shop, webhooks
-from parity.registry import FRAGMENTS, case
+from ledgerloom.operators import admin, shop, webhooks
+from parity.registry import CASES, FRAGMENTS, case
 from parity.warehouse import IPAD, OPAD, WEBHOOK_SECRET
 
 # A moment inside the order years, so that some orders are still on their way.
@@ -204,3 +204,5 @@ case("shop_webhook_apply", lambda w: _applied(w)["fact_payments"],
 case("shop_webhook_apply_orders", lambda w: _applied(w)["fact_orders"], "order_id:i customer_id:i order_status:s updated_at:t",
      """select o.order_id, o.customer_id, coalesce(new_order_status, order_status) as order_status, if(new_order_status is null, updated_at, received_at) as updated_at
         from fact_orders o left join hook_hits h on h.order_id = o.order_id""")
+case("adm_stock_band", lambda w: admin.stock_band(shop.inventory_apply(w)), "product_id:i stock_qty:i in_stock:b",
+     f"select product_id, available_qty as stock_qty, available_qty > 0 as in_stock from ({CASES['shop_inventory_apply'].sql})")
