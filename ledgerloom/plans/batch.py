@@ -19,11 +19,12 @@ from ledgerloom.session import configure, cut
 _FROM_PNL = ("mart_exec_daily_kpis", "mart_finance_profitability", "mart_customer_segments")
 
 
-def refresh_marts(t: Tables, root: str, version: str) -> dict[str, DataFrame]:
-    """Rebuild the five marts. The order P&L is written once and read by the three marts that need it."""
-    pnl = publish(finance.order_pnl(t), root, "order_pnl", version)
+def refresh_marts(t: Tables, root: str, version: str, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Rebuild the five marts, or those named. The order P&L is written once and read by the three marts that need it."""
+    wanted = {n: build for n, build in marts.MARTS.items() if names is None or n in names}
+    pnl = publish(finance.order_pnl(t), root, "order_pnl", version) if any(n in _FROM_PNL for n in wanted) else None
     out = {}
-    for name, build in marts.MARTS.items():
+    for name, build in wanted.items():
         df = build(t, pnl) if name in _FROM_PNL else build(t)
         out[name] = publish(df, root, name, version)
     return out

@@ -32,6 +32,35 @@ def load_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
     )
 
 
+def load_checked(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV that fit the table's declaration, and the rejected ones as (row, reasons).
+
+    A row is rejected for every value that is no value of its type (``TYPE column``), is
+    missing where one is required (``NULL column``) or too long (``LENGTH column``), and
+    if another row has its key (``REPEATED key``), so that no row is chosen by chance.
+    Types, nulls and lengths are judged where a row is read; keys are counted once.
+    """
+    declared, limits = schemas.schema(table), schemas.max_lengths(table)
+    raw = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=multi_line, nullValue="")
+    unknown = [c for c in raw.columns if c not in declared.names]
+    if unknown:
+        raise ValueError(f"{path}: unknown columns {unknown}")
+    text = {f.name: F.col(f.name) if f.name in raw.columns else F.lit(None).cast("string") for f in declared}
+    faults = []
+    for f in declared:
+        value = text[f.name].try_cast(f.dataType)
+        faults.append(F.when(text[f.name].isNotNull() & value.isNull(), f"TYPE {f.name}").when(text[f.name].isNull() & F.lit(not f.nullable), f"NULL {f.name}"))
+        if f.name in limits:
+            faults.append(F.when(F.length(text[f.name]) > limits[f.name], f"LENGTH {f.name}"))
+    keys = list(schemas.PRIMARY_KEY[table])
+    read = raw.select(F.to_json(F.struct(*raw.columns)).alias("_row"), F.array_compact(F.array(*faults)).alias("_faults"), *[text[f.name].try_cast(f.dataType).alias(f.name) for f in declared])
+    again = read.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").where(" and ".join(f"{k} is not null" for k in keys)).drop("_n")
+    judged = read.join(again.withColumn("_again", F.lit(True)), keys, "left").withColumn(
+        "_faults", F.when(F.col("_again"), F.array_append("_faults", F.lit("REPEATED " + ", ".join(keys)))).otherwise(F.col("_faults"))
+    )
+    return judged.where(F.size("_faults") == 0).select(*declared.names), judged.where(F.size("_faults") > 0).select(F.col("_row").alias("row"), F.col("_faults").alias("reasons"))
+
+
 def load_all(
     spark: SparkSession, raw_dir: str, warehouse_dir: str, tables: Iterable[str] = schemas.LOAD_ORDER, truncate: bool = True
 ) -> list[str]:

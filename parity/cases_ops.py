@@ -49,6 +49,24 @@ _ORDERS = ("order_id:i customer_id:i geo_id:i order_ts:t order_status:s channel:
 case("src_csv_load", _csv_roundtrip, _ORDERS, "from fact_orders")
 
 
+def _damaged(w) -> tuple[DataFrame, DataFrame]:
+    """Orders as CSV with missing keys, amounts that are none, long names and repeated rows, and what the checked load makes of them."""
+    path, df, order = _scratch(w), w["fact_orders"], F.col("order_id")
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], order.alias("_id"))
+    text = text.unionByName(text.where("_id % 19 = 0"))
+    text = text.withColumn("order_id", F.when(F.col("_id") % 11 != 0, F.col("order_id"))).withColumn("net_amount", F.when(F.col("_id") % 13 == 0, "none").otherwise(F.col("net_amount")))
+    files.write_csv(text.withColumn("channel", F.when(F.col("_id") % 17 == 0, F.repeat("channel", F.lit(40))).otherwise(F.col("channel"))).drop("_id"), path)
+    return files.load_checked(_session(w), path, "fact_orders")
+
+
+case("src_csv_checked", lambda w: _damaged(w)[0], _ORDERS, "from fact_orders where order_id % 11 <> 0 and order_id % 13 <> 0 and order_id % 17 <> 0 and order_id % 19 <> 0")
+case("src_csv_rejects", lambda w: _damaged(w)[1].select(F.explode("reasons").alias("reason")).groupBy("reason").agg(rows().alias("n")), "reason:s n:i",
+     """with damaged as (select order_id from fact_orders union all select order_id from fact_orders where order_id % 19 = 0)
+        select 'NULL order_id' as reason, count(*) as n from damaged where order_id % 11 = 0 having count(*) > 0 union all select 'TYPE net_amount', count(*) from damaged where order_id % 13 = 0 having count(*) > 0
+        union all select 'LENGTH channel', count(*) from damaged where order_id % 17 = 0 having count(*) > 0
+        union all select 'REPEATED order_id', count(*) from damaged where order_id % 19 = 0 and order_id % 11 <> 0 having count(*) > 0""")
+
+
 def _load_all(w) -> DataFrame:
     raw, house = _scratch(w), _scratch(w)
     for name in schemas.LOAD_ORDER:
@@ -79,6 +97,9 @@ def _kpi_csv(w) -> DataFrame:
     return _counts({n: spark.read.csv(f"{out}/{n}", header=True) for n in names})
 
 
+for _name, _src in {"Monthly_Trend": "src_kpi_exports_monthly_revenue", "Category_Profit": "src_kpi_exports_category_profit",
+                    "Returns": "src_kpi_exports_returns_by_reason", "SLA": "src_kpi_exports_carrier_sla"}.items():
+    case(f"src_report_tables_{_name.lower()}", lambda w, n=_name: reports.report_tables(w)[n], CASES[_src].columns, CASES[_src].sql)
 FRAGMENTS["export_sizes"] = """select 'monthly_revenue' as name, count(distinct date_trunc('month', order_ts)) as n from done_orders
   union all select 'category_profit', count(distinct category_l1) from lines_x union all select 'carrier_sla', count(distinct carrier) from fact_shipments
   union all select 'returns_by_reason', count(distinct (category_l1, return_reason)) from fact_returns join dim_product using (product_id)
@@ -110,11 +131,14 @@ def _refresh(w) -> DataFrame:
 case("src_mart_refresh", _refresh, "name:s n:i",
      _count_sql({"mart_exec_daily_kpis": "exec_rows", "mart_finance_profitability": "finance_rows", "mart_funnel_conversion": "slice_funnel",
                  "mart_product_performance": "product_rows", "mart_customer_segments": "segment_rows"}))
+for _n, _m in (("mart_exec_daily_kpis", "mart_exec_daily"), ("mart_finance_profitability", "mart_finance"), ("mart_funnel_conversion", "mart_funnel"),
+               ("mart_product_performance", "mart_product"), ("mart_customer_segments", "mart_customer")):
+    case(f"src_mart_refresh_{_m[5:]}", lambda w, n=_n: batch.refresh_marts(w, _scratch(w), "0001", [n])[n], CASES[_m].columns, CASES[_m].sql)
 case("src_sql_read",
      lambda w: files.read_sql(_session(w), "select channel, count(*) as orders, sum(net_amount) as net from fact_orders where order_status = :s group by channel",
                               w, ["fact_orders"], {"s": "DELIVERED"}),
      "channel:s orders:i net:m", "select channel, count(*) as orders, sum(net_amount) as net from fact_orders where order_status = 'DELIVERED' group by all")
-case("src_scalar", lambda w: w["fact_orders"].agg(F.max("order_ts").alias("newest")), "newest:t", "select max(order_ts) as newest from fact_orders")
+case("src_scalar", lambda w: _session(w).createDataFrame([(files.scalar(w["fact_orders"].agg(F.max("order_ts"))),)], "newest timestamp"), "newest:t", "select max(order_ts) as newest from fact_orders")
 case("src_max_ids", quality.max_ids, "table_name:s max_id:i",
      " union all ".join(f"select '{t}' as table_name, (select max({k}) from {t}) as max_id" for t, k in
                         (("fact_orders", "order_id"), ("fact_order_items", "order_item_id"), ("fact_payments", "payment_id"),
