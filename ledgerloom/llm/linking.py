@@ -7,7 +7,8 @@ whole groups of copies collapse after a round or two. What then remains (members
 one key in different components, neither of them a former leader) is compared
 pair by pair, with the largest component of a key on one side only. So every pair of
 one key is either compared, already connected or out of reach by an exact bound: no
-link between components is lost.
+link between components is lost. Loose copies of one text are nearly all told apart by
+such a bound (``within_masks``) inside the join, before they are pairs.
 
 Nothing of this is collected; each step writes a table to the shared folder.
 """
@@ -16,10 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.shared import drop, kept
+from ledgerloom.llm.shared import drop, kept, mapped
 
 #: Takes pairs (a, b) of ids, a < b, and returns those that are links.
 Confirm = Callable[[DataFrame], DataFrame]
@@ -73,12 +76,49 @@ def within_reach(percent: int) -> Possible:
     return possible
 
 
-def link(postings: DataFrame, confirm: Confirm, possible: Possible | None = None, rounds: int = 4) -> DataFrame:
+MASK_WORDS = 8
+_MASK = [f"mask{i}" for i in range(MASK_WORDS)]
+
+
+def masked(sets: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Adds to rows with an id the columns ``mask0`` ...: 64 * MASK_WORDS bits, one set by each element of its set (id, shingles)."""
+
+    def work(part: pa.RecordBatch) -> dict:
+        n = part.num_rows
+        lists = part.column(1)
+        row = np.repeat(np.arange(n), lists.value_lengths().to_numpy())
+        bit = lists.flatten().to_numpy().view(np.uint64) % np.uint64(64 * MASK_WORDS)
+        bits = np.zeros((n, 64 * MASK_WORDS), np.uint8)
+        bits[row, bit.astype(np.int64)] = 1
+        words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+        return {"id": part.column(0)} | {c: words[:, i] for i, c in enumerate(_MASK)}
+
+    def add(rows: DataFrame) -> DataFrame:
+        some = sets.join(rows.select("id").distinct(), "id", "left_semi").select("id", "shingles")
+        return rows.join(mapped(some, work, ", ".join(["id long", *[f"{c} long" for c in _MASK]]), text=None), "id")
+
+    return add
+
+
+def within_masks(percent: int) -> Possible:
+    """Two sets can be that similar only if the bits that one has and the other lacks, each an element not shared, leave enough."""
+
+    def possible(a: dict[str, Column], b: dict[str, Column]) -> Column:
+        lacks = lambda x, y: sum(F.bit_count(x[c].bitwiseAND(F.bitwise_not(y[c]))) for c in _MASK)
+        most, enough = (a["n"] - lacks(a, b), b["n"] - lacks(b, a)), percent * (a["n"] + b["n"])
+        # Of p per cent of the union, I shared elements: 100 I >= p (n + n' - I).
+        return ((100 + percent) * most[0] >= enough) & ((100 + percent) * most[1] >= enough)
+
+    return possible
+
+
+def link(postings: DataFrame, confirm: Confirm, possible: Possible | None = None, rounds: int = 4, closer: tuple[Callable[[DataFrame], DataFrame], Possible] | None = None) -> DataFrame:
     """(id, component) of all items that are linked with any other.
 
     ``postings``: key, id, rank and what ``possible`` looks at (the same for an id
     everywhere); one row a key and id, written down already. Pairs that are not
-    ``possible`` are no links and are never made.
+    ``possible`` are no links and are never made. ``closer`` adds columns to the rows
+    that remain after the rounds, and tells from them which pairs are possible.
     """
     spark = postings.sparkSession
     more = [c for c in postings.columns if c not in ("key", "id", "rank")]
@@ -118,6 +158,10 @@ def link(postings: DataFrame, confirm: Confirm, possible: Possible | None = None
         out, _ = kept(components(total if total is not None else rest.select(F.col("id").alias("a"), F.col("id").alias("b"))), "linked")
         drop(spark, *made)
         return out
+    if closer:
+        rest = closer[0](rest)
+        more, first = [*more, *[c for c in rest.columns if c not in (*columns, "big", "keys")]], fits
+        fits = lambda a, b: first(a, b) & closer[1](a, b)
     few = rest.filter("component != big").select("key", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("keys").alias("keys_of_x"), *[F.col(c).alias(f"{c}_x") for c in more])
     all_ = rest.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("keys").alias("keys_of_y"), "big", *[F.col(c).alias(f"{c}_y") for c in more])
     meet = few.join(all_, "key").filter("cx != cy and (cy = big or x < y)").filter(fits(side("_x"), side("_y")))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.linking import components, link, unshared, within_reach
+from ledgerloom.llm.linking import components, link, masked, unshared, within_masks, within_reach
 from ledgerloom.llm.shared import drop, kept, mapped, release, text_bytes, unused
 from ledgerloom.llm.words import mix, shingles, words
 
@@ -156,7 +156,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, k: int = 40, width: int
     bounded, path_b = kept(postings.join(unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= percent * F.col("n")), "id"), "postings")
     made += [path_b]
     release(spark)
-    linked = link(bounded, confirm_with(classes, sets, need, percent), reach)
+    linked = link(bounded, confirm_with(classes, sets, need, percent), reach, closer=(masked(sets), within_masks(percent)))
     release(spark)
     placed = filled.select("doc_id", *name).join(classes.select("id", *name), name)
     # Rows that share a doc_id may be in several classes.

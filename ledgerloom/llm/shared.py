@@ -62,10 +62,10 @@ def passes(batch: pa.RecordBatch, text: str = "text", limit: int = PASS_BYTES) -
         at = to
 
 
-def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, text: str = "text") -> DataFrame:
+def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, text: str | None = "text") -> DataFrame:
     """``work`` over slices of ``df``; it returns a column of values for each name of ``schema``.
 
-    ``schema`` is DDL in the order of the columns.
+    ``schema`` is DDL in the order of the columns. Without a column of texts a slice is a thousand rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -75,7 +75,7 @@ def mapped(df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in passes(batch, text):
+            for part in passes(batch, text) if text else (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
                 out = work(part)
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], type=f.type) if not isinstance(out[f.name], pa.Array) else out[f.name].cast(f.type) for f in arrow], schema=arrow)
 

@@ -1,6 +1,8 @@
+import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import linking, minhash_dedup
 from ledgerloom.llm.sql import SQL
@@ -96,3 +98,27 @@ def test_link_loses_no_link(spark, rounds):
     met = [(a, b) for a, b in links if any(a in v and b in v for v in keys.values())]
     expected = reach(met, {x for e in met for x in e})
     assert {r.id: r.component for r in got} == expected
+
+
+def test_loose_copies_are_told_apart_by_masks(spark):
+    """Copies of one text, each with a few changed words: the same components, and hardly any pair that is no link is made."""
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(90)]
+    rows = []
+    for k in range(150):
+        own = list(base)
+        for i in rng.sample(range(90), rng.randrange(3, 7)):
+            own[i] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [(k, {tuple(t.split()[i : i + 5]) for i in range(86)}) for k, t in rows]
+    pairs = [(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 75 * len(x | y)]
+    home = reach(pairs, [k for k, _ in rows])
+    got = {r.doc_id: r.component_id for r in minhash_dedup.near_duplicates(docs).collect()}
+    least = {h: min(k for k in home if home[k] == h) for h in set(home.values())}
+    assert got == {k: least[home[k]] for k, _ in rows} and len(set(got.values())) > 1
+    ids = minhash_dedup.shingle_sets(docs, 5)
+    sided = lambda c: linking.masked(ids)(ids.select("id", F.size("shingles").alias("n"))).select(*[F.col(x).alias(f"{x}_{c}") for x in ("id", "n", *linking._MASK)])
+    of = lambda c: {x: F.col(f"{x}_{c}") for x in ("n", *linking._MASK)}
+    near = {tuple(r) for r in sided("a").join(sided("b"), F.col("id_a") < F.col("id_b")).filter(linking.within_masks(75)(of("a"), of("b"))).select("id_a", "id_b").collect()}
+    assert set(pairs) <= near and len(near) <= 1.3 * len(pairs) + 50
