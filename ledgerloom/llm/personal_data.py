@@ -20,12 +20,13 @@ judged by itself, so repeated rows give repeated results; an empty table gives a
 result. Other columns are ignored.
 """
 
+from __future__ import annotations
+
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -260,11 +261,15 @@ def find(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def redact(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` with every span's text replaced by its kind in angle brackets; all other columns stay."""
 
-    @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([blanked(t, settings) for t in texts], dtype=object)
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = batch.columns
+            columns[at] = pa.array([blanked(t, settings) for t in columns[at].to_pylist()], columns[at].type)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.withColumn("text", clean("text"))
+    return docs.mapInArrow(work, docs.schema)
 
 
 def blanked(text: str | None, s: Settings) -> str | None:
