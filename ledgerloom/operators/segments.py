@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.expr import attach, divide, listed, rows, side_by_side, since, zero
-from ledgerloom.functions.ranking import bin_by_edges, quantiles, rank_bin, running
+from ledgerloom.functions import selection
+from ledgerloom.functions.expr import attach, divide, listed, rows, since, zero
+from ledgerloom.functions.ranking import bin_by_edges, rank_bin, running
 from ledgerloom.operators import kpis
 from ledgerloom.operators.views import Tables, orders_completed
 from ledgerloom.session import cut
@@ -27,9 +30,9 @@ def rfm_base(t: Tables) -> DataFrame:
 
 def _scored(base: DataFrame, duplicates: str) -> DataFrame:
     base = cut(base)  # used for two sets of edges and the ranking
-    rec = quantiles(base, "recency_days", "customer_id", FIFTHS, prefix="r")
-    mon = quantiles(base, "monetary", "customer_id", FIFTHS, prefix="m")
-    edges = side_by_side(rec, mon)
+    measures = {"recency_days": "r", "monetary": "m"}
+    edges = selection.side_by_side(selection.quantiles(base, list(measures), FIFTHS), list(measures))
+    edges = edges.withColumnsRenamed({f"{m}_q{i}": f"{p}{i}" for m, p in measures.items() for i in range(4)})
     distinct_edges = [F.size(F.array_distinct(F.array(*[F.col(f"{p}{i}") for i in range(4)]))) == 4 for p in "rm"]
     guard = F.when(distinct_edges[0] & distinct_edges[1], F.lit(True)).otherwise(F.raise_error(F.lit("quantile edges are not distinct")).cast("boolean"))
     if duplicates == "raise":
@@ -107,9 +110,9 @@ def customer_discount(t: Tables, p: float = 0.95) -> DataFrame:
     per = per_order.groupBy("customer_id").agg(
         rows().alias("orders"), mean.cast("double").alias("avg_discount_pct"), F.sum("net_revenue").alias("net_revenue")
     )
-    high = quantiles(per_order, "discount_pct", "order_id", (p,), group=["customer_id"], prefix="p")
+    high = selection.quantiles(per_order, ["discount_pct"], (p,), group=["customer_id"])
     return (
-        per.join(high.withColumnRenamed("p0", "p95_discount_pct"), "customer_id")
+        per.join(high.select("customer_id", F.col("q0").alias("p95_discount_pct")), "customer_id")
         .join(return_totals(t), "customer_id", "left")
         .select(
             "customer_id", "orders", "avg_discount_pct", "p95_discount_pct", "net_revenue",
@@ -118,30 +121,32 @@ def customer_discount(t: Tables, p: float = 0.95) -> DataFrame:
     )
 
 
-def iqr_bounds(df: DataFrame, value: str, key: str, k: float = 1.5, approximate: bool = False) -> DataFrame:
-    """One row (lo, hi): quartiles widened by k times the interquartile range."""
+def iqr_bounds(df: DataFrame, measures: Sequence[str], k: float = 1.5, approximate: bool = False) -> DataFrame:
+    """(measure, lo, hi): quartiles widened by k times the interquartile range."""
     if approximate:
-        q = F.percentile_approx(F.col(value).cast("double"), [0.25, 0.75], 10000)
-        edges = df.agg(q.alias("q")).select(F.col("q")[0].alias("q0"), F.col("q")[1].alias("q1"))
+        each = df.select(*[F.col(m).cast("double").alias(m) for m in measures]).unpivot([], list(measures), "measure", "value")
+        q = F.percentile_approx("value", [0.25, 0.75], 10000)
+        edges = each.groupBy("measure").agg(q.alias("q")).select("measure", F.col("q")[0].alias("q0"), F.col("q")[1].alias("q1"))
     else:
-        edges = quantiles(df, value, key, (0.25, 0.75))
+        edges = selection.quantiles(df, measures, (0.25, 0.75))
     spread = F.col("q1") - F.col("q0")
-    return edges.select((F.col("q0") - k * spread).alias("lo"), (F.col("q1") + k * spread).alias("hi"))
+    return edges.select("measure", (F.col("q0") - k * spread).alias("lo"), (F.col("q1") + k * spread).alias("hi"))
+
+
+OUTLIER_MEASURES = ("avg_discount_pct", "refund_amount")
 
 
 def outlier_bounds(t: Tables, k: float = 1.5) -> DataFrame:
-    cust = cut(customer_discount(t))
-    parts = [iqr_bounds(cust, c, "customer_id", k).select(F.lit(c).alias("measure"), "lo", "hi") for c in ("avg_discount_pct", "refund_amount")]
-    return parts[0].unionByName(parts[1])
+    return iqr_bounds(customer_discount(t), OUTLIER_MEASURES, k)
 
 
 def outlier_flags(t: Tables, k: float = 1.5) -> DataFrame:
     """Flags for customers above the upper bound for mean discount or for refunds. Runs jobs while the plan is built."""
     cust = cut(customer_discount(t))
-    disc = iqr_bounds(cust, "avg_discount_pct", "customer_id", k).select(F.col("hi").alias("hi_discount"))
-    ref = iqr_bounds(cust, "refund_amount", "customer_id", k).select(F.col("hi").alias("hi_refund"))
+    bounds = iqr_bounds(cust, OUTLIER_MEASURES, k)
+    over = bounds.agg(*[F.max(F.when(F.col("measure") == m, F.col("hi"))).alias(f"hi_{short}") for m, short in zip(OUTLIER_MEASURES, ("discount", "refund"), strict=True)])
     by_disc = F.col("avg_discount_pct") > F.col("hi_discount")
     by_ref = F.col("refund_amount").cast("double") > F.col("hi_refund")
-    return attach(cust, side_by_side(disc, ref)).select(
+    return attach(cust, over).select(
         *cust.columns, by_disc.alias("flag_discount_abuse"), by_ref.alias("flag_refund_abuse"), (by_disc | by_ref).alias("flag_any")
     )
