@@ -98,31 +98,48 @@ def link(events: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def apply(t: Tables, events: DataFrame) -> dict[str, DataFrame]:
-    """Payments and orders after a batch of distinct events, later deliveries winning.
-
-    An event type without a state change still records the provider's ids.
-    """
-    linked = link(events, t["fact_payments"]).where(F.col("payment_id").isNotNull())
+def _last(c: str) -> Column:
+    return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct("received_at", "event_id")))
 
-    def last(c: str) -> Column:
-        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct("received_at", "event_id")))
 
-    effect = linked.groupBy("payment_id").agg(
-        last("new_payment_status").alias("_status"), last("provider_payment_id").alias("_pid"), last("signature").alias("_sig"),
-        last("failure_reason").alias("_reason"), F.max(F.when(F.col("new_payment_status") == "PAYMENT_SUCCESS", F.col("received_at"))).alias("_paid"),
+def payment_effects(linked: DataFrame) -> DataFrame:
+    """What linked events say of each payment, later deliveries winning."""
+    return linked.groupBy("payment_id").agg(
+        _last("new_payment_status").alias("_status"), _last("provider_payment_id").alias("_pid"), _last("signature").alias("_sig"),
+        _last("failure_reason").alias("_reason"), F.max(F.when(F.col("new_payment_status") == "PAYMENT_SUCCESS", F.col("received_at"))).alias("_paid"),
         F.max("received_at").alias("_at"),
     )
-    new = {
-        "payment_status": F.col("_status"), "payment_provider": F.when(F.col("_at").isNotNull(), PROVIDER), "payment_provider_payment_id": F.col("_pid"),
-        "payment_provider_signature": F.col("_sig"), "failure_reason": F.col("_reason"), "captured_ts": F.col("_paid"), "updated_at": F.col("_at"),
-    }
-    pay = t["fact_payments"]
-    payments = pay.join(effect, "payment_id", "left").select(*[F.coalesce(new[c], F.col(c)).alias(c) if c in new else F.col(c) for c in pay.columns])
-    per_order = linked.where(F.col("new_order_status").isNotNull()).groupBy("order_id").agg(
+
+
+def order_effects(linked: DataFrame) -> DataFrame:
+    """The state that linked events lead each order to."""
+    return linked.where(F.col("new_order_status").isNotNull()).groupBy("order_id").agg(
         F.max_by("new_order_status", F.struct("received_at", "event_id")).alias("_status"), F.max("received_at").alias("_at")
     )
-    head = t["fact_orders"]
-    moved = {"order_status": F.col("_status"), "updated_at": F.col("_at")}
-    orders = head.join(per_order, "order_id", "left").select(*[F.coalesce(moved[c], F.col(c)).alias(c) if c in moved else F.col(c) for c in head.columns])
-    return {"fact_payments": payments, "fact_orders": orders}
+
+
+def _after(rows: DataFrame, effect: DataFrame, key: str, new: dict[str, Column]) -> DataFrame:
+    return rows.join(effect, key, "left").select(*[F.coalesce(new[c], F.col(c)).alias(c) if c in new else F.col(c) for c in rows.columns])
+
+
+def payments_after(rows: DataFrame, effect: DataFrame) -> DataFrame:
+    """Payments with :func:`payment_effects` applied."""
+    return _after(rows, effect, "payment_id", {
+        "payment_status": F.col("_status"), "payment_provider": F.when(F.col("_at").isNotNull(), PROVIDER), "payment_provider_payment_id": F.col("_pid"),
+        "payment_provider_signature": F.col("_sig"), "failure_reason": F.col("_reason"), "captured_ts": F.col("_paid"), "updated_at": F.col("_at"),
+    })
+
+
+def orders_after(rows: DataFrame, effect: DataFrame) -> DataFrame:
+    """Orders with :func:`order_effects` applied."""
+    return _after(rows, effect, "order_id", {"order_status": F.col("_status"), "updated_at": F.col("_at")})
+
+
+def apply(t: Tables, events: DataFrame) -> dict[str, DataFrame]:
+    """Payments and orders after a batch of distinct events, later deliveries winning.
+
+    An event type without a state change still records the provider's ids. This is the
+    whole-table form; ``plans.hooks`` changes the rows of merge-on-read tables by key.
+    """
+    linked = link(events, t["fact_payments"]).where(F.col("payment_id").isNotNull())
+    return {"fact_payments": payments_after(t["fact_payments"], payment_effects(linked)), "fact_orders": orders_after(t["fact_orders"], order_effects(linked))}

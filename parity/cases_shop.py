@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import admin, shop, webhooks
+from ledgerloom.plans import buckets, hooks, textindex
+from ledgerloom.session import checkpoint_root
 from parity.registry import CASES, FRAGMENTS, case
 from parity.warehouse import IPAD, OPAD, WEBHOOK_SECRET
 
@@ -27,6 +31,24 @@ for _sort, _order in (("default", "product_id"), ("price_asc", "list_price, prod
              and (product_name || '~' || brand || '~' || sku || '~' || category_l1 || '~' || category_l2) ilike '%ge%' order by {_order} limit 200 offset 3""")
 case("shop_product_search", lambda w: shop.product_search(w, category_l1="PROMO", category_l2="gear", sort="price_desc", limit=200), _P,
      "from dim_product where category_l1 = 'PROMO' and category_l2 = 'gear' order by list_price desc, product_id limit 200")
+
+
+def _searched(w):
+    """All searches at once on an index that follows the products: loaded under other names first, then as they are."""
+    spark = w["fact_orders"].sparkSession
+    root = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    products = w["dim_product"]
+    buckets.create(products.withColumn("product_name", F.reverse("product_name")), f"{root}/{textindex.TABLE}", textindex.KEY, 4)
+    textindex.update(spark, root)
+    buckets.append(products, buckets.snapshot(spark, f"{root}/{textindex.TABLE}"))
+    textindex.update(spark, root)
+    return textindex.search(spark, root, w["search_terms"].select(F.col("q").alias("query_id"), "q")).withColumnRenamed("query_id", "q")
+
+
+case("shop_product_search_many", _searched, "q:s product_id:i product_name:s list_price:m",
+     """select q, product_id, product_name, list_price from search_terms join dim_product
+        on (product_name || '~' || brand || '~' || sku || '~' || category_l1 || '~' || category_l2) ilike '%' || trim(q) || '%' and
+        greatest(product_name ilike '%' || trim(q) || '%', brand ilike '%' || trim(q) || '%', sku ilike '%' || trim(q) || '%', category_l1 ilike '%' || trim(q) || '%', category_l2 ilike '%' || trim(q) || '%')""")
 case("shop_facets", shop.facets, "facet:s value:s",
      "select distinct 'category_l1' as facet, category_l1 as value from dim_product union select 'category_l2', category_l2 from dim_product union select 'brand', brand from dim_product")
 
@@ -204,5 +226,21 @@ case("shop_webhook_apply", lambda w: _applied(w)["fact_payments"],
 case("shop_webhook_apply_orders", lambda w: _applied(w)["fact_orders"], "order_id:i customer_id:i order_status:s updated_at:t",
      """select o.order_id, o.customer_id, coalesce(new_order_status, order_status) as order_status, if(new_order_status is null, updated_at, received_at) as updated_at
         from fact_orders o left join hook_hits h on h.order_id = o.order_id""")
+
+
+def _merged_hooks(w):
+    """All events in three batches on merge-on-read tables, the second one sent twice; the tables at the end."""
+    spark = w["fact_orders"].sparkSession
+    root = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    for name, key in ((hooks.PAYMENTS, "payment_id"), (hooks.ORDERS, "order_id")):
+        buckets.create(w[name], f"{root}/{name}", key, 4)
+    events = webhooks.dedupe(webhooks.accepted(w["webhook_bodies"])).withColumn("_part", F.when(F.col("received_at") < "1994-06-01", 0).when(F.col("received_at") < "1997-01-01", 1).otherwise(2))
+    for part in (0, 1, 1, 2):
+        hooks.apply(spark, root, events.where(F.col("_part") == part).drop("_part"), part)
+    return {n: buckets.read(spark, f"{root}/{n}") for n in (hooks.PAYMENTS, hooks.ORDERS)}
+
+
+for _name, _like in ((hooks.PAYMENTS, "shop_webhook_apply"), (hooks.ORDERS, "shop_webhook_apply_orders")):
+    case(_like.replace("apply", "merge"), lambda w, n=_name: _merged_hooks(w)[n], CASES[_like].columns, CASES[_like].sql)
 case("adm_stock_band", lambda w: admin.stock_band(shop.inventory_apply(w)), "product_id:i stock_qty:i in_stock:b",
      f"select product_id, available_qty as stock_qty, available_qty > 0 as in_stock from ({CASES['shop_inventory_apply'].sql})")

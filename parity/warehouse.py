@@ -221,6 +221,14 @@ from (select order_id, order_ts as received_at, case when order_id % 23 = 0 then
       case when order_status = 'CANCELLED' and order_id % 2 = 0 then ',"error_description":"Card declined by the issuing bank after three attempts; please ask the customer to use another card"' else '' end ||
       '}}}}}}}}' end as body
   from {fact_orders}) w""",
+    # Texts that shoppers type: parts of words, wildcards, blanks around, one or two letters, nothing at all.
+    "search_terms": """
+select distinct q from (
+  select substr(category_l2, 2, 4) as q from {dim_product} union all select '  ' || lower(brand) || ' ' from {dim_product}
+  union all select substr(category_l1, 1, 3) || '%' || substr(category_l2, 3, 2) from {dim_product}
+  union all select substr(product_name, 1, 1) || '_' || substr(product_name, 3, 3) from {dim_product}
+  union all select substr(sku, 10, 2) from {dim_product} union all select substr(brand, 7, 1) from {dim_product}
+  union all select substr(brand, 1, 0) || '%' from {dim_product}) t""",
     # Events as a browser sends them: loose spelling, missing fields, and a stage nobody knows.
     "raw_event_requests": """
 select event_id, event_ts, session_id, case when stage = 'CHECKOUT_STARTED' then 'checkout-begun' else ' ' || lower(stage) || ' ' end as stage,
