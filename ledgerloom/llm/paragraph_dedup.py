@@ -169,17 +169,20 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
 
 
 def banded(docs: DataFrame, s: Settings) -> DataFrame:
-    """key, d1 and d2: every compared paragraph's or line's set under each of its bands. Cheaper to compute twice than to keep."""
+    """key and d1: every compared paragraph's or line's set under each of its bands. Cheaper to compute twice than to keep.
+
+    One of the two numbers that name a set is enough here: sets that share it both become members of the band.
+    """
 
     def work(part: pa.RecordBatch) -> dict:
         u = compared(*text_bytes(part.column(0)), s)
         sh, at = sets_of(u.words, u.begin, u.end)
-        d1, d2 = names(sh, at, u.kind)
+        d1, _ = names(sh, at, u.kind)
         keys = band_keys(sh, at, s.bands, s.rows)
         keys = np.where(u.kind[:, None] > 0, ~keys, keys)
-        return {"keys": list_column(keys.ravel(), np.arange(len(keys) + 1) * s.bands), "d1": d1, "d2": d2}
+        return {"keys": list_column(keys.ravel(), np.arange(len(keys) + 1) * s.bands), "d1": d1}
 
-    return mapped(docs.select("text"), work, "keys array<long>, d1 long, d2 long").select(F.explode("keys").alias("key"), "d1", "d2")
+    return mapped(docs.select("text"), work, "keys array<long>, d1 long").select(F.explode("keys").alias("key"), "d1")
 
 
 def chosen_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -228,17 +231,17 @@ def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
     units = keep(described(rows, s), "paragraphs")
     shared = keep(banded(rows, s).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "bands")
     release(spark)
-    members = keep(banded(rows, s).join(shared, "key").groupBy("key", "d1", "d2").agg(F.count("*").alias("rank")).select("key", name, "rank"), "members")
+    members = keep(banded(rows, s).join(shared, "key").groupBy("key", "d1").agg(F.count("*").alias("rank")), "members")
     release(spark)
     # Only bands in which different sets meet say anything that the sets' names do not.
     mixed = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     # The class with the most copies leads: variants of a passage come from it.
     postings = keep(members.join(mixed, "key"), "postings")
     stats = [F.min(place).alias("first"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
-    wanted = postings.select("id").distinct().select("id.d1", "id.d2")
-    classes = keep(units.join(wanted, ["d1", "d2"]).groupBy(name).agg(*stats), "classes")
+    classes = keep(units.join(postings.select("d1").distinct(), "d1").groupBy(name).agg(*stats), "classes")
     sets = keep(chosen_sets(rows, classes.select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos")), s), "sets")
-    bounded = keep(postings.join(unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= s.percent * F.col("n")), "id"), "postings")
+    near_enough = unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= s.percent * F.col("n")).withColumn("d1", F.col("id.d1"))
+    bounded = keep(postings.join(near_enough, "d1").select("id", "key", "rank", "n", "u"), "postings")
     linked = link(bounded, confirm_with(sets, s.percent), within_reach(s.percent))
     exact = units.groupBy(name).agg(*stats).filter("low < high")
     near = classes.join(linked, "id").select("id", "first", "low", "high", "component")
