@@ -161,3 +161,13 @@ def test_snapshot_of_an_empty_warehouse_has_no_nulls(house):
 def test_before_after_needs_both_sides(frame):
     one = frame([("2024-01-01", "before", m, 1) for m in snapshots.COMPARED], "snapshot_ts timestamp, label string, metric_name string, metric_value decimal(20,4)")
     assert snapshots.before_after(one).count() == 0
+
+
+def test_late_returns_cover_every_delivered_line_without_one(house):
+    from parity.registry import CASES
+
+    got = CASES["inc_late_returns"].run(house).select("order_item_id")
+    done = house["fact_orders"].where("order_status in ('DELIVERED', 'COMPLETED')")
+    lines = house["fact_order_items"].join(done, "order_id", "left_semi").join(house["fact_returns"], "order_item_id", "left_anti").select("order_item_id")
+    assert got.count() == lines.count() > house["fact_returns"].count() / 6
+    assert got.exceptAll(lines).isEmpty()
