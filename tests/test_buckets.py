@@ -137,3 +137,20 @@ def test_a_table_whose_merge_lost_the_race_is_merged_again(spark, frame, tmp_pat
     buckets.merge(spark, path, frame([(1, "c", "y", "2024-01-05", "2024-03-01")], DDL), rule, audit, "2")
     assert [r[:2] for r in rows(buckets.read(spark, path))] == [(0, "a"), (1, "c"), (2, "a"), (3, "a")]
     assert batch.MERGE_GROUPS[1] == ("fact_orders",)
+
+
+def test_a_merge_leaves_no_scratch_rows_and_makes_no_checkpoint(spark, frame, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    path, audit = str(tmp_path / "t"), str(tmp_path / "audit")
+    buckets.create(table(frame, 40), path, "id", buckets=2)
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda *_: pytest.fail("whole rows in a checkpoint"))
+    delta = frame([(7, "b", "y", "2024-01-05", "2024-02-01"), (1000, "n", "y", "2024-01-05", "2024-02-01")], DDL)
+    assert tuple(buckets.merge(spark, path, delta, RULE, audit, "1").first()) == (1, 1)
+    assert not list((tmp_path / "t" / "_scratch").iterdir()) and isinstance(delta, DataFrame)
+
+
+def test_large_tables_get_more_buckets_than_asked_for(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "ROWS_A_BUCKET", 10)
+    assert buckets.create(table(frame, 95), str(tmp_path / "t"), "id", buckets=4).buckets == 10
+    assert buckets.create(table(frame, 5), str(tmp_path / "u"), "id", buckets=4).buckets == 4
