@@ -2,7 +2,7 @@
 
 Sinks are folders with one sub-folder per micro-batch that a replayed batch
 replaces, so every job is exactly-once given a replayable source. Micro-batches
-leave results that combine on read; only the inventory job keeps state.
+leave results that combine on read; the inventory job goes on from the positions it left.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ledgerloom.functions.expr import rows
 from ledgerloom.operators import funnel, incremental, webhooks
 from ledgerloom.operators.marts import DEFAULT_CHANNEL, DEFAULT_DEVICE
 from ledgerloom.plans import batch
+from ledgerloom.session import configure
 from ledgerloom.sources.schemas import FUNNEL_STAGES
 from ledgerloom.streaming import ids
 
@@ -176,16 +176,26 @@ def webhook_stream(raw: DataFrame, secret: str, events_path: str, quarantine_pat
 
 # ------------------------------------------------------------------ inventory
 _STATE = "on_hand long, reserved long, accepted long, rejected long"
+_POSITION = f"product_id long, {_STATE}"
 
 
-def _book(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Take one product's stock movements in arrival order; a reservation beyond the stock is rejected."""
-    on_hand, reserved, accepted, rejected = state.get if state.exists else (None, 0, 0, 0)
+def _book(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Go through rows sorted by product and turn; a reservation beyond the stock is rejected.
+
+    A product's first row may be the position it had (no action). Positions come out of
+    products that moved.
+    """
+    product, moved, on_hand, reserved, accepted, rejected = None, False, 0, 0, 0, 0
     for chunk in chunks:
-        if on_hand is None:
-            on_hand = int(chunk["on_hand_qty"].iloc[0])
-            reserved = int(chunk["reserved_qty"].iloc[0])
-        for qty, action in zip(chunk["qty"].tolist(), chunk["action"].tolist()):
+        done = []
+        for p, action, qty, h, r, a, x in zip(*[chunk[c].tolist() for c in ("product_id", "action", "qty", "on_hand", "reserved", "accepted", "rejected")]):
+            if p != product:
+                if moved:
+                    done.append((product, on_hand, reserved, accepted, rejected))
+                product, moved, on_hand, reserved, accepted, rejected = p, False, int(h), int(r), int(a), int(x)
+            if action is None:
+                continue
+            moved = True
             if action == "RESERVED":
                 if on_hand - reserved < qty:
                     rejected += 1
@@ -199,22 +209,34 @@ def _book(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iter
             else:
                 reserved = max(0, reserved - qty)
             accepted += 1
-    state.update((on_hand, reserved, accepted, rejected))
-    yield pd.DataFrame({"product_id": [key[0]], "on_hand": [on_hand], "reserved": [reserved], "accepted": [accepted], "rejected": [rejected]})
+        if done:
+            yield pd.DataFrame(done, columns=["product_id", "on_hand", "reserved", "accepted", "rejected"])
+    if moved:
+        yield pd.DataFrame([(product, on_hand, reserved, accepted, rejected)], columns=["product_id", "on_hand", "reserved", "accepted", "rejected"])
 
 
 def inventory_stream(movements: DataFrame, stock: DataFrame, path: str, checkpoint: str) -> None:
     """Stock position per product over single-line movements (product_id, qty, action).
 
-    Movements of one product must be taken in turn, so its state is four
-    numbers and its rows pass through in chunks, however many there are. Movements
-    of a product without stock are no part of a position: see :func:`unknown_products`.
+    Movements of one product must be taken in turn: those of a micro-batch are dealt by
+    product, sorted by arrival behind the position that earlier batches left, and pass
+    through a task row by row, however many a product has. Nothing is called for each
+    product, and no product stays in memory. Movements of a product without stock are no
+    part of a position: see :func:`unknown_products`.
     """
-    known = movements.select("product_id", "qty", "action").join(stock.select("product_id", "on_hand_qty", "reserved_qty"), "product_id")
-    booked = known.groupBy("product_id").applyInPandasWithState(
-        _book, f"product_id long, {_STATE}", _STATE, "update", GroupStateTimeout.NoTimeout
-    )
-    run_available(booked, checkpoint, to_folder(path), "update")
+
+    def each(df: DataFrame, batch_id: int) -> None:
+        spark = configure(df.sparkSession)
+        first = stock.select("product_id", F.col("on_hand_qty").cast("long").alias("on_hand"), F.col("reserved_qty").cast("long").alias("reserved"))
+        zero = F.lit(0).cast("long")
+        rows_of = df.withColumn("_turn", F.monotonically_increasing_id()).join(first, "product_id").select("*", zero.alias("accepted"), zero.alias("rejected"))
+        if batch_id:
+            before = spark.read.schema(f"{_POSITION}, batch int").option("basePath", path).parquet(path).where(F.col("batch") < batch_id)
+            rows_of = rows_of.unionByName(_last(before).select("*", F.lit(-1).cast("long").alias("_turn"), F.lit(None).cast("string").alias("action"), zero.alias("qty")))
+        booked = rows_of.repartition("product_id").sortWithinPartitions("product_id", "_turn").mapInPandas(_book, _POSITION)
+        to_folder(path)(booked, batch_id)
+
+    run_available(movements.select("product_id", "qty", "action").where(F.col("product_id").isNotNull()), checkpoint, each)
 
 
 def unknown_products(movements: DataFrame, stock: DataFrame, quarantine_path: str, checkpoint: str) -> None:
@@ -223,8 +245,11 @@ def unknown_products(movements: DataFrame, stock: DataFrame, quarantine_path: st
     run_available(strange, checkpoint, to_folder(quarantine_path))
 
 
-def read_inventory(spark: SparkSession, path: str) -> DataFrame:
-    """The last emitted position per product."""
-    emitted = read_folder(spark, path)
+def _last(emitted: DataFrame) -> DataFrame:
     cols = ("on_hand", "reserved", "accepted", "rejected")
     return emitted.groupBy("product_id").agg(F.max_by(F.struct(*cols), "batch").alias("s")).select("product_id", *[f"s.{c}" for c in cols])
+
+
+def read_inventory(spark: SparkSession, path: str) -> DataFrame:
+    """The last emitted position per product."""
+    return _last(read_folder(spark, path))

@@ -146,3 +146,25 @@ def test_ingest_keeps_every_request_on_one_side(spark, frame, tmp_path):
     jobs.ingest_events(stream, str(tmp_path / "ev"), str(tmp_path / "cp"))
     read = lambda valid: sorted(r.event_id for r in jobs.read_events(spark, str(tmp_path / "ev"), valid).collect())
     assert (read(True), read(False)) == ([1, 3], [2, 4])
+
+
+def test_inventory_goes_on_from_earlier_batches(spark, frame, tmp_path):
+    from ledgerloom.streaming import jobs
+
+    ddl = "product_id long, qty long, action string"
+    stock = frame([(1, 5, 0), (2, 1, 0), (3, 9, 0)], "product_id long, on_hand_qty long, reserved_qty long")
+    stream = batches(spark, frame, tmp_path, ddl, [(1, 3, "RESERVED"), (2, 1, "RESERVED"), (4, 1, "RESERVED")], [(1, 3, "RESERVED"), (2, 1, "CONSUMED")], [(1, 2, "RESERVED"), (1, 1, "RESERVED")])
+    jobs.inventory_stream(stream, stock, str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = {tuple(r) for r in jobs.read_inventory(spark, str(tmp_path / "out")).collect()}
+    assert got == {(1, 5, 5, 2, 2), (2, 0, 0, 2, 0)}
+    last = spark.read.parquet(str(tmp_path / "out" / "batch=2"))
+    assert [r.product_id for r in last.collect()] == [1]
+
+
+def test_a_large_made_stream_is_many_files(spark, frame, tmp_path, monkeypatch):
+    from parity import cases_stream
+
+    monkeypatch.setattr(cases_stream, "FILE_ROWS", 10)
+    table = frame([(i,) for i in range(100)], "id long")
+    cases_stream._fed({"t": table, "orders": table}, str(tmp_path), "t")
+    assert len(list((tmp_path / "in" / "t").glob("*.parquet"))) == 12
