@@ -142,3 +142,22 @@ def test_orders_take_their_stock_in_turn_or_not_at_all(frame, spark):
     assert {r.order_id: tuple(r)[1:] for r in got.collect()} == want
     assert 10 < sum(ok for _, _, ok, _ in want.values()) < 110
     assert shop.reserve_orders(t, frame([], "order_id long, product_id long, qty int")).count() == 0
+
+
+def test_a_chain_of_competing_orders_does_not_grow_the_estimates(frame, spark, monkeypatch):
+    """Each order wants the piece that the one before it wants too, so every round settles one: later rounds must plan as quickly as the first."""
+    n, known = 8, []
+    whole = shop.running
+
+    def watched(df, *args):
+        known.append(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length())
+        return whole(df, *args)
+
+    monkeypatch.setattr(shop, "running", watched)
+    t = {
+        "product_inventory": frame([(p, 1, 0) for p in range(n + 1)], "product_id long, on_hand_qty int, reserved_qty int"),
+        "fact_orders": frame([(k, f"2024-01-{1 + k:02d}") for k in range(n)], "order_id long, order_ts timestamp"),
+    }
+    got = shop.reserve_orders(t, frame([(k, p, 1) for k in range(n) for p in (k, k + 1)], "order_id long, product_id long, qty int"))
+    assert {r.order_id: r.accepted for r in got.collect()} == {k: k % 2 == 0 for k in range(n)}
+    assert len(known) >= n // 2 and max(known) < 128  # bits of the estimated size, tripled by each round when estimates are kept
