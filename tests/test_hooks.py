@@ -83,3 +83,12 @@ def test_the_index_follows_new_payments_and_those_that_move(spark, house, root):
     assert index(spark, root, order) == p["payment_id"] and index(spark, root, "other") == 10**12
     # And if no payment is left, there is none.
     assert write(payment_id=10**12, payment_provider_order_id=None) == 1 and index(spark, root, "other") is None
+
+
+def test_accepted_events_parse_a_body_once_to_filter_and_once_to_read(frame):
+    raw = frame([('{"id":" e1 ","event":"payment.failed"}', None, "2024-01-01"), ('{"id":" ","event":"payment.failed"}', None, "2024-01-01"), ("not json", None, "2024-01-01"),
+                 (None, None, "2024-01-01"), ('{"id":"e2"}', None, "2024-01-01")], "body string, signature string, received_at timestamp")
+    events = webhooks.dedupe(webhooks.accepted(raw))
+    assert [(r.event_id, r.new_payment_status) for r in events.collect()] == [("e1", "PAYMENT_FAILED")]
+    assert webhooks.quarantine(raw).count() == 4
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("from_json") <= 2
