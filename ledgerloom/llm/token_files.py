@@ -35,6 +35,8 @@ CACHE_PIECES = 400_000
 #: A word of Latin letters before a mark, or a run of non-blanks, each with the blanks before it. Blanks are those of
 #: the tokenizer's pattern: all that Python calls blank but the separators 0x1C-0x1F.
 _PIECE = r"[^\S\x1c-\x1f]*(?:[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[.,;:!?*&%$#|])|[\S\x1c-\x1f]+)|[^\S\x1c-\x1f]+"
+#: A word that the tokenizer's pattern takes as one, with at most one blank before it.
+_WORD = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
 _SHARDS = "shard string, first_id long, first_hash long, n_docs long, n_tokens long, n_rows long"
 
 
@@ -55,6 +57,26 @@ class _Memo(dict):
         return ids
 
 
+def word_encoder(tok):
+    """A function from a word (``_WORD``) to its ids, asked of the tokenizer's model itself, or None if an added token could be part of a word.
+
+    Such a word is one unit of a byte-level tokenizer, so the search for added tokens,
+    the pattern and the offsets say nothing new.
+    """
+    if any(re.fullmatch("[ A-Za-zÀ-ÖØ-öø-ÿ]*", t.content) for t in tok.get_added_tokens_decoder().values()):
+        return None
+    # A byte-level vocabulary writes a byte that is no visible Latin-1 character as one from 256 on, in the order of the bytes.
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    byte = {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in seen)}
+    written = {chr(c): "".join(byte[b] for b in chr(c).encode()) for c in range(256)}
+    blank, letter, tokenize = written[" "], written.__getitem__, tok.model.tokenize
+
+    def encode_word(word: str) -> list[int]:
+        return [t.id for t in tokenize(word.replace(" ", blank) if word.isascii() else "".join(map(letter, word)))]
+
+    return encode_word
+
+
 def encoder(tokenizer_file: str):
     """A function from a text to its ids, as an array of the smallest type that holds the vocabulary.
 
@@ -73,8 +95,11 @@ def encoder(tokenizer_file: str):
     by_piece = tok.normalizer is None and kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space", True)
     dtype = np.dtype("<u2" if tok.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
 
+    encode_word = word_encoder(tok) if by_piece else None
+    is_word = _WORD.fullmatch if encode_word else lambda piece: None
+
     def encode_piece(piece: str) -> bytes:
-        return np.array(tok.encode(piece, add_special_tokens=False).ids, dtype).tobytes()
+        return np.array(encode_word(piece) if is_word(piece) else tok.encode(piece, add_special_tokens=False).ids, dtype).tobytes()
 
     find, get = re.compile(_PIECE).findall, _Memo(encode_piece).__getitem__
 

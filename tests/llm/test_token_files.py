@@ -64,3 +64,23 @@ def test_sequences_are_views(table):
     file = token_files.read_sequences(root, shards.first().shard)
     one = token_files.sequence(file, 0, 8)
     assert one.dtype == np.uint16 and not one.flags.owndata and not one.flags.writeable
+
+
+def test_words_are_encoded_by_the_model_alone(table, tok):
+    """A distinct word costs no pass over the whole tokenizer, and has the ids that pass would give."""
+    encode_word = token_files.word_encoder(tok)
+    found = {w for r in table("documents").collect() for w in token_files._WORD.findall(r.text or "")}
+    assert len(found) > 1000
+    for w in [*found, "a", " a", "É", " ÿþ", "Größe", " ñandúÀ", "xÖØöøÿ"]:
+        assert encode_word(w) == tok.encode(w, add_special_tokens=False).ids, w
+
+
+def test_added_tokens_inside_words_are_looked_for(tmp_path):
+    from tokenizers import Tokenizer
+
+    changed = Tokenizer.from_file(FILE)
+    changed.add_tokens(["zq", " the"])
+    assert token_files.word_encoder(changed) is None
+    changed.save(str(tmp_path / "t.json"))
+    encode, _ = token_files.encoder(str(tmp_path / "t.json"))
+    assert encode("azqb the then").tolist() == changed.encode("azqb the then", add_special_tokens=False).ids
