@@ -158,31 +158,26 @@ def names(sh: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray,
 
 
 def described(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, th (text hash), pos, d1 and d2 (names of the set) of every paragraph and line that is compared."""
+    """doc_id, th (text hash), pos, d1 and d2 (names of the set) and keys (of its bands) of every paragraph and line that is compared."""
 
     def work(part: pa.RecordBatch) -> dict:
         u = compared(*text_bytes(part.column(2)), s)
-        d1, d2 = names(*sets_of(u.words, u.begin, u.end), u.kind)
-        return {"doc_id": part.column(0).take(pa.array(u.doc)), "th": part.column(1).take(pa.array(u.doc)), "pos": u.pos, "d1": d1, "d2": d2}
+        sh, at = sets_of(u.words, u.begin, u.end)
+        d1, d2 = names(sh, at, u.kind)
+        keys = band_keys(sh, at, s.bands, s.rows)
+        keys = np.where(u.kind[:, None] > 0, ~keys, keys)
+        listed = list_column(keys.ravel(), np.arange(len(keys) + 1) * s.bands)
+        return {"doc_id": part.column(0).take(pa.array(u.doc)), "th": part.column(1).take(pa.array(u.doc)), "pos": u.pos, "d1": d1, "d2": d2, "keys": listed}
 
-    return mapped(docs.select("doc_id", "th", "text"), work, "doc_id long, th long, pos long, d1 long, d2 long")
+    return mapped(docs.select("doc_id", "th", "text"), work, "doc_id long, th long, pos long, d1 long, d2 long, keys array<long>")
 
 
-def banded(docs: DataFrame, s: Settings) -> DataFrame:
-    """key and d1: every compared paragraph's or line's set under each of its bands. Cheaper to compute twice than to keep.
+def banded(units: DataFrame) -> DataFrame:
+    """key and d1: every compared paragraph's or line's set under each of its bands.
 
     One of the two numbers that name a set is enough here: sets that share it both become members of the band.
     """
-
-    def work(part: pa.RecordBatch) -> dict:
-        u = compared(*text_bytes(part.column(0)), s)
-        sh, at = sets_of(u.words, u.begin, u.end)
-        d1, _ = names(sh, at, u.kind)
-        keys = band_keys(sh, at, s.bands, s.rows)
-        keys = np.where(u.kind[:, None] > 0, ~keys, keys)
-        return {"keys": list_column(keys.ravel(), np.arange(len(keys) + 1) * s.bands), "d1": d1}
-
-    return mapped(docs.select("text"), work, "keys array<long>, d1 long").select(F.explode("keys").alias("key"), "d1")
+    return units.select(F.explode("keys").alias("key"), "d1")
 
 
 def chosen_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
@@ -222,17 +217,20 @@ def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
     spark, made = rows.sparkSession, []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
+        # Shuffle files of the step before go now: those of all steps would be several times the texts.
         df, path = kept(df, name)
         made.append(path)
+        release(spark)
         return df
 
     place = F.struct("doc_id", "th", "pos")
     name = F.struct("d1", "d2").alias("id")
-    units = keep(described(rows, s), "paragraphs")
-    shared = keep(banded(rows, s).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "bands")
-    release(spark)
-    members = keep(banded(rows, s).join(shared, "key").groupBy("key", "d1").agg(F.count("*").alias("rank")), "members")
-    release(spark)
+    every = keep(described(rows, s), "paragraphs")
+    shared = keep(banded(every).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "bands")
+    members = keep(banded(every).join(shared, "key").groupBy("key", "d1").agg(F.count("*").alias("rank")), "members")
+    # Copies of a set share all its bands, so whatever is in no shared band is repeated nowhere.
+    units = keep(every.drop("keys").join(members.select("d1").distinct(), "d1", "left_semi").select("doc_id", "th", "pos", "d1", "d2"), "paragraphs")
+    drop(spark, *made[:2])
     # Only bands in which different sets meet say anything that the sets' names do not.
     mixed = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     # The class with the most copies leads: variants of a passage come from it.
@@ -249,7 +247,6 @@ def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
     group = F.coalesce("component", "id").alias("group")
     whole = keep(both.groupBy(group).agg(F.min("first").alias("stays_at"), F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("group", "stays_at"), "groups")
     named = keep(both.select("id", group).join(whole, "group").select(F.col("id.d1").alias("d1"), F.col("id.d2").alias("d2"), "stays_at"), "named")
-    release(spark)
     out, _ = kept(units.select("doc_id", "th", "pos", "d1", "d2").join(named, ["d1", "d2"]).select("doc_id", "th", "pos", (place == F.col("stays_at")).alias("stays")), "repeated")
     drop(spark, *made)
     return out

@@ -1,4 +1,5 @@
 import random
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -6,7 +7,7 @@ import pyarrow as pa
 
 from ledgerloom.llm import paragraph_dedup
 from ledgerloom.llm.paragraph_dedup import Settings
-from ledgerloom.llm.shared import text_bytes
+from ledgerloom.llm.shared import drop, kept, release, text_bytes
 from tests.llm.test_near_dedup import reach
 from tests.llm.test_words import WORD, fold
 
@@ -143,3 +144,20 @@ def test_whole_lines_take_nothing_back(table, edge_docs):
         more = {r.doc_id: r for r in paragraph_dedup.dedup(docs, Settings(whole_lines=True)).collect()}
         assert set(less) <= set(more)
         assert all(more[d].removed_words >= r.removed_words and more[d].n_repeated >= r.n_repeated for d, r in less.items())
+
+
+def test_release_takes_the_last_query_with_it(spark):
+    """Shuffle files of the query that has just ended go, not only those of the one before."""
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    shuffled = lambda: {f.getName() for f in shared_list(env.blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    shared_list = lambda seq: [seq.apply(i) for i in range(seq.length())]
+    old = shuffled()
+    _, path = kept(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count(), "counts")
+    made = shuffled() - old
+    assert made
+    release(spark)
+    until = time.monotonic() + 10
+    while made & shuffled() and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not made & shuffled()
+    drop(spark, path)
