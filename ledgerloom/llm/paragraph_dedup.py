@@ -28,6 +28,7 @@ an empty result. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from math import ceil, log
 from typing import NamedTuple
 
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.linking import link, unshared, within_reach
+from ledgerloom.llm.linking import link, masked, unshared, within_masks, within_reach
 from ledgerloom.llm.minhash_dedup import coordinate_keys, digests, list_column
 from ledgerloom.llm.shared import drop, kept, mapped, release, text_bytes
 from ledgerloom.llm.words import Words, mix, shingles, windows, words
@@ -109,16 +110,24 @@ def band_keys(sh: np.ndarray, at: np.ndarray, bands: int, rows: int) -> np.ndarr
 
 
 def sets_of(w: Words, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingles of the words from ``begin`` to ``end``, and the offset of each."""
+    """Distinct shingles of the words from ``begin`` to ``end``, and the offset of each."""
     count = end - begin
     at = np.concatenate([[0], np.cumsum(count)])
     index = np.arange(at[-1]) + np.repeat(begin - at[:-1], count)
     sh, sh_at = shingles(w.hashes[index], at, WIDTH)
     doc = np.repeat(np.arange(len(begin)), np.diff(sh_at))
-    order = np.lexsort((sh, doc))
-    sh, doc = sh[order], doc[order]
+    # One number for a shingle and its unit: few units have any number twice, and only those are sorted.
+    with np.errstate(over="ignore"):
+        both = mix(sh + mix(doc.astype(_U)))
+    ranked = np.sort(both)
+    twice = ranked[1:][ranked[1:] == ranked[:-1]]
+    if not len(twice):
+        return sh, sh_at
+    again = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, both), len(twice) - 1)] == both)
+    again = again[np.lexsort((sh[again], doc[again]))]
+    more = np.flatnonzero((sh[again[1:]] == sh[again[:-1]]) & (doc[again[1:]] == doc[again[:-1]])) + 1
     new = np.ones(len(sh), bool)
-    new[1:] = (sh[1:] != sh[:-1]) | (doc[1:] != doc[:-1])
+    new[again[more]] = False
     return sh[new], np.searchsorted(doc[new], np.arange(len(begin) + 1))
 
 
@@ -158,7 +167,10 @@ def names(sh: np.ndarray, at: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray,
 
 
 def described(docs: DataFrame, s: Settings) -> DataFrame:
-    """doc_id, th (text hash), pos, d1 and d2 (names of the set) and keys (of its bands) of every paragraph and line that is compared."""
+    """doc_id, th (text hash), pos, d1 and d2 (names of the set), n and keys of every paragraph and line that is compared.
+
+    The first of the copies that stand in one slice of the texts has their number ``n`` and the keys of the set's bands, the others 0 and none.
+    """
 
     def work(part: pa.RecordBatch) -> dict:
         u = compared(*text_bytes(part.column(2)), s)
@@ -166,28 +178,89 @@ def described(docs: DataFrame, s: Settings) -> DataFrame:
         d1, d2 = names(sh, at, u.kind)
         keys = band_keys(sh, at, s.bands, s.rows)
         keys = np.where(u.kind[:, None] > 0, ~keys, keys)
-        listed = list_column(keys.ravel(), np.arange(len(keys) + 1) * s.bands)
-        return {"doc_id": part.column(0).take(pa.array(u.doc)), "th": part.column(1).take(pa.array(u.doc)), "pos": u.pos, "d1": d1, "d2": d2, "keys": listed}
+        _, first, copies = np.unique(d1, return_index=True, return_counts=True)
+        n = np.zeros(len(d1), np.int32)
+        n[first] = copies
+        listed = list_column(keys[n > 0].ravel(), np.concatenate([[0], np.cumsum(n > 0)]) * s.bands)
+        return {"doc_id": part.column(0).take(pa.array(u.doc)), "th": part.column(1).take(pa.array(u.doc)), "pos": u.pos, "d1": d1, "d2": d2, "n": n, "keys": listed}
+
+    return mapped(docs.select("doc_id", "th", "text"), work, "doc_id long, th long, pos long, d1 long, d2 long, n int, keys array<long>")
 
-    return mapped(docs.select("doc_id", "th", "text"), work, "doc_id long, th long, pos long, d1 long, d2 long, keys array<long>")
 
+#: Band keys that one group of :func:`met` has, as a mean; and those that a task gathers before it hands them on.
+GROUP_KEYS = 1 << 20
 
-def banded(units: DataFrame) -> DataFrame:
-    """key and d1: every compared paragraph's or line's set under each of its bands.
+
+def met(units: DataFrame, s: Settings) -> DataFrame:
+    """key, d1, rank (copies) of the sets in every band where different sets meet; and, without key, d1 of every other set that has copies.
 
     One of the two numbers that name a set is enough here: sets that share it both become members of the band.
+    Keys travel in lists by a hash of the key: a row for each would cost more than all that is done with it.
     """
-    return units.select(F.explode("keys").alias("key"), "d1")
+    groups = max(1, ceil(units.count() * s.bands / GROUP_KEYS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def dealt() -> pa.RecordBatch:
+            key, d1, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            home = (mix(key.view(_U) + _U(1)) % _U(groups)).astype(np.int32)
+            order = np.argsort(home, kind="stable")
+            own, at = np.unique(home[order], return_index=True)
+            at = np.append(at, len(order))
+            return pa.RecordBatch.from_arrays([pa.array(own), *[list_column(x[order], at) for x in (key, d1, n)]], names=["home", "key", "d1", "n"])
+
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            full = n > 0
+            key = batch.column("keys").flatten().to_numpy()
+            held.append((key, np.repeat(batch.column("d1").to_numpy()[full], s.bands), np.repeat(n[full], s.bands)))
+            size += len(key)
+            if size >= GROUP_KEYS:
+                yield dealt()
+                held, size = [], 0
+        if size:
+            yield dealt()
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, d1, n = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("key", "d1", "n"))
+        return pa.table(dict(zip(("key", "d1", "rank"), meetings(key, d1, n), strict=True)))
+
+    lists = units.select("d1", "n", "keys").filter("n > 0").mapInArrow(deal, "home int, key array<long>, d1 array<long>, n array<int>")
+    return lists.groupBy("home").applyInArrow(meet, "key long, d1 long, rank long").distinct()
+
+
+def meetings(key: np.ndarray, d1: np.ndarray, n: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Rows of :func:`met` for all members of some bands; a set without key has rank 0."""
+    order = np.argsort(key)
+    same = key[order][1:] == key[order][:-1]
+    several = np.zeros(len(key), bool)
+    several[order[1:][same]] = several[order[:-1][same]] = True
+    alone = d1[~several & (n > 1)]
+    key, d1, n = key[several], d1[several], n[several]
+    order = np.lexsort((d1, key))
+    key, d1, n = key[order], d1[order], n[order]
+    band = np.ones(len(key), bool)
+    band[1:] = key[1:] != key[:-1]
+    member = band.copy()
+    member[1:] |= d1[1:] != d1[:-1]
+    at = np.flatnonzero(member)
+    rank = np.add.reduceat(n.astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
+    key, d1, band = key[at], d1[at], np.cumsum(band[at])
+    mixed = np.bincount(band)[band] > 1
+    alone = np.unique(np.concatenate([alone, d1[~mixed]]))
+    none = pa.nulls(len(alone), pa.int64())
+    return pa.concat_arrays([pa.array(key[mixed]), none]), np.concatenate([d1[mixed], alone]), np.concatenate([rank[mixed], np.zeros(len(alone), np.int64)])
 
 
 def chosen_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
     """id and shingles of the paragraphs and lines ``wanted`` (id, doc_id, th, pos)."""
     places = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "id")).alias("places"))
-    texts = docs.select("doc_id", "th", "text").join(places, ["doc_id", "th"]).select("text", F.col("places.pos").alias("pos"), F.col("places.id.d1").alias("d1"), F.col("places.id.d2").alias("d2"))
+    texts = docs.select("doc_id", "th", "text").join(places, ["doc_id", "th"]).select("text", F.col("places.pos").alias("pos"), F.col("places.id").alias("id"))
 
     def work(part: pa.RecordBatch) -> dict:
         w, firsts = divisions(*text_bytes(part.column(0)), s)
-        pos, d1, d2 = part.column(1), part.column(2), part.column(3)
+        pos = part.column(1)
         doc = np.repeat(np.arange(part.num_rows), pos.value_lengths().to_numpy())
         at = pos.flatten().to_numpy()
         begin = w.offsets[doc] + (at >> 1)
@@ -196,9 +269,10 @@ def chosen_sets(docs: DataFrame, wanted: DataFrame, s: Settings) -> DataFrame:
             own = (at & 1) == kind
             end[own] = first[np.searchsorted(first, begin[own], "right")]
         sh, at = sets_of(w, begin, end)
-        return {"d1": d1.flatten(), "d2": d2.flatten(), "shingles": list_column(sh, at)}
+        return {"id": part.column(2).flatten(), "shingles": list_column(sh, at)}
 
-    return mapped(texts, work, "d1 long, d2 long, shingles array<long>").select(F.struct("d1", "d2").alias("id"), "shingles").dropDuplicates(["id"])
+    # Rows may repeat, and with them what is wanted of their text.
+    return mapped(texts, work, "id long, shingles array<long>").dropDuplicates(["id"])
 
 
 def confirm_with(sets: DataFrame, percent: int):
@@ -224,30 +298,27 @@ def repeated_paragraphs(rows: DataFrame, s: Settings) -> DataFrame:
         return df
 
     place = F.struct("doc_id", "th", "pos")
-    name = F.struct("d1", "d2").alias("id")
     every = keep(described(rows, s), "paragraphs")
-    shared = keep(banded(every).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "bands")
-    members = keep(banded(every).join(shared, "key").groupBy("key", "d1").agg(F.count("*").alias("rank")), "members")
+    members = keep(met(every, s), "members")
     # Copies of a set share all its bands, so whatever is in no shared band is repeated nowhere.
-    units = keep(every.drop("keys").join(members.select("d1").distinct(), "d1", "left_semi").select("doc_id", "th", "pos", "d1", "d2"), "paragraphs")
-    drop(spark, *made[:2])
+    shared = members.select("d1").distinct().hint("shuffle_hash")
+    units = keep(every.select("doc_id", "th", "pos", "d1", "d2").join(shared, "d1", "left_semi"), "paragraphs")
+    drop(spark, made[0])
     # Only bands in which different sets meet say anything that the sets' names do not.
-    mixed = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    # The class with the most copies leads: variants of a passage come from it.
-    postings = keep(members.join(mixed, "key"), "postings")
+    postings = members.filter("key is not null")
     stats = [F.min(place).alias("first"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
-    classes = keep(units.join(postings.select("d1").distinct(), "d1").groupBy(name).agg(*stats), "classes")
-    sets = keep(chosen_sets(rows, classes.select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos")), s), "sets")
-    near_enough = unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= s.percent * F.col("n")).withColumn("d1", F.col("id.d1"))
+    # A class has one number from here on, which aggregates and joins take faster than its two names.
+    classes = keep(units.groupBy("d1", "d2").agg(*stats).withColumn("id", F.monotonically_increasing_id()), "classes")
+    mixed = classes.join(postings.select("d1").distinct(), "d1", "left_semi")
+    sets = keep(chosen_sets(rows, mixed.select("id", F.col("first.doc_id").alias("doc_id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos")), s), "sets")
+    near_enough = unshared(sets).filter(100 * (F.col("n") - F.col("u")) >= s.percent * F.col("n")).join(classes.select("id", "d1"), "id")
+    # The class with the most copies leads: variants of a passage come from it.
     bounded = keep(postings.join(near_enough, "d1").select("id", "key", "rank", "n", "u"), "postings")
-    linked = link(bounded, confirm_with(sets, s.percent), within_reach(s.percent))
-    exact = units.groupBy(name).agg(*stats).filter("low < high")
-    near = classes.join(linked, "id").select("id", "first", "low", "high", "component")
-    both = keep(near.unionByName(exact.withColumn("component", F.lit(None).cast("struct<d1:bigint,d2:bigint>"))).groupBy("id").agg(F.max("component").alias("component"), F.min("first").alias("first"), F.min("low").alias("low"), F.max("high").alias("high")), "classes")
-    group = F.coalesce("component", "id").alias("group")
-    whole = keep(both.groupBy(group).agg(F.min("first").alias("stays_at"), F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("group", "stays_at"), "groups")
-    named = keep(both.select("id", group).join(whole, "group").select(F.col("id.d1").alias("d1"), F.col("id.d2").alias("d2"), "stays_at"), "named")
-    out, _ = kept(units.select("doc_id", "th", "pos", "d1", "d2").join(named, ["d1", "d2"]).select("doc_id", "th", "pos", (place == F.col("stays_at")).alias("stays")), "repeated")
+    linked = link(bounded, confirm_with(sets, s.percent), within_reach(s.percent), closer=(masked(sets), within_masks(s.percent)))
+    both = keep(classes.join(linked, "id", "left").filter("component is not null or low < high").withColumn("group", F.coalesce("component", "id")), "classes")
+    whole = both.groupBy("group").agg(F.min("first").alias("stays_at"), F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high").select("group", "stays_at")
+    named = keep(both.select("d1", "d2", "group").join(whole, "group").select("d1", "d2", "stays_at"), "named")
+    out, _ = kept(units.join(named, ["d1", "d2"]).select("doc_id", "th", "pos", (place == F.col("stays_at")).alias("stays")), "repeated")
     drop(spark, *made)
     return out
 

@@ -161,3 +161,52 @@ def test_release_takes_the_last_query_with_it(spark):
         time.sleep(0.2)
     assert not made & shuffled()
     drop(spark, path)
+
+
+def test_sets_have_each_shingle_once():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("ab" if k % 2 else "abcdefghij") for _ in range(rng.randrange(6, 60))) for k in range(40)]
+    raw, off = text_bytes(pa.array(texts))
+    w = paragraph_dedup.words(raw, off, lower=True)
+    sh, at = paragraph_dedup.sets_of(w, w.offsets[:-1], w.offsets[1:])
+    for k, text in enumerate(texts):
+        own = text.split()
+        got = sh[at[k] : at[k + 1]].tolist()
+        assert len(got) == len(set(got)) == len({tuple(own[i : i + 5]) for i in range(len(own) - 4)})
+
+
+def test_bands_where_sets_meet():
+    rng = np.random.default_rng(3)
+    key, d1, n = rng.integers(0, 60, 150), rng.integers(0, 50, 150), rng.integers(1, 3, 150).astype(np.int32)
+    got = set(zip(*[x.tolist() for x in paragraph_dedup.meetings(key, d1, n)], strict=True))
+    bands, copies = defaultdict(lambda: defaultdict(int)), set()
+    for k, d, c in zip(key.tolist(), d1.tolist(), n.tolist(), strict=True):
+        bands[k][d] += c
+    want = {(k, d, c) for k, b in bands.items() if len(b) > 1 for d, c in b.items()}
+    copies = {(None, d, 0) for b in bands.values() if len(b) == 1 for d, c in b.items() if c > 1}
+    assert got == want | copies and want and copies
+
+
+def test_loose_copies_are_no_pairs(spark, monkeypatch):
+    # Variants of one line that share each shingle with many others, and are alike by less than the wanted similarity.
+    base = [f"w{i}" for i in range(30)]
+    lines = set()
+    rng = random.Random(6)
+    while len(lines) < 60:
+        lines.add(" ".join([f"{w}x{rng.randrange(3)}" if i in (4, 11, 18, 25) else w for i, w in enumerate(base)]))
+    made = []
+    confirm_with = paragraph_dedup.confirm_with
+
+    def counted(sets, percent):
+        confirm = confirm_with(sets, percent)
+
+        def count(pairs):
+            made.append(pairs.count())
+            return confirm(pairs)
+
+        return count
+
+    monkeypatch.setattr(paragraph_dedup, "confirm_with", counted)
+    docs = spark.createDataFrame(list(enumerate(sorted(lines))), "doc_id long, text string")
+    paragraph_dedup.dedup(docs, Settings(whole_lines=True)).count()
+    assert made[0] > 0 and made[-1] < 20
