@@ -336,42 +336,49 @@ def dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def work(part: pa.RecordBatch) -> dict:
         raw, off = text_bytes(part.column(1))
         w, firsts = divisions(raw, off, s)
-        out: dict = {k: [] for k in ("doc_id", "n_paragraphs", "n_repeated", "n_removed", "removed_words", "kept_text", "kept_sha256")}
-        for d, (pos, stays) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-            x, y = w.offsets[d], w.offsets[d + 1]
-            at, home = np.array(pos, np.int64), np.array(stays, bool)
-            inside, gone, spans = np.zeros(y - x, bool), np.zeros(y - x, bool), []
-            for kind, first in enumerate(firsts):
-                begin = first[np.searchsorted(first, x) : np.searchsorted(first, y)] - x
-                size = np.diff(np.append(begin, y - x))
-                own = (at & 1) == kind
-                within, goes = removable(np.searchsorted(begin, at[own] >> 1), home[own], size, s)
-                inside |= np.repeat(within, size)
-                gone |= np.repeat(goes, size)
-                spans += [(w.starts[x + begin[u]], w.ends[x + begin[u] + size[u] - 1]) for u in np.flatnonzero(goes)]
-            if not inside.any():
-                continue
-            begin = firsts[0][np.searchsorted(firsts[0], x) : np.searchsorted(firsts[0], y)] - x
-            kept_parts, reached = [], off[d]
-            for a, b in sorted(spans):
-                if a > reached:
-                    kept_parts.append(raw[reached:a])
-                reached = max(reached, b)
-            text = b"".join([*(p.tobytes() for p in kept_parts), raw[reached : off[d + 1]].tobytes()])
-            repeated, removed = np.logical_and.reduceat(inside, begin).sum(), np.logical_and.reduceat(gone, begin).sum()
-            for k, v in zip(out, (part.column(0)[d].as_py(), len(begin), repeated, removed, gone.sum(), text.decode(), hashlib.sha256(text).hexdigest()), strict=True):
-                out[k].append(v)
-        return out
+        pos = part.column(2)
+        at, home = pos.flatten().to_numpy(), part.column(3).flatten().to_numpy(zero_copy_only=False)
+        word = w.offsets[np.repeat(np.arange(part.num_rows), pos.value_lengths().to_numpy())] + (at >> 1)
+        inside, gone, lost = np.zeros(len(w.starts), bool), np.zeros(len(w.starts), bool), np.zeros(len(raw) + 1, np.int64)
+        for kind, first in enumerate(firsts):
+            size = np.diff(first)
+            own = (at & 1) == kind
+            doc = np.searchsorted(w.offsets, first[:-1], "right") - 1
+            within, goes = removable(np.searchsorted(first, word[own]), home[own], size, s, doc)
+            inside |= np.repeat(within, size)
+            gone |= np.repeat(goes, size)
+            # Bytes from the first word of what goes to the last one's end.
+            lost[w.starts[first[:-1][goes]]] += 1
+            lost[w.ends[first[1:][goes] - 1]] -= 1
+        stays = np.cumsum(lost[:-1]) == 0
+        before = lambda marks, places: np.concatenate([[0], np.cumsum(marks)])[places]
+        parts = np.searchsorted(firsts[0], w.offsets)
+        all_of = lambda marks: np.logical_and.reduceat(marks, firsts[0][:-1]) if len(marks) else marks
+        chosen = np.flatnonzero(np.diff(before(inside, w.offsets)))
+        kept_raw, ends = raw[stays], before(stays, off)
+        texts = [kept_raw[ends[d] : ends[d + 1]].tobytes() for d in chosen]
+        return {
+            "doc_id": part.column(0).take(pa.array(chosen)),
+            "n_paragraphs": np.diff(parts)[chosen],
+            "n_repeated": np.diff(before(all_of(inside), parts))[chosen],
+            "n_removed": np.diff(before(all_of(gone), parts))[chosen],
+            "removed_words": np.diff(before(gone, w.offsets))[chosen],
+            "kept_text": [x.decode() for x in texts],
+            "kept_sha256": [hashlib.sha256(x).hexdigest() for x in texts],
+        }
 
     return mapped(texts, work, "doc_id long, n_paragraphs long, n_repeated long, n_removed long, removed_words long, kept_text string, kept_sha256 string")
 
 
-def removable(which: np.ndarray, home: np.ndarray, size: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Units in runs of repeated ones, and those of them that go, for the repeated units numbered ``which`` (``home``: it stays)."""
+def removable(which: np.ndarray, home: np.ndarray, size: np.ndarray, s: Settings, doc: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Units in runs of repeated ones, and those of them that go, for the repeated units numbered ``which`` (``home``: it stays).
+
+    ``doc``: the document of each unit, if they are those of several.
+    """
     hit, stays = np.zeros(len(size), bool), np.zeros(len(size), bool)
     hit[which] = True
     stays[which] = home
-    inside = runs(hit, size, s)
+    inside = runs(hit, size, s, doc)
     gone = inside & hit & ~stays
     # A short unit between two goes if both of them go.
     at = np.flatnonzero(hit)
@@ -381,14 +388,19 @@ def removable(which: np.ndarray, home: np.ndarray, size: np.ndarray, s: Settings
     return inside, gone
 
 
-def runs(hit: np.ndarray, size: np.ndarray, s: Settings) -> np.ndarray:
-    """Paragraphs in runs of repeated ones with ``min_run`` words; short ones between two repeated ones belong to the run."""
-    inside, at = np.zeros(len(hit), bool), np.flatnonzero(hit)
-    begin = 0
-    for k in range(1, len(at) + 1):
-        if k == len(at) or (size[at[k - 1] + 1 : at[k]] >= s.min_words).any():
-            a, b = at[begin], at[k - 1] + 1
-            if size[a:b].sum() >= s.min_run:
-                inside[a:b] = True
-            begin = k
-    return inside
+def runs(hit: np.ndarray, size: np.ndarray, s: Settings, doc: np.ndarray | None = None) -> np.ndarray:
+    """Paragraphs in runs of repeated ones with ``min_run`` words; short ones between two repeated ones of a document belong to the run."""
+    at = np.flatnonzero(hit)
+    if not len(at):
+        return np.zeros(len(hit), bool)
+    long = np.concatenate([[0], np.cumsum(size >= s.min_words)])
+    ends = long[at[1:]] > long[at[:-1] + 1]
+    if doc is not None:
+        ends |= doc[at[1:]] != doc[at[:-1]]
+    a, b = at[np.append(True, ends)], at[np.append(ends, True)] + 1
+    total = np.concatenate([[0], np.cumsum(size)])
+    full = total[b] - total[a] >= s.min_run
+    mark = np.zeros(len(hit) + 1, np.int64)
+    mark[a[full]] += 1
+    mark[b[full]] -= 1
+    return np.cumsum(mark[:-1]) > 0

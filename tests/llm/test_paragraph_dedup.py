@@ -210,3 +210,35 @@ def test_loose_copies_are_no_pairs(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(sorted(lines))), "doc_id long, text string")
     paragraph_dedup.dedup(docs, Settings(whole_lines=True)).count()
     assert made[0] > 0 and made[-1] < 20
+
+
+def test_runs_of_many_documents_at_once_are_those_of_each():
+    # One pass over all documents of a slice: a run ends with its document, also if the next one begins with repeated paragraphs.
+    rng, size, hit, home, doc = random.Random(9), [], [], [], []
+    for d in range(300):
+        for _ in range(rng.randrange(1, 12)):
+            size.append(rng.randrange(1, 20))
+            hit.append(size[-1] >= S.min_words and rng.random() < 0.7)
+            home.append(rng.random() < 0.4)
+            doc.append(d)
+    size, hit, home, doc = np.array(size), np.array(hit), np.array(home), np.array(doc)
+    which = np.flatnonzero(hit)
+    inside, gone = paragraph_dedup.removable(which, home[which], size, S, doc)
+    for d in range(300):
+        own = doc == d
+        units, within, goes = list(zip(size[own].tolist(), hit[own].tolist(), home[own].tolist(), strict=True)), [], []
+        run = []
+        for k, (n, is_hit, _) in enumerate([*units, (S.min_words, False, False)]):
+            if is_hit or n < S.min_words:
+                run.append(k)
+                continue
+            hits = [x for x in run if units[x][1]]
+            span = range(hits[0], hits[-1] + 1) if hits else range(0)
+            if sum(units[x][0] for x in span) >= S.min_run:
+                within += span
+                left = {x for x in hits if not units[x][2]}
+                near = lambda x: (max(h for h in hits if h < x), min(h for h in hits if h > x))
+                goes += [x for x in span if (x in left if units[x][1] else set(near(x)) <= left)]
+            run = []
+        assert np.flatnonzero(inside[own]).tolist() == within and np.flatnonzero(gone[own]).tolist() == goes
+    assert inside.any() and gone.any() and (inside & ~hit).any() and not inside.all()
