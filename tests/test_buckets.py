@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +157,37 @@ def test_large_tables_get_more_buckets_than_asked_for(spark, frame, tmp_path, mo
     monkeypatch.setattr(buckets, "ROWS_A_BUCKET", 10)
     assert buckets.create(table(frame, 95), str(tmp_path / "t"), "id", buckets=4).buckets == 10
     assert buckets.create(table(frame, 5), str(tmp_path / "u"), "id", buckets=4).buckets == 4
+
+
+def test_a_merge_in_passes_writes_down_only_what_changes(spark, frame, tmp_path, monkeypatch):
+    # Every key is in the delta, most of them stale: rows written down are the delta once, and the changes of each pass.
+    audit, written, keep = str(tmp_path / "audit"), [], buckets.scratch
+
+    @contextmanager
+    def counted(spark, path):
+        with keep(spark, path) as put:
+
+            def count(df, *by):
+                out = put(df, *by)
+                written.append((out.count(), out.columns))
+                return out
+
+            yield count
+
+    monkeypatch.setattr(buckets, "scratch", counted)
+    delta = frame([(i, "b" if i % 10 == 0 else "old", "y", "2024-01-05", "2024-02-01" if i % 10 == 0 else "2023-01-01") for i in range(100)] + [(500, "n", "y", "2024-01-05", "2023-01-01")], DDL)
+    found = []
+    for a_pass in (64, 3):
+        monkeypatch.setattr(buckets, "BUCKETS_A_PASS", a_pass)
+        path = str(tmp_path / f"t{a_pass}")
+        buckets.create(table(frame, 100), path, "id", buckets=8)
+        written.clear()
+        counts = buckets.merge(spark, path, delta, replace(RULE, audit=True), audit, f"{a_pass}")
+        assert tuple(counts.first()) == (1, 10)
+        assert [n for n, _ in written][0] == 101 and len(written) == 1 + (3 if a_pass == 3 else 1) and sum(n for n, _ in written[1:]) == 11
+        assert buckets.compact(spark, path, deltas=1)
+        was = spark.read.parquet(f"{audit}/{RULE.table}/run={a_pass}")
+        found.append((rows(buckets.read(spark, path)), sorted((r.id, r.status, str(r.audit_ts), str(r.updated_at)) for r in was.collect())))
+    assert found[0] == found[1]
+    assert found[0][0] == [(i, "b" if i % 10 == 0 else "a", "x") for i in range(100)] + [(500, "n", "y")]
+    assert found[0][1] == [(i, "a", "2024-02-01 00:00:00", "2024-01-05 00:00:00") for i in range(0, 100, 10)]
