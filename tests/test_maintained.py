@@ -55,3 +55,17 @@ def test_marts_follow_merges(spark, house, tmp_path, monkeypatch):
     maintained.compact(spark, root, deltas=1)
     now["fact_orders"] = buckets.read(spark, f"{root}/fact_orders")
     assert same(plain(maintained.exec_daily(spark, root, house)), plain(marts.exec_daily(now)))
+
+
+def test_a_state_begins_as_a_table_of_its_size(spark, house, tmp_path, monkeypatch):
+    # The first sums are the base itself, in as many buckets as they need, and nothing written down on the way stays.
+    root, looked = str(tmp_path), []
+    monkeypatch.setattr(buckets, "ROWS_A_BUCKET", 100)
+    monkeypatch.setattr(buckets, "lookup", lambda *a: looked.append(a))
+    batch.init_tables(house, root, NAMES)
+    written = maintained.follow(spark, root, width=2)
+    assert not looked
+    for f in maintained.FOLLOWERS:
+        s = buckets.snapshot(spark, f"{root}/{f.name}")
+        assert s.buckets == max(2, -(-written[f.name] // 100)) and all(e.base for e in s.entries) and set(s.marks) == set(f.below)
+        assert buckets.read(spark, s.path).count() == written[f.name] > 0 and not list((tmp_path / f.name / "_scratch").iterdir())
