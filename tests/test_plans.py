@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 from ledgerloom.operators import finance, kpis, shop, views
+from ledgerloom.plans import batch
 
 
 def plan(df) -> str:
@@ -30,3 +31,13 @@ def test_rank_limits_apply_before_the_shuffle(house, df):
 def test_no_cartesian_products(house):
     for df in (finance.order_pnl(house), finance.item_pnl(house), finance.customer_pnl(house)):
         assert "CartesianProduct" not in plan(df) and "NestedLoop" not in plan(df)
+
+
+def test_a_mart_refresh_lets_go_of_each_marts_shuffles(spark, house, tmp_path, monkeypatch):
+    done = []
+    publish = batch.publish
+    monkeypatch.setattr(batch, "publish", lambda df, root, name, version: done.append(name) or publish(df, root, name, version))
+    monkeypatch.setattr(batch, "release", lambda s: done.append("release"))
+    out = batch.refresh_marts(house, str(tmp_path), "0001", ["mart_finance_profitability", "mart_funnel_conversion"])
+    assert done == ["order_pnl", "release", "mart_finance_profitability", "release", "mart_funnel_conversion", "release"]
+    assert all(f.endswith(".zstd.parquet") for df in out.values() for f in df.inputFiles())
