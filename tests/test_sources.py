@@ -70,3 +70,17 @@ def test_rules_find_each_kind_of_break(frame):
     got = {r.rule: r.broken for r in quality.rule_violations(e, "fact_funnel_events").collect()}
     assert got["event_ts is null"] == 1 and got["failure_reason longer than 80"] == 1
     assert [v for k, v in got.items() if k.startswith("not (stage")] == [1]
+
+
+def test_compressed_files_are_bounded_and_loads_can_consume_them(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ZIPPED_ROWS", 100)
+    day = "2024-01-01 00:00:00"
+    geo = frame([(i, 'a "b", c', None, "x", "USD", day, day) for i in range(250)], "geo_id long, country string, region string, city string, currency string, created_at timestamp, updated_at timestamp").coalesce(1)
+    raw, house = tmp_path / "raw", str(tmp_path / "house")
+    files.write_csv(geo, f"{raw}/dim_geo.csv", compression="gzip")
+    parts = [p for p in (raw / "dim_geo.csv").iterdir() if p.suffix == ".gz" and not p.name.startswith(".")]
+    assert len(parts) == 3
+    assert files.load_all(spark, str(raw), house, ["dim_geo"]) == ["dim_geo"] and (raw / "dim_geo.csv").exists()
+    assert files.load_all(spark, str(raw), house, ["dim_geo"], consume=True) == ["dim_geo"] and not (raw / "dim_geo.csv").exists()
+    got = spark.read.parquet(f"{house}/dim_geo")
+    assert got.count() == 250 and got.select(*geo.columns).exceptAll(geo).isEmpty()
